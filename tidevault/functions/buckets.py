@@ -118,20 +118,23 @@ def gapfill(
     if hi <= lo:
         base, n = base.where(F.lit(False)), 1
     blocks = -(-n // _GRID_BLOCK)
-    blocked = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
+    blocked = base.select("*", F.explode(numbers).alias("_block"))
     step = blocked.select(
         *keys,
         F.explode(
             F.sequence(
                 F.col("_block") * _GRID_BLOCK,
-                F.least((F.col("_block") + 1) * _GRID_BLOCK, F.lit(n)) - 1,
+                F.least((F.col("_block") + 1) * _GRID_BLOCK, F.lit(n).cast("long")) - 1,
             )
         ).alias("_k"),
     )
     if width.months:
-        edge = F.add_months(ts_lit(lo, dtype).cast("date"), F.col("_k") * width.months)
+        edge = F.add_months(
+            ts_lit(lo, dtype).cast("date"), (F.col("_k") * width.months).cast("int")
+        )
     else:
-        edge = F.timestamp_micros(F.lit(lo) + F.col("_k").cast("long") * width.micros)
+        edge = F.timestamp_micros(F.lit(lo) + F.col("_k") * width.micros)
     grid = step.select(edge.cast(dtype).alias(bucket), *keys)
     on = (F.col(f"g.{bucket}") == F.col(f"a.{bucket}"))
     for key in keys:

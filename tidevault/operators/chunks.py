@@ -234,6 +234,11 @@ class ChunkedTable:
         """Rows one append brought, as long as they have not been compacted."""
         return self.read_chunks().where(F.col("load") == load).select(*self.schema.names)
 
+    def create_view(self, name: str, with_chunk_id: bool = False) -> None:
+        """A temporary view for ``spark.sql``; filters on its ``chunk_id`` prune folders."""
+        shown = [*self.schema.names, *(["chunk_id"] if with_chunk_id else [])]
+        self.read_chunks().select(*shown).createOrReplaceTempView(name)
+
     # -- bounds taken from the data -----------------------------------------
 
     def _edge(self, pick, order: list[int]) -> dt.datetime | None:
@@ -358,12 +363,14 @@ class ChunkedTable:
     # -- replacing and dropping whole chunks ---------------------------------
 
     def recover(self) -> None:
-        """Finish or undo a replacement whose driver died half-way."""
+        """Finish or undo a replacement whose driver died half-way, and clear what it staged."""
         for aside in self.folder.names("_old-*"):
             for chunk in self.folder.chunk_ids(aside):
                 if not self.folder.exists(f"chunk_id={chunk}"):
                     self.folder.rename(f"{aside}/chunk_id={chunk}", f"chunk_id={chunk}")
             self.folder.delete(aside)
+        for staging in self.folder.names("_staging-*"):
+            self.folder.delete(staging)
 
     def swap_in(self, staging: str, ids: Sequence[int], load: str) -> None:
         """Put staged chunks in place of the live ones; ids without staged rows vanish.

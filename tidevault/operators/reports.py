@@ -87,6 +87,20 @@ def sizing_of(table: ChunkedTable, intervals: Sequence[str | dt.timedelta | Widt
     return sizing(table.scan(), intervals, table.ts, per_row)
 
 
+def table_sizes(tables: dict[str, ChunkedTable]) -> DataFrame:
+    """Chunks, rows and bytes per table, summed over each table's chunk listing."""
+    stacked = None
+    for name, table in tables.items():
+        one = table.chunks().agg(
+            F.lit(name).alias("tabla"),
+            F.count(F.lit(1)).alias("n_chunks"),
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("bytes").alias("bytes"),
+        )
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return with_readable_size(stacked)
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: its name and its row count."""
     stacked = None

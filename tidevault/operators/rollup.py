@@ -21,6 +21,7 @@ from tidevault.functions.times import (
     ts_lit,
 )
 from tidevault.operators.chunks import ChunkedTable
+from tidevault.operators.reports import table_sizes
 from tidevault.sources.folders import fresh
 
 
@@ -209,13 +210,4 @@ class Rollup:
 
     def sizes(self) -> DataFrame:
         """Chunks, rows and bytes of the source and of the rollup."""
-
-        def total(table: ChunkedTable, name: str) -> DataFrame:
-            return table.chunks().agg(
-                F.lit(name).alias("tabla"),
-                F.count(F.lit(1)).alias("n_chunks"),
-                F.sum("n_rows").alias("n_rows"),
-                F.sum("bytes").alias("bytes"),
-            )
-
-        return total(self.source, "source").unionByName(total(self.table, "rollup"))
+        return table_sizes({"source": self.source, "rollup": self.table})

@@ -39,7 +39,7 @@ def sensor_units(name: str, car: Column, step: Column) -> Column:
 
 def _with_sensors(grid: DataFrame, start: int, step_us: int) -> DataFrame:
     """``grid`` holds auto_id and s, the step number."""
-    ts = F.timestamp_micros(F.lit(start) + F.col("s") * step_us)
+    ts = F.timestamp_micros(F.lit(start) + F.col("s").cast("long") * step_us)
     columns = [F.col("auto_id"), ts.alias("ts")]
     for name, (_, _, scale) in SENSORS.items():
         units = sensor_units(name, F.col("auto_id"), F.col("s"))
