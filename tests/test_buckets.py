@@ -1,0 +1,167 @@
+import datetime as dt
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidevault.functions.buckets import (
+    bucket_bounds,
+    bucket_equals,
+    downsample,
+    gapfill,
+    time_bucket,
+    with_bucket,
+)
+from tidevault.functions.scalars import avg_rounded, pretty_bytes
+from tidevault.functions.sql import register
+from tidevault.functions.times import Width, ago, from_micros, to_micros
+
+WIDTHS = ["1 second", "5 minutes", "90 minutes", "2 hours", "6 hours", "1 day", "3 days", "1 week"]
+MONTHS = ["1 month", "3 months", "1 year"]
+INSTANTS = [
+    "1969-12-31 23:59:59.999999",
+    "1970-01-01 00:00:00",
+    "1995-06-14 12:34:56.789",
+    "1999-12-31 23:59:59",
+    "2000-01-01 00:00:00",
+    "2000-01-03 00:00:00",
+    "2024-02-29 00:00:00",
+    "2026-05-15 00:00:00",
+    "2026-05-15 01:00:00",
+    "2030-02-08 23:00:00",
+]
+
+
+@pytest.fixture(scope="module")
+def instants(spark):
+    rows = spark.createDataFrame([(t,) for t in INSTANTS], "t string")
+    return rows.select(F.col("t").cast("timestamp_ntz").alias("ts"))
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("width", WIDTHS + MONTHS)
+def test_same_grid_as_duckdb_and_as_the_driver(instants, width, kind):
+    rows = instants.withColumn("ts", F.col("ts").cast(kind))
+    got = with_bucket(rows, "b", width).select(
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("b").cast("timestamp_ntz").alias("b")
+    )
+    assert with_bucket(rows, "b", width).schema["b"].dataType == rows.schema["ts"].dataType
+    for ts, bucket in got.collect():
+        sql = f"SELECT time_bucket(INTERVAL '{width}', TIMESTAMP '{ts}')"
+        expected = duckdb.execute(sql).fetchone()[0]
+        assert bucket == expected == from_micros(Width.parse(width).floor(to_micros(ts)))
+
+
+def test_custom_origin(instants):
+    origin = "2026-05-15 00:30"
+    got = {r.ts: r.b for r in with_bucket(instants, "b", "90 minutes", origin=origin).collect()}
+    assert got[dt.datetime(2026, 5, 15, 1)] == dt.datetime(2026, 5, 15, 0, 30)
+    assert got[dt.datetime(2026, 5, 15)] == dt.datetime(2026, 5, 14, 23)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    us=st.integers(-(10**15), 4 * 10**15),
+    width=st.sampled_from(WIDTHS + MONTHS),
+    at=st.sampled_from([None, "2000-01-01", "2031-07-01"]),
+)
+def test_a_bucket_holds_its_instants(us, width, at):
+    width = Width.parse(width)
+    start = width.floor(us, at)
+    assert start <= us < width.add(start, 1)
+    assert width.floor(start, at) == start == width.ceil(start, at)
+    assert width.ceil(us, at) in (start, width.add(start, 1))
+
+
+def test_buckets_partition_the_rows(spark):
+    rows = spark.range(10_000).select(
+        F.timestamp_micros(F.col("id") * 977_777_777 - 10**12).alias("ts")
+    )
+    for width in ("90 minutes", "1 week", "3 months"):
+        per = downsample(rows, width, {"n": F.count(F.lit(1))}, "b")
+        assert per.agg(F.sum("n")).first()[0] == 10_000
+
+
+def test_widths():
+    assert Width.parse("1 day 12 hours") == Width(micros=36 * 3600 * 10**6)
+    assert Width.parse("259200000000 microseconds") == Width.parse("3 days")
+    assert Width.parse(dt.timedelta(hours=1)) == Width.parse("60 minutes")
+    for bad in ("1 month 1 day", "soon", "0 hours", "1 fortnight"):
+        with pytest.raises(ValueError):
+            Width.parse(bad)
+    with pytest.raises(ValueError):
+        Width.parse("1 month").origin("2000-01-02")
+    assert ago("2026-03-31", "1 month") == dt.datetime(2026, 2, 28)
+    assert ago("2026-03-31 05:00", "26 hours") == dt.datetime(2026, 3, 30, 3)
+
+
+def test_bucket_equals_becomes_a_range(instants):
+    assert bucket_bounds("1 hour", "2026-05-15 00:30") is None
+    assert bucket_equals(instants, "1 hour", "2026-05-15 00:30").count() == 0
+    lo, hi = bucket_bounds("1 month", "2026-05-01")
+    assert (lo, hi) == (dt.datetime(2026, 5, 1), dt.datetime(2026, 6, 1))
+    assert bucket_equals(instants, "1 month", "2026-05-01").count() == 2
+
+
+def test_gapfill(spark):
+    rows = spark.createDataFrame(
+        [("a", "2026-01-01 00:10", 1), ("a", "2026-01-01 02:10", 2), (None, "2026-01-01 01:00", 3)],
+        "k string, t string, v int",
+    ).select("k", F.col("t").cast("timestamp_ntz").alias("ts"), "v")
+    agg = downsample(rows, "1 hour", {"n": F.count(F.lit(1)), "v": F.max("v")}, "b", ["k"])
+    got = gapfill(agg, "b", "1 hour", "2026-01-01", "2026-01-01 03:00", ["k"], {"n": 0})
+    cells = {(r.k, r.b.hour): (r.n, r.v) for r in got.collect()}
+    assert cells == {
+        ("a", 0): (1, 1),
+        ("a", 1): (0, None),
+        ("a", 2): (1, 2),
+        (None, 0): (0, None),
+        (None, 1): (1, 3),
+        (None, 2): (0, None),
+    }
+    assert gapfill(agg, "b", "1 hour", "2026-01-01", "2026-01-01", ["k"]).count() == 0
+    empty = agg.where("false")
+    assert gapfill(empty, "b", "1 hour", "2026-01-01", "2026-01-02", ["k"]).count() == 0
+    fine = gapfill(agg, "b", "1 second", "2026-01-01", "2026-01-02", ["k"])
+    assert fine.count() == 2 * 86400
+    months = downsample(rows, "1 month", {"n": F.count(F.lit(1))}, "b")
+    filled = gapfill(months, "b", "1 month", "2025-11-15", "2026-02-15", fill={"n": 0})
+    assert [r.n for r in filled.orderBy("b").collect()] == [0, 0, 3, 0]
+
+
+def test_average_is_rounded_once(spark):
+    # 61.649999... rounds to 61.6; rounding to five digits first gives 61.65 and then 61.7.
+    rows = spark.createDataFrame([(1233000,), (1232999,)], "t long").select(
+        F.explode(F.array_repeat(F.col("t"), 100)).alias("t")
+    )
+    rows = rows.select((F.col("t").cast("decimal(12,0)") / F.lit(20000)).cast("decimal(10,5)").alias("v"))
+    exact = rows.agg(avg_rounded("v", 1).alias("m")).first().m
+    assert str(exact) == "61.6"
+
+
+def test_negative_average_rounds_away_from_zero(spark):
+    rows = spark.createDataFrame([("-0.5",), ("-0.6",), (None,)], "t string")
+    rows = rows.select(F.col("t").cast("decimal(6,1)").alias("v"))
+    assert str(rows.agg(avg_rounded("v", 1).alias("m")).first().m) == "-0.6"
+
+
+def test_pretty_bytes(spark):
+    cases = {0: "0 bytes", 8192: "8192 bytes", 24 * 1024: "24 kB", 17 << 20: "17 MB", 56 << 30: "56 GB"}
+    rows = spark.createDataFrame([(k,) for k in cases], "b long")
+    assert {r.b: r.s for r in rows.select("b", pretty_bytes("b").alias("s")).collect()} == cases
+
+
+@pytest.mark.parametrize("kind,suffix", [("timestamp_ntz", ""), ("timestamp", "_tz")])
+def test_sql_functions_agree(spark, instants, kind, suffix):
+    register(spark)
+    rows = instants.withColumn("ts", F.col("ts").cast(kind))
+    rows.createOrReplaceTempView("instants")
+    for sql, width in (
+        (f"time_bucket{suffix}(INTERVAL '90' MINUTE, ts)", "90 minutes"),
+        (f"time_bucket{suffix}(INTERVAL '7' DAY, ts)", "1 week"),
+        (f"time_bucket_months{suffix}(3, ts)", "3 months"),
+    ):
+        shown = spark.sql(f"SELECT {sql} AS b FROM instants").collect()
+        assert shown == rows.select(time_bucket(rows, width).alias("b")).collect()

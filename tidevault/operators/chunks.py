@@ -9,8 +9,9 @@ hidden from readers of the table. Maintenance assumes one writer at a time.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,11 @@ from tidevault.functions.times import (
     ts_lit,
 )
 from tidevault.schemas import conform, enforce_not_null
-from tidevault.session import require_utc
+from tidevault.session import micros_timestamps, require_utc
 from tidevault.sources.folders import Folder, fresh
 
 COMPACTED = "compacted"
-_DEFINITION = "_table"
+_DEFINITION = "_table.json"
 _DROPPED = "_dropped"
 # Up to this many chunks a bounded scan names its folders, so that only they are listed.
 _NAMED_CHUNKS = 400
@@ -71,46 +72,29 @@ class ChunkedTable:
     def create(self) -> ChunkedTable:
         """Create the table unless it exists; the definition is kept beside the data."""
         if not self.folder.exists(_DEFINITION):
+            self.folder.mkdirs()
             about = {
+                "schema": self.schema.jsonValue(),
                 "ts": self.ts,
                 "interval_us": self.interval_us,
-                "segment_by": list(self.segment_by),
-                "order_by": [f"{c} {d}" for c, d in self.order_by],
+                "segment_by": self.segment_by,
+                "order_by": self.order_by,
             }
-            fields = [
-                T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, "table": about})
-                if f.name == self.ts
-                else f
-                for f in self.schema.fields
-            ]
-            # Readers see every Parquet column as nullable, so nullability is noted too.
-            fields = [
-                T.StructField(
-                    f.name, f.dataType, True, {**f.metadata, "not_null": not f.nullable}
-                )
-                for f in fields
-            ]
-            empty = self.spark.createDataFrame([], T.StructType(fields))
-            empty.write.mode("ignore").parquet(f"{self.root}/{_DEFINITION}")
+            self.folder.write_text(_DEFINITION, json.dumps(about))
         return self
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> ChunkedTable:
         """A table created earlier, by this session or another."""
-        kept = spark.read.parquet(f"{root.rstrip('/')}/{_DEFINITION}").schema
-        about = next(f.metadata["table"] for f in kept.fields if "table" in f.metadata)
-        fields = []
-        for f in kept.fields:
-            notes = {k: v for k, v in f.metadata.items() if k not in ("table", "not_null")}
-            fields.append(T.StructField(f.name, f.dataType, not f.metadata["not_null"], notes))
+        about = json.loads(Folder(spark, root).read_text(_DEFINITION))
         return cls(
             spark,
             root,
-            T.StructType(fields),
+            T.StructType.fromJson(about["schema"]),
             about["ts"],
             dt.timedelta(microseconds=about["interval_us"]),
             about["segment_by"],
-            [tuple(o.rsplit(" ", 1)) for o in about["order_by"]],
+            [tuple(o) for o in about["order_by"]],
         )
 
     # -- routing and writing ------------------------------------------------
@@ -140,13 +124,14 @@ class ChunkedTable:
         if label == COMPACTED:
             raise ValueError(f"{COMPACTED!r} is kept for compaction")
         rows = self.routed(df).withColumn("load", F.lit(label))
-        (
-            rows.hint("rebalance", F.col("chunk_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("chunk_id", "load")
-            .parquet(self.root)
-        )
+        writer = rows.hint("rebalance", F.col("chunk_id")).write.partitionBy("chunk_id", "load")
+        if load is not None and self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"):
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            # Nothing to replace: a plain append commits with far fewer folder moves.
+            writer = writer.mode("append")
+        with micros_timestamps(rows):
+            writer.parquet(self.root)
         return label
 
     def append_rows(self, rows: Iterable[tuple], columns: Sequence[str] | None = None) -> str:
@@ -404,12 +389,15 @@ class ChunkedTable:
         self.swap_in(staging, ids, load or f"replace-{uuid.uuid4().hex[:12]}")
 
     def stage(
-        self, routed: DataFrame, staging: str, mode: str = "errorifexists", **options: str
+        self,
+        routed: DataFrame,
+        staging: str,
+        mode: str = "errorifexists",
+        options: Mapping[str, str] | None = None,
     ) -> None:
-        writer = routed.write.mode(mode).partitionBy("chunk_id")
-        for key, value in options.items():
-            writer = writer.option(key.replace("__", "."), value)
-        writer.parquet(f"{self.root}/{staging}")
+        writer = routed.write.mode(mode).options(**(options or {}))
+        with micros_timestamps(routed):
+            writer.partitionBy("chunk_id").parquet(f"{self.root}/{staging}")
 
     def drop(self, ids: Sequence[int]) -> None:
         """Delete whole chunks and remember how far the table has been emptied."""

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidevault.functions.times import Instant, Width, ago, now, to_micros
 from tidevault.operators.chunks import COMPACTED, ChunkedTable
@@ -43,9 +44,21 @@ def _passes(sizes: dict[int, int]) -> list[list[int]]:
     return passes
 
 
+def _encodings(table: ChunkedTable) -> dict[str, str]:
+    """Version 2 pages; ordered instants and integers as differences, not as a dictionary."""
+    options = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+    for name, _ in table.order_by:
+        if isinstance(
+            table.schema[name].dataType,
+            (T.TimestampType, T.TimestampNTZType, T.IntegerType, T.LongType),
+        ):
+            options[f"parquet.enable.dictionary#{name}"] = "false"
+    return options
+
+
 def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: bool, target: int) -> None:
     staging = fresh("staging")
-    options = {"compression": "zstd", "parquet__writer__version": "PARQUET_2_0"}
+    options = _encodings(table)
     small = [i for i, size in sizes.items() if size <= target]
     large = [i for i in sizes if i not in set(small)]
     order = _order(table)
@@ -54,7 +67,7 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: bool, target: i
         rows = table.read_chunks(small).drop("load")
         rows = rows.repartition(min(len(small), _MAX_TASKS), "chunk_id")
         rows = rows.sortWithinPartitions("chunk_id", *order)
-        table.stage(rows, staging, mode="append", **options)
+        table.stage(rows, staging, "append", options)
     if large:
         # Ranges of (chunk, segment, order) cut a chunk into files of the target size
         # whatever its share of the data. The row's own position breaks ties, so
@@ -65,7 +78,7 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: bool, target: i
         )
         rows = rows.drop("load").repartitionByRange(n, "chunk_id", *order, "_tie")
         rows = rows.sortWithinPartitions("chunk_id", *order).drop("_tie")
-        table.stage(rows, staging, mode="append", **options)
+        table.stage(rows, staging, "append", options)
     if verify:
         # One row per chunk comes to the driver.
         written = table.spark.read.schema(table.stored).parquet(f"{table.root}/{staging}")
@@ -119,22 +132,15 @@ def chunk_starting(table: ChunkedTable, start: Instant) -> list[int]:
     return [i for i in table.chunk_ids() if i * table.interval_us == us]
 
 
-def due_chunks(
-    table: ChunkedTable, as_of: Instant | None, compress_after: str | dt.timedelta | Width
-) -> list[int]:
-    """Chunks that ended long enough ago and are not compacted, or have overflow."""
-    aged = table.older_than(ago(as_of or now(), compress_after))
-    if not aged:
-        return []
-    todo = table.chunks(aged).where("NOT is_compressed OR overflow_rows > 0")
-    return sorted(r[0] for r in todo.select("chunk_id").collect())
-
-
 def compact_due(
     table: ChunkedTable,
     as_of: Instant | None = None,
     compress_after: str | dt.timedelta | Width = "7 days",
     **options,
 ) -> DataFrame:
-    """The compaction policy: what is due at ``as_of`` is rewritten, the active chunk is not."""
-    return compress_chunks(table, due_chunks(table, as_of, compress_after), **options)
+    """The compaction policy, as of one instant.
+
+    Chunks that ended long enough ago are rewritten when they are not compacted or
+    have overflow; the active chunk is not touched.
+    """
+    return compress_chunks(table, table.older_than(ago(as_of or now(), compress_after)), **options)

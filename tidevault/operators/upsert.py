@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.schemas import conform
+from tidevault.session import micros_timestamps
 from tidevault.sources.folders import fresh
 
 
@@ -35,7 +36,9 @@ def upsert(
         batch = latest_per_key(batch, key, version)
     kept = fresh("batch")
     path = f"{table.root}/{kept}"
-    table.routed(batch).write.parquet(path)
+    rows = table.routed(batch)
+    with micros_timestamps(rows):
+        rows.write.parquet(path)
     staged = table.spark.read.parquet(path)
     try:
         ids = [r[0] for r in staged.select("chunk_id").distinct().collect()]  # one per chunk

@@ -15,12 +15,15 @@ class Folder:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
-        self._jvm = spark._jvm
+        jvm = spark._jvm
+        self._to_path = jvm.org.apache.hadoop.fs.Path
+        self._to_paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths
+        self._to_text = jvm.org.apache.commons.lang3.ArrayUtils.toString
+        self._read_all = jvm.org.apache.commons.io.IOUtils.toString
         self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
-        full = f"{self.root}/{name}" if name else self.root
-        return self._jvm.org.apache.hadoop.fs.Path(full)
+        return self._to_path(f"{self.root}/{name}" if name else self.root)
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._path(name))
@@ -35,11 +38,24 @@ class Folder:
         if not self._fs.rename(self._path(old), self._path(new)):
             raise OSError(f"could not move {old} to {new} in {self.root}")
 
+    def write_text(self, name: str, text: str) -> None:
+        """A small file; it appears under its name only when it is whole."""
+        hidden = f"{name}.{uuid.uuid4().hex[:12]}"
+        out = self._fs.create(self._path(hidden))
+        out.write(text.encode())
+        out.close()
+        self.rename(hidden, name)
+
+    def read_text(self, name: str) -> str:
+        stream = self._fs.open(self._path(name))
+        try:
+            return self._read_all(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def matches(self, pattern: str) -> str:
         """Paths that match, as one string: a single call however many there are."""
-        found = self._fs.globStatus(self._path(pattern))
-        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
-        return self._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)
+        return self._to_text(self._to_paths(self._fs.globStatus(self._path(pattern))))
 
     def names(self, pattern: str) -> list[str]:
         stem = pattern.split("*")[0]
