@@ -1,0 +1,261 @@
+import datetime as dt
+
+import pytest
+from plans import explained, files_read
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidevault import TELEMETRY, ChunkedTable
+from tidevault.operators.reports import pruning_report, sizing, sizing_of, table_sizes
+from tidevault.schemas import conform, enforce_not_null, split_valid
+from tidevault.session import work_dir
+from tidevault.sources.generate import product, series, telemetry, time_series
+from tidevault.sources.load import append_all, bulk_load, insert_each
+
+
+def make(spark, root, interval="1 day"):
+    return ChunkedTable(spark, root, TELEMETRY, "ts", interval, ["auto_id"]).create()
+
+
+@pytest.fixture(scope="module")
+def month(spark):
+    table = make(spark, work_dir(spark, "month"))
+    table.append(telemetry(spark, "2026-05-01", 24 * 30), "initial")
+    return table
+
+
+def rows_at(spark, *instants):
+    rows = spark.createDataFrame([(1, t) for t in instants], "auto_id int, t string")
+    return rows.select("auto_id", F.col("t").cast("timestamp").alias("ts"))
+
+
+def test_edges_and_instants_before_the_epoch(spark, root):
+    table = make(spark, root)
+    table.append(
+        rows_at(
+            spark,
+            "1969-12-30 23:59:59.999999",
+            "1969-12-31 00:00:00",
+            "1970-01-01 00:00:00",
+            "2026-05-01 23:59:59.999999",
+            "2026-05-02 00:00:00",
+        )
+    )
+    assert table.chunk_ids() == [-2, -1, 0, 20574, 20575]
+    for row in table.chunks().collect():
+        assert row.n_rows == 1
+        inside = table.scan(row.range_start, row.range_end)
+        assert inside.count() == 1
+    assert table.scan("1969-12-31", "1970-01-01").count() == 1
+    assert table.min_ts() == dt.datetime(1969, 12, 30, 23, 59, 59, 999999)
+
+
+@pytest.mark.parametrize(
+    "closed,expected", [("left", 240), ("right", 240), ("both", 250), ("neither", 230)]
+)
+def test_closed_sides(month, closed, expected):
+    rows = month.scan("2026-05-10", "2026-05-11", closed)
+    assert rows.count() == expected
+
+
+def test_one_sided_and_empty_ranges(month):
+    assert month.scan(start="2026-05-21").count() == 2400
+    assert month.scan(end="2026-05-03").count() == 480
+    assert month.scan("2026-05-11", "2026-05-10").count() == 0
+    assert month.scan("2031-01-01", "2031-02-01").count() == 0
+    assert month.scan("2026-05-10", "2026-05-10").count() == 0
+
+
+def test_zoned_bounds(month):
+    rows = month.scan("2026-05-10T02:00:00+02:00", "2026-05-11T02:00:00+02:00")
+    assert rows.count() == 240
+
+
+def test_a_range_opens_only_its_chunks(month):
+    assert files_read(month.scan()) == 30
+    assert files_read(month.scan("2026-05-10", "2026-05-11")) == 1
+    assert files_read(month.scan("2026-05-10", "2026-05-17")) == 7
+    assert files_read(month.scan(start="2026-05-29")) == 2
+    assert files_read(month.at("2026-05-10")) == 1
+    assert files_read(month.last("24 hours")) == 2
+
+
+def test_the_scan_reads_only_named_columns_and_pushes_the_range(month):
+    plan = explained(month.scan("2026-05-10", "2026-05-11").select("velocidad"))
+    assert "ReadSchema: struct<ts:timestamp,velocidad:decimal(6,1)>" in plan
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+    counted = explained(month.chunks())
+    assert "ReadSchema: struct<>" in counted
+
+
+def test_sql_prunes_with_a_subquery_on_the_chunk(spark, month):
+    month.create_view("by_chunk", with_chunk_id=True)
+    newest = spark.sql(
+        "SELECT * FROM by_chunk WHERE chunk_id = (SELECT max(chunk_id) FROM by_chunk) - 3"
+    )
+    assert newest.count() == 240
+    assert "dynamicpruning" in explained(newest) or "PartitionFilters" in explained(newest)
+
+
+def test_time_statistics_are_written(month):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = month.root.removeprefix("file:")
+    for name in glob.glob(f"{path}/chunk_id=*/load=*/*.parquet")[:3]:
+        meta = pq.read_metadata(name)
+        column = meta.row_group(0).column(meta.schema.names.index("ts"))
+        assert column.physical_type == "INT64" and column.statistics.has_min_max
+
+
+def test_a_repeated_load_replaces_itself(spark, root):
+    table = make(spark, root)
+    rows = telemetry(spark, "2026-05-01", 48)
+    for _ in range(2):
+        table.append(rows, "nightly")
+    assert table.scan().count() == 480
+    table.append(rows)
+    assert table.scan().count() == 960
+    assert table.load_rows("nightly").count() == 480
+    with pytest.raises(ValueError):
+        table.append(rows, "compacted")
+
+
+def test_not_null_stops_the_insert(spark, root):
+    table = make(spark, root)
+    bad = spark.sql("SELECT 1 AS auto_id, CAST(NULL AS TIMESTAMP) AS ts")
+    with pytest.raises(Exception, match="declared NOT NULL"):
+        table.append(bad)
+    assert table.chunk_ids() == []
+    assert table.scan().count() == 0 and table.max_ts() is None
+
+
+def test_values_out_of_range_stop_the_insert(spark, root):
+    table = make(spark, root)
+    with pytest.raises(Exception, match="OVERFLOW|OUT_OF_RANGE"):
+        table.append_rows([(1, "2026-05-01", "123456.7")], ["auto_id", "ts", "velocidad"])
+
+
+def test_partial_columns_and_unknown_ones(spark, root):
+    table = make(spark, root)
+    table.append_rows([(1, "2026-05-01 10:00:00", "88.0")], ["auto_id", "ts", "velocidad"])
+    row = table.scan().first()
+    assert row.revoluciones is None and str(row.velocidad) == "88.0"
+    with pytest.raises(ValueError, match="not in the table"):
+        table.append(spark.sql("SELECT 1 AS auto_id, now() AS ts, 2 AS other"))
+
+
+def test_three_ways_to_insert_agree(spark, root):
+    values = [(i, f"2026-05-0{i} 10:00:00", f"{i}.5") for i in range(1, 5)]
+    names = ["auto_id", "ts", "velocidad"]
+    batch, each, union = (make(spark, f"{root}/{n}") for n in ("batch", "each", "union"))
+    batch.append_rows(values, names)
+    insert_each(each, values, names)
+    typed = "auto_id string, ts string, velocidad string"
+    append_all(
+        union, [spark.createDataFrame([tuple(map(str, v))], typed) for v in values], load="all"
+    )
+    expected = sorted(batch.scan().collect())
+    assert sorted(each.scan().collect()) == expected == sorted(union.scan().collect())
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "orc"])
+def test_bulk_load(spark, root, fmt):
+    rows = telemetry(spark, "2026-05-01", 30)
+    writer = rows.write.option("header", "true")
+    writer.format(fmt).save(f"{root}/files")
+    table = make(spark, f"{root}/table")
+    for _ in range(2):
+        bulk_load(table, f"{root}/files", fmt, load="files")
+    assert table.scan().exceptAll(rows).isEmpty() and rows.exceptAll(table.scan()).isEmpty()
+
+
+def test_definition_survives(spark, root):
+    table = ChunkedTable(spark, root, TELEMETRY, "ts", "3 days", ["auto_id"], [("ts", "asc")])
+    table.create().append(telemetry(spark, "2026-09-13", 24 * 9), "x")
+    table.create()
+    again = ChunkedTable.open(spark, root)
+    assert again.schema == TELEMETRY and again.interval_us == table.interval_us
+    assert again.order_by == (("ts", "asc"),) and again.segment_by == ("auto_id",)
+    assert again.scan().count() == 2160
+    assert again.schema["velocidad"].metadata["comment"].startswith("speed")
+
+
+def test_catalogue_matches_the_rows(month):
+    state = month.chunks().orderBy("chunk_id").collect()
+    assert [r.n_rows for r in state] == [240] * 30
+    assert all(r.range_end - r.range_start == dt.timedelta(days=1) for r in state)
+    assert not any(r.is_compressed or r.overflow_rows for r in state)
+    assert month.extent().first() == (
+        dt.datetime(2026, 5, 1), dt.datetime(2026, 5, 30, 23), 7200,
+    )
+
+
+def test_show_chunks(month):
+    assert month.show_chunks().count() == 30
+    # The chunk of 3 May ends at the cut-off itself and stays.
+    assert month.show_chunks(older_than="2026-05-04").count() == 2
+    assert month.show_chunks(older_than="2026-05-04 00:00:00.000001").count() == 3
+    assert month.show_chunks(newer_than="2026-05-29").count() == 1
+    assert month.show_chunks(newer_than="2026-05-28 23:59:59").count() == 2
+
+
+def test_reports(spark, month):
+    report = pruning_report(month, "2026-05-10", "2026-05-11").first()
+    assert (report.chunks_touched, report.chunks_total) == (1, 30)
+    assert (report.rows_read, report.rows_total) == (240, 7200)
+    assert 0 < report.bytes_read < report.bytes_total / 20
+    none = pruning_report(month, "2031-05-10", "2031-05-11").first()
+    assert (none.chunks_touched, none.rows_read) == (0, 0)
+    rows = {r.chunk_interval: r for r in sizing_of(month, ["1 day", "3 days", "12 hours"]).collect()}
+    assert rows["12 hours"].n_chunks == 60 and rows["12 hours"].rows_max == 120
+    assert rows["1 day"].rows_p50 == 240 and rows["1 day"].bytes_max > 0
+    assert rows["3 days"].rows_max == 720
+    plain = sizing(month.scan(), ["1 day", "7 days"]).collect()
+    assert sum(r.n_chunks for r in plain if r.chunk_interval == "1 day") == 30
+    assert table_sizes({"m": month}).first().n_rows == 7200
+
+
+def test_many_chunks_use_partition_filters(spark, root):
+    table = make(spark, root, "10 minutes")
+    table.append(telemetry(spark, "2026-05-01", 6 * 24 * 4, "10 minutes", cars=1), "x")
+    assert len(table.chunk_ids()) == 576
+    wide = table.scan("2026-05-01", "2026-05-04 12:00")
+    assert wide.count() == 504 and files_read(wide) == 504
+    some = table.chunk_ids()[::2] + [table.chunk_ids()[1]] * 2
+    assert table.read_chunks(some * 2).count() == 289
+    assert table.read_chunks([]).count() == 0
+
+
+def test_split_valid(spark):
+    schema = T.StructType(
+        [T.StructField("k", T.IntegerType(), False), T.StructField("v", T.IntegerType())]
+    )
+    rows = spark.createDataFrame([(1, 1), (2, None), (None, 3), (4, 4), (4, 5)], "k int, v int")
+    valid, rejects = split_valid(rows, schema)
+    assert (valid.count(), rejects.count()) == (4, 1)
+    valid, rejects = split_valid(rows, schema, ["k"])
+    assert sorted(valid.collect()) == [(1, 1), (2, None)]
+    assert sorted(r.v for r in rejects.collect()) == [3, 4, 5]
+    assert enforce_not_null(valid, schema).count() == 2
+    assert conform(valid.select("k"), schema).columns == ["k", "v"]
+
+
+def test_generators(spark):
+    assert [r.value for r in series(spark, 3, 6).collect()] == [3, 4, 5, 6]
+    hours = time_series(spark, "2026-01-01", "2026-01-02", "1 hour")
+    assert hours.count() == 25
+    assert product(spark, a=3, b=4, c=5).distinct().count() == 60
+    plan = explained(product(spark, a=3, b=4))
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert product(spark, a=3, b=0).count() == 0
+
+
+def test_session_zone_has_to_be_utc(spark, root):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            make(spark, root)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

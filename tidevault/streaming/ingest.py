@@ -12,7 +12,7 @@ from tidevault.functions.times import Width
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.rollup import Rollup
 from tidevault.operators.upsert import upsert
-from tidevault.schemas import conform
+from tidevault.schemas import conform, split_valid
 
 
 def _start(
@@ -102,12 +102,21 @@ def stream_upsert(
     checkpoint: str,
     delay: str = "1 hour",
     interval: str | None = None,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
-    """Keep a keyed table of window figures up to date; changed windows are upserted."""
+    """Keep a keyed table of window figures up to date; changed windows are upserted.
+
+    Rows with a null the table does not allow stop the stream, or go to
+    ``reject_path``, one folder per micro-batch.
+    """
     keys = [k for k in key if k != table.ts]
     changing = windowed(rows, ts, width, keys, delay, aggs).withColumnRenamed("_start", table.ts)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        upsert(table, conform(batch, table.schema), key)
+        valid = conform(batch, table.schema)
+        if reject_path is not None:
+            valid, rejects = split_valid(valid, table.schema)
+            rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+        upsert(table, valid, key)
 
     return _start(changing, "update", each, name, checkpoint, interval)
