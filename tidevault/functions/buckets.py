@@ -97,9 +97,13 @@ def gapfill(
     keys: Sequence[str] = (),
     fill: Mapping[str, object] | None = None,
     origin: Instant | None = None,
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Every bucket of ``[start, end)`` for every key of ``agg``; absent ones are null or ``fill``.
 
+    Keys come from ``agg`` (which is then computed for them as well) or, if given,
+    from ``key_rows``, a table of the known keys.
+
     The grid grows out of the distinct keys with ``explode`` in two steps (blocks,
     then buckets), so no row ever holds the whole time range and nothing is cross
     joined. The left join then shuffles on bucket and key together, so one busy
@@ -114,7 +118,10 @@ def gapfill(
         n = -(-(hi - lo) // width.micros)
     dtype = agg.schema[bucket].dataType
     spark: SparkSession = agg.sparkSession
-    base = agg.select(*keys).distinct() if keys else spark.range(1).select()
+    if keys:
+        base = (agg if key_rows is None else key_rows).select(*keys).distinct()
+    else:
+        base = spark.range(1).select()
     if hi <= lo:
         base, n = base.where(F.lit(False)), 1
     blocks = -(-n // _GRID_BLOCK)

@@ -220,7 +220,10 @@ class ChunkedTable:
         return self.read_chunks().where(F.col("load") == load).select(*self.schema.names)
 
     def create_view(self, name: str, with_chunk_id: bool = False) -> None:
-        """A temporary view for ``spark.sql``; filters on its ``chunk_id`` prune folders."""
+        """A temporary view for ``spark.sql``; filters on its ``chunk_id`` prune folders.
+
+        A view of :meth:`show_chunks` beside it gives SQL the chunk numbers without a scan.
+        """
         shown = [*self.schema.names, *(["chunk_id"] if with_chunk_id else [])]
         self.read_chunks().select(*shown).createOrReplaceTempView(name)
 

@@ -76,7 +76,7 @@ def dbl(column: Column | str) -> Column:
 
 
 def empty_table(
-    spark: SparkSession, sf_dir: str, name: str, interval: str = "1 day"
+    spark: SparkSession, sf_dir: str, name: str, interval: str = "3 days"
 ) -> ChunkedTable:
     schema = readings(spark, sf_dir).schema
     for f in schema.fields:
@@ -87,7 +87,7 @@ def empty_table(
 
 
 def loaded_table(
-    spark: SparkSession, sf_dir: str, name: str, interval: str = "1 day"
+    spark: SparkSession, sf_dir: str, name: str, interval: str = "3 days"
 ) -> ChunkedTable:
     """A chunked copy of the readings, for queries that change it."""
     out = empty_table(spark, sf_dir, name, interval)
@@ -102,5 +102,5 @@ def shared_table(spark: SparkSession, sf_dir: str) -> ChunkedTable:
     """One chunked copy per session for the queries that only read."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SHARED:
-        _SHARED[key] = loaded_table(spark, sf_dir, "readings")
+        _SHARED[key] = loaded_table(spark, sf_dir, "readings", "1 day")
     return _SHARED[key]

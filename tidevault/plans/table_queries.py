@@ -43,6 +43,9 @@ from tidevault.sources.load import append_all, bulk_load, insert_each
 
 _DAY_US = 86_400_000_000
 _CHUNK = f"epoch_us(ts) // {_DAY_US}"
+# Queries that change their table use chunks of three days.
+_BIG_US = 3 * _DAY_US
+_BIG = f"epoch_us(ts) // {_BIG_US}"
 _STARTS = f"make_timestamp(chunk_id * {_DAY_US})"
 _ENDS = f"make_timestamp((chunk_id + 1) * {_DAY_US})"
 
@@ -160,7 +163,8 @@ def last_24h_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over a view: the subqueries on ``chunk_id`` prune folders at run time."""
     t = shared_table(spark, sf_dir)
     t.create_view("lecturas_por_chunk", with_chunk_id=True)
-    newest = "(SELECT max(chunk_id) FROM lecturas_por_chunk)"
+    t.show_chunks().createOrReplaceTempView("lista_de_chunks")
+    newest = "(SELECT max(chunk_id) FROM lista_de_chunks)"
     latest = f"(SELECT max(ts) FROM lecturas_por_chunk WHERE chunk_id = {newest})"
     return spark.sql(
         f"""SELECT auto_id, count(*) AS lecturas, CAST(max(velocidad) AS DOUBLE) AS vel_max
@@ -254,9 +258,9 @@ _BATCH_SQL = ", ".join(
 )
 _PLUS_BATCH = f"{TELE}, plus AS (SELECT * FROM tele UNION ALL SELECT * FROM (VALUES {_BATCH_SQL}))"
 
-_PER_CHUNK = f"""SELECT {_CHUNK} AS chunk_id, count(*) AS lecturas,
-    CAST(sum({VEL}) AS BIGINT) AS centi_vel, CAST(sum(revoluciones) AS BIGINT) AS rpm,
-    count(event_type) AS con_tipo"""
+_FIGURES = f"""count(*) AS lecturas, CAST(sum({VEL}) AS BIGINT) AS centi_vel,
+    CAST(sum(revoluciones) AS BIGINT) AS rpm, count(event_type) AS con_tipo"""
+_PER_CHUNK = f"SELECT {_BIG} AS chunk_id, {_FIGURES}"
 
 
 def _per_chunk(t: ChunkedTable) -> DataFrame:
@@ -272,7 +276,7 @@ def _per_chunk(t: ChunkedTable) -> DataFrame:
     )
 
 
-@query(f"WITH {TELE} {_PER_CHUNK} FROM tele GROUP BY 1")
+@query(f"WITH {TELE} SELECT {_CHUNK} AS chunk_id, {_FIGURES} FROM tele GROUP BY 1")
 def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_chunk(shared_table(spark, sf_dir))
 
@@ -348,11 +352,11 @@ def _state(t: ChunkedTable) -> DataFrame:
 
 
 def _first(n: int) -> str:
-    return f"(SELECT min({_CHUNK}) + {n} FROM tele)"
+    return f"(SELECT min({_BIG}) + {n} FROM tele)"
 
 
 @query(
-    f"""WITH {TELE} {_PER_CHUNK}, {_CHUNK} < {_first(2)} AS is_compressed FROM tele GROUP BY ALL"""
+    f"""WITH {TELE} {_PER_CHUNK}, {_BIG} < {_first(2)} AS is_compressed FROM tele GROUP BY ALL"""
 )
 def compact_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = loaded_table(spark, sf_dir, "lossless")
@@ -361,13 +365,13 @@ def compact_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_chunk(t).join(flags, "chunk_id")
 
 
-_JAN14 = f"epoch_us(TIMESTAMP '2024-01-14') // {_DAY_US}"
+_JAN14 = f"epoch_us(TIMESTAMP '2024-01-14') // {_BIG_US}"
 
 
 @query(
     f"""WITH {_PLUS_BATCH}
-        SELECT {_CHUNK} AS chunk_id, count(*) AS n_rows, true AS is_compressed,
-               CAST(CASE WHEN {_CHUNK} = {_JAN14} THEN 5 ELSE 0 END AS BIGINT) AS overflow_rows
+        SELECT {_BIG} AS chunk_id, count(*) AS n_rows, true AS is_compressed,
+               CAST(CASE WHEN {_BIG} = {_JAN14} THEN 5 ELSE 0 END AS BIGINT) AS overflow_rows
         FROM plus GROUP BY 1"""
 )
 def overflow_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,15 +389,15 @@ def recompact_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = loaded_table(spark, sf_dir, "recompact")
     compress_chunks(t, t.chunk_ids())
     t.append_rows(_BATCH, _BATCH_COLUMNS)
-    compress_chunks(t, chunk_starting(t, "2024-01-14"))
+    compress_chunks(t, chunk_starting(t, "2024-01-12"))
     flags = t.chunks().select("chunk_id", "is_compressed", "overflow_rows")
     return _per_chunk(t).join(flags, "chunk_id")
 
 
 @query(
     f"""WITH {TELE}, cut AS (SELECT epoch_us(max(ts) - INTERVAL '7 days') AS us FROM tele)
-        SELECT {_CHUNK} AS chunk_id, count(*) AS n_rows,
-               ({_CHUNK} + 1) * {_DAY_US} < us AS is_compressed, CAST(0 AS BIGINT) AS overflow_rows
+        SELECT {_BIG} AS chunk_id, count(*) AS n_rows,
+               ({_BIG} + 1) * {_BIG_US} < us AS is_compressed, CAST(0 AS BIGINT) AS overflow_rows
         FROM tele, cut GROUP BY ALL"""
 )
 def compact_due_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,7 +407,7 @@ def compact_due_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {TELE} SELECT {_CHUNK} AS chunk_id, count(*) AS rows_before, count(*) AS rows_after
+    f"""WITH {TELE} SELECT {_BIG} AS chunk_id, count(*) AS rows_before, count(*) AS rows_after
         FROM tele GROUP BY 1"""
 )
 def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,20 +421,31 @@ def compaction_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_chunks(t, t.chunk_ids())
 
 
+@query(
+    f"""WITH {TELE} SELECT 'tele/' || CAST({_BIG} AS VARCHAR) AS chunk_name, count(*) AS n_rows
+        FROM tele WHERE {_BIG} < {_first(3)} GROUP BY 1"""
+)
+def compacted_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = loaded_table(spark, sf_dir, "listing")
+    compress_chunks(t, oldest_chunks(t, 3))
+    label = F.concat_ws("/", F.lit("tele"), F.col("chunk_id").cast("string"))
+    return t.chunks().where("is_compressed").select(label.alias("chunk_name"), "n_rows")
+
+
 # -- retention ----------------------------------------------------------------------
 
-_KEPT = f"({_CHUNK} + 1) * {_DAY_US} >= (SELECT epoch_us(max(ts) - INTERVAL '5 days') FROM tele)"
+_CUT = "(SELECT epoch_us(max(ts) - INTERVAL '5 days') FROM tele)"
 
 
 @query(
-    f"""WITH {TELE} SELECT DISTINCT {_CHUNK} AS chunk_id FROM tele WHERE NOT ({_KEPT})"""
+    f"""WITH {TELE} SELECT DISTINCT {_CHUNK} AS chunk_id FROM tele WHERE ({_CHUNK} + 1) * {_DAY_US} < {_CUT}"""
 )
 def retention_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = shared_table(spark, sf_dir)
     return preview(t, t.max_ts() - dt.timedelta(days=5)).select("chunk_id")
 
 
-@query(f"WITH {TELE} {_PER_CHUNK} FROM tele WHERE {_KEPT} GROUP BY 1")
+@query(f"WITH {TELE} {_PER_CHUNK} FROM tele WHERE ({_BIG} + 1) * {_BIG_US} >= {_CUT} GROUP BY 1")
 def retention_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = loaded_table(spark, sf_dir, "retention")
     as_of = t.max_ts()
@@ -531,6 +546,16 @@ def rollup_policy_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(r.view())
 
 
+@query(
+    f"""WITH {TELE}, v AS ({_VIEW} FROM tele GROUP BY 1, 2)
+        SELECT * FROM v WHERE hora = TIMESTAMP '2024-01-20 08:00:00'"""
+)
+def rollup_bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _rollup(shared_table(spark, sf_dir), spark).build()
+    at = "2024-01-20 08:00"
+    return _shown(r.view(at, at, closed="both"))
+
+
 @query(
     f"""WITH {TELE}, v AS (
           SELECT CAST({VEL_MEAN} * 10 AS BIGINT) * 10 AS c FROM tele
@@ -678,10 +703,10 @@ def _lived(spark: SparkSession, sf_dir: str) -> tuple[ChunkedTable, Rollup, Chun
 
 
 @query(
-    f"""WITH {TELE} SELECT {_CHUNK} AS chunk_id, count(*) AS n_rows,
-          ({_CHUNK} + 1) * {_DAY_US} < epoch_us(TIMESTAMP '2024-01-24') AS is_compressed,
-          0 AS overflow_rows
-        FROM tele WHERE ({_CHUNK} + 1) * {_DAY_US} >= epoch_us(TIMESTAMP '2024-01-11') GROUP BY 1"""
+    f"""WITH {TELE} SELECT {_BIG} AS chunk_id, count(*) AS n_rows,
+          ({_BIG} + 1) * {_BIG_US} < epoch_us(TIMESTAMP '2024-01-24') AS is_compressed,
+          CAST(0 AS BIGINT) AS overflow_rows
+        FROM tele WHERE ({_BIG} + 1) * {_BIG_US} >= epoch_us(TIMESTAMP '2024-01-11') GROUP BY 1"""
 )
 def lifecycle_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(_lived(spark, sf_dir)[0])
@@ -692,3 +717,11 @@ def lifecycle_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lifecycle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_lived(spark, sf_dir)[1].view())
+
+
+@query(
+    f"""WITH {TELE}, hour AS (SELECT TIMESTAMP '2024-01-30 23:00:00' AS v)
+        {_KPI} HAVING max(revoluciones) IS NOT NULL"""
+)
+def lifecycle_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kpi_shown(kpi_read(_lived(spark, sf_dir)[2], _SPEC))
