@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidevault import TELEMETRY, ChunkedTable
+from tidevault.operators import chunks
 from tidevault.operators.reports import pruning_report, sizing, sizing_of, table_sizes
 from tidevault.schemas import conform, enforce_not_null, split_valid
 from tidevault.session import work_dir
@@ -98,6 +99,16 @@ def test_sql_prunes_with_a_subquery_on_the_chunk(spark, month):
     assert files_read(newest) == 3
 
 
+def test_sql_range_function(spark, month):
+    month.create_range_function("month_between")
+    day = spark.sql(
+        "SELECT * FROM month_between(TIMESTAMP '2026-05-10', TIMESTAMP '2026-05-12') WHERE auto_id < 4"
+    )
+    assert day.columns == TELEMETRY.names and day.count() == 144
+    assert files_read(day) == 2
+    assert day.exceptAll(month.scan("2026-05-10", "2026-05-12").where("auto_id < 4")).isEmpty()
+
+
 def test_time_statistics_are_written(month):
     import glob
 
@@ -119,8 +130,9 @@ def test_a_repeated_load_replaces_itself(spark, root):
     table.append(rows)
     assert table.scan().count() == 960
     assert table.load_rows("nightly").count() == 480
-    with pytest.raises(ValueError):
-        table.append(rows, "compacted")
+    for bad in ("compacted", "a/b", "x*"):
+        with pytest.raises(ValueError):
+            table.append(rows, bad)
 
 
 def test_not_null_stops_the_insert(spark, root):
@@ -218,15 +230,16 @@ def test_reports(spark, month):
     assert table_sizes({"m": month}).first().n_rows == 7200
 
 
-def test_many_chunks_use_partition_filters(spark, root):
-    table = make(spark, root, "10 minutes")
-    table.append(telemetry(spark, "2026-05-01", 6 * 24 * 4, "10 minutes", cars=1), "x")
-    assert len(table.chunk_ids()) == 576
-    wide = table.scan("2026-05-01", "2026-05-04 12:00")
-    assert wide.count() == 504 and files_read(wide) == 504
-    some = table.chunk_ids()[::2] + [table.chunk_ids()[1]] * 2
-    assert table.read_chunks(some * 2).count() == 289
-    assert table.read_chunks([]).count() == 0
+def test_many_chunks_use_partition_filters(month, monkeypatch):
+    monkeypatch.setattr(chunks, "_NAMED_CHUNKS", 5)
+    wide = month.scan("2026-05-02", "2026-05-12 12:00")
+    assert wide.count() == 2520 and files_read(wide) == 11
+    assert "PartitionFilters: [isnotnull(chunk_id" in explained(wide)
+    ids = month.chunk_ids()
+    some = ids[::2] + [ids[1]]
+    assert month.read_chunks(some * 2).count() == 16 * 240
+    assert files_read(month.read_chunks(some)) == 16
+    assert month.read_chunks([]).count() == 0
 
 
 def test_a_chunk_with_most_rows_is_written_by_several_tasks(spark, root):

@@ -94,6 +94,9 @@ def test_what_retention_dropped_stays_rolled_up(spark, root):
     rollup.refresh("2026-05-01", "2026-05-07")
     assert rollup.refresh_changed(table.scan()) == 3
     assert kept_rows(rollup) == before
+    assert kept_rows(rollup.build()) == before
+    later = Rollup(table, f"{root}/later", "1 day", ["auto_id"], {"velocidad": "vel"}).build()
+    assert kept_rows(later) == fresh_rows(later)
 
 
 def test_a_bucket_half_dropped_keeps_its_figures(spark, root):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -121,8 +122,8 @@ class ChunkedTable:
         much of the data over several tasks.
         """
         label = load or f"append-{uuid.uuid4().hex[:12]}"
-        if label == COMPACTED:
-            raise ValueError(f"{COMPACTED!r} is kept for compaction")
+        if label == COMPACTED or not re.fullmatch(r"[\w.-]+", label):
+            raise ValueError(f"not a label for a load: {label!r}")
         rows = self.routed(df).withColumn("load", F.lit(label))
         writer = rows.hint("rebalance", F.col("chunk_id")).write.partitionBy("chunk_id", "load")
         if load is not None and self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"):
@@ -227,6 +228,28 @@ class ChunkedTable:
         shown = [*self.schema.names, *(["chunk_id"] if with_chunk_id else [])]
         self.read_chunks().select(*shown).createOrReplaceTempView(name)
 
+    def create_range_function(self, name: str) -> None:
+        """A temporary table function for ``spark.sql``: rows from ``lo`` up to before ``hi``.
+
+        Catalyst inlines it, so its bounds on ``chunk_id`` prune folders as a scan's do.
+        """
+        self.create_view(f"{name}_rows", with_chunk_id=True)
+        kind = self.ts_type.simpleString()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        shown = ", ".join(f"`{c}`" for c in self.schema.names)
+
+        def chunk(us: str) -> str:
+            return f"({us} - pmod({us}, {self.interval_us})) DIV {self.interval_us}"
+
+        lo, hi = (f"unix_micros(CAST({name}.{b} AS TIMESTAMP))" for b in ("lo", "hi"))
+        self.spark.sql(
+            f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(lo {kind}, hi {kind})
+                RETURNS TABLE({columns})
+                RETURN SELECT {shown} FROM {name}_rows
+                       WHERE chunk_id >= {chunk(lo)} AND chunk_id <= {chunk(f'({hi} - 1)')}
+                         AND `{self.ts}` >= {name}.lo AND `{self.ts}` < {name}.hi"""
+        )
+
     # -- bounds taken from the data -----------------------------------------
 
     def _edge(self, pick, order: list[int]) -> dt.datetime | None:

@@ -77,8 +77,20 @@ class Rollup:
     # -- materialising --------------------------------------------------------
 
     def build(self) -> Rollup:
-        """Materialise the whole history, replacing what is there."""
-        self.table.replace_chunks(self.aggregate(self.source.scan()), self.table.chunk_ids())
+        """Materialise the whole history, replacing what is there.
+
+        Buckets kept from before retention emptied the source stay as they are.
+        """
+        ids, floor = self.table.chunk_ids(), self.source.dropped_below()
+        if floor is None or not ids:
+            self.table.replace_chunks(self.aggregate(self.source.scan()), ids)
+            return self
+        lo = self.width.ceil(floor, self.origin)
+        ids = [i for i in ids if i >= self.table.id_of(lo)]
+        older = self.table.read_chunks(ids).where(F.col(self.bucket) < ts_lit(lo, self.table.ts_type))
+        renewed = self.aggregate(self.source.scan(start=from_micros(lo)))
+        kept = older.select(*self.table.schema.names)
+        self.table.replace_chunks(kept.unionByName(renewed), ids)
         return self
 
     def window(self, start: Instant, end: Instant) -> tuple[int, int] | None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidevault.functions.buckets import downsample
+from tidevault.functions.sql import register
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.compact import (
     chunk_starting,
@@ -174,6 +175,23 @@ def last_24h_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {TELE} SELECT time_bucket(INTERVAL '6 hours', ts) AS ventana, count(*) AS lecturas,
+          max(revoluciones) AS rpm_max
+        FROM tele WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-19'
+        GROUP BY 1 ORDER BY 1"""
+)
+def sql_range_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark)
+    shared_table(spark, sf_dir).create_range_function("lecturas_entre")
+    return spark.sql(
+        """SELECT time_bucket(INTERVAL '6' HOUR, ts) AS ventana, count(*) AS lecturas,
+                  max(revoluciones) AS rpm_max
+           FROM lecturas_entre(TIMESTAMP_NTZ '2024-01-05', TIMESTAMP_NTZ '2024-01-19')
+           GROUP BY 1 ORDER BY 1"""
+    )
+
+
 # -- catalogue --------------------------------------------------------------------
 
 
