@@ -10,7 +10,7 @@ from tidevault.operators import chunks
 from tidevault.operators.reports import pruning_report, sizing, sizing_of, table_sizes
 from tidevault.schemas import conform, enforce_not_null, split_valid
 from tidevault.session import work_dir
-from tidevault.sources.generate import product, series, telemetry, time_series
+from tidevault.sources.generate import product, series, telemetry, telemetry_for, time_series
 from tidevault.sources.load import append_all, bulk_load, insert_each
 
 
@@ -279,6 +279,10 @@ def test_generators(spark):
     plan = explained(product(spark, a=3, b=4))
     assert "Join" not in plan and "Cartesian" not in plan
     assert product(spark, a=3, b=0).count() == 0
+    cars = spark.range(1, 4).select(F.col("id").cast("int").alias("auto_id"))
+    same = telemetry_for(cars, "2026-01-01", 5000, "5 seconds")
+    assert same.exceptAll(telemetry(spark, "2026-01-01", 5000, "5 seconds", cars=3)).isEmpty()
+    assert same.count() == 15_000 and telemetry_for(cars, "2026-01-01", 0).count() == 0
 
 
 def test_session_zone_has_to_be_utc(spark, root):

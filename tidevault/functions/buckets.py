@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidevault.functions.times import Instant, Width, from_micros, to_micros, ts_lit
+from tidevault.session import spread
 
 WidthLike = Width | str | dt.timedelta
 
@@ -105,8 +106,8 @@ def gapfill(
     from ``key_rows``, a table of the known keys.
 
     The grid grows out of the distinct keys with ``explode`` in two steps (blocks,
-    then buckets), so no row ever holds the whole time range and nothing is cross
-    joined. The left join then shuffles on bucket and key together, so one busy
+    spread over all tasks, then buckets), so no row ever holds the whole time range
+    and nothing is cross joined. The left join then shuffles on bucket and key together, so one busy
     key is spread over all tasks.
     """
     width = Width.parse(width)
@@ -126,7 +127,7 @@ def gapfill(
         base, n = base.where(F.lit(False)), 1
     blocks = -(-n // _GRID_BLOCK)
     numbers = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    blocked = base.select("*", F.explode(numbers).alias("_block"))
+    blocked = spread(base.select("*", F.explode(numbers).alias("_block")), *keys, "_block")
     step = blocked.select(
         *keys,
         F.explode(

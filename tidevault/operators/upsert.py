@@ -41,19 +41,20 @@ def upsert(
         rows.write.parquet(path)
     staged = table.spark.read.parquet(path)
     try:
-        ids = [r[0] for r in staged.select("chunk_id").distinct().collect()]  # one per chunk
-        if not ids:
+        per_key = staged.groupBy("chunk_id", *key).count()
+        touched = per_key.groupBy("chunk_id").agg(F.sum("count"), F.max("count"))
+        touched = touched.collect()  # one row per chunk
+        if not touched:
             return 0
-        if version is None:
-            repeated = staged.groupBy(*key).count().where("count > 1")
-            if not repeated.isEmpty():
-                raise ValueError(f"the batch holds a key of {tuple(key)} more than once")
+        if max(most for _, _, most in touched) > 1:
+            raise ValueError(f"the batch holds a key of {tuple(key)} more than once")
+        ids = [chunk for chunk, _, _ in touched]
         table.recover()
         existing = table.read_chunks(ids).select(*table.schema.names)
         untouched = existing.join(staged.select(*key), list(key), "left_anti")
         rows = conform(staged.drop("chunk_id"), table.schema)
         table.replace_chunks(untouched.select(*table.schema.names).unionByName(rows), ids)
-        return staged.count()
+        return sum(rows for _, rows, _ in touched)
     finally:
         table.folder.delete(kept)
 

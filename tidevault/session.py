@@ -37,6 +37,15 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone!r}")
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Few rows that are about to become many, over as many tasks as a shuffle has.
+
+    The number is given outright: AQE would join small partitions into one again.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
+
+
 @contextmanager
 def micros_timestamps(df: DataFrame) -> Iterator[None]:
     """Write zoned timestamps as 64-bit microseconds while ``df`` is written.

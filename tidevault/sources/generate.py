@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidevault.functions.times import Instant, Width, fixed_micros, to_micros
 from tidevault.schemas import TELEMETRY, conform
+from tidevault.session import spread
 
 # Per sensor, lowest value and number of values in units of the last decimal.
 SENSORS = {
@@ -23,6 +24,8 @@ SENSORS = {
     "consumo_potencia": (-50, 801, 10),
     "autonomia": (150, 350, 1),
 }
+# Steps made per generated block of one car.
+_BLOCK = 4096
 SENSOR_NUMBER = {name: k for k, name in enumerate(SENSORS, start=1)}
 
 
@@ -100,6 +103,13 @@ def telemetry(
 def telemetry_for(
     cars: DataFrame, start: Instant, steps: int, step: str | dt.timedelta | Width = "1 hour"
 ) -> DataFrame:
-    """Readings at every step for the cars of a table with the column ``auto_id``."""
-    grid = cars.select("auto_id", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("s"))
+    """Readings at every step for the cars of a table with the column ``auto_id``.
+
+    Steps are made in blocks, so that even one car's readings are made by many tasks.
+    """
+    last = max(steps - 1, 0)
+    blocks = F.sequence(F.lit(0), F.lit(last), F.lit(_BLOCK)) if steps > 0 else F.array()
+    starts = cars.select("auto_id", F.explode(blocks.cast("array<int>")).alias("_first"))
+    inside = F.sequence(F.col("_first"), F.least(F.col("_first") + (_BLOCK - 1), F.lit(last)))
+    grid = spread(starts, "auto_id", "_first").select("auto_id", F.explode(inside).alias("s"))
     return _with_sensors(grid, to_micros(start), fixed_micros(step))
