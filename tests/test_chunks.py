@@ -130,7 +130,9 @@ def test_a_repeated_load_replaces_itself(spark, root):
     table.append(rows)
     assert table.scan().count() == 960
     assert table.load_rows("nightly").count() == 480
-    for bad in ("compacted", "a/b", "x*"):
+    table.append(telemetry(spark, "2026-05-01", 24), "nightly")
+    assert table.scan().count() == 720 and table.load_rows("nightly").count() == 240
+    for bad in ("compacted-1", "append-1", "a/b", "x*"):
         with pytest.raises(ValueError):
             table.append(rows, bad)
 

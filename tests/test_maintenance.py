@@ -142,16 +142,86 @@ def test_recovery(spark, root):
     """A driver that died between two moves loses nothing."""
     table = make(spark, root, days=3)
     before = prints(table)
-    first, second, _ = table.chunk_ids()
-    table.folder.mkdirs("_old-dead")
-    table.folder.mkdirs("_staging-dead")
-    # The first chunk was moved aside and not replaced; the second was replaced.
+    first, second, third = table.chunk_ids()
+    for name in ("_old-dead", "_staging-dead", "_append-dead", "_batch-dead"):
+        table.folder.mkdirs(name)
+    # The first chunk was moved aside and not replaced, while another load arrived.
     table.folder.rename(f"chunk_id={first}", f"_old-dead/chunk_id={first}")
+    table.append_rows([(1, "2026-05-01 10:00:00")], ["auto_id", "ts"])
+    # The second was replaced: its old rows must not come back.
     table.folder.mkdirs(f"_old-dead/chunk_id={second}")
-    assert table.scan().count() == 480
+    table.folder.rename(f"chunk_id={second}/load=initial", f"chunk_id={second}/load=compacted-dead")
+    table.folder.mkdirs(f"_old-dead/chunk_id={second}/load=initial")
+    assert table.scan().count() == 481
     table.recover()
+    after = {r.chunk_id: r for r in prints(table)}
+    assert after[first].n_rows == 241
+    assert [after[second], after[third]] == before[1:]
+    assert table.folder.names("_append-*") == ["_append-dead"]
+    table.sweep()
+    for kind in ("old", "staging", "append", "batch"):
+        assert table.folder.names(f"_{kind}-*") == []
+
+
+def test_rows_that_arrive_during_compaction_stay(spark, root, monkeypatch):
+    table = make(spark, root, days=2)
+    swap = ChunkedTable.swap_in
+
+    def late(self, *args):
+        self.append_rows([(42, "2026-05-01 10:00:00")], ["auto_id", "ts"])
+        self.append(telemetry(spark, "2026-05-02 00:30", 1), "late")
+        swap(self, *args)
+
+    monkeypatch.setattr(ChunkedTable, "swap_in", late)
+    compress_chunks(table, table.chunk_ids())
+    monkeypatch.undo()
+    assert table.scan().count() == 480 + 11
+    state = table.chunks().orderBy("chunk_id").collect()
+    assert [r.overflow_rows for r in state] == [1, 10] and all(r.is_compressed for r in state)
+    compress_chunks(table, table.chunk_ids())
+    assert [r.overflow_rows for r in table.chunks().collect()] == [0, 0]
+    assert table.scan().count() == 491
+
+
+def test_a_load_run_again_after_compaction(spark, root):
+    """What a rewrite took in is not added once more; chunks that missed it get it."""
+    table = make(spark, root, days=2)
+    rows = telemetry(spark, "2026-05-01 00:30", 72)
+    table.append(rows, "nightly")
+    before = prints(table)
+    compress_chunks(table, oldest_chunks(table, 2))
+    table.append(rows, "nightly")
     assert prints(table) == before
-    assert not table.folder.names("_old-*") and not table.folder.names("_staging-*")
+    compress_chunks(table, table.chunk_ids())
+    table.folder.delete(f"chunk_id={table.chunk_ids()[2]}")
+    table.append(rows, "nightly")
+    assert prints(table) == before
+    table.replace_chunks(table.scan(), table.chunk_ids())
+    table.append(rows, "nightly")
+    assert prints(table) == before
+
+
+@pytest.mark.parametrize("verify", ["counts", "off"])
+def test_cheaper_checks(spark, root, verify):
+    table = make(spark, root, days=2)
+    before = prints(table)
+    compress_chunks(table, table.chunk_ids(), verify=verify)
+    assert prints(table) == before
+    with pytest.raises(ValueError):
+        compress_chunks(table, [], verify="maybe")
+
+
+def test_appends_may_run_side_by_side(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = make(spark, root, days=1)
+
+    def one(i):
+        table.append(telemetry(spark, "2026-05-01", 48, cars=2), f"job-{i}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, range(4)))
+    assert table.scan().count() == 240 + 4 * 96
 
 
 def test_replace_may_read_what_it_replaces(spark, root):

@@ -1,9 +1,12 @@
 """Time-chunked Parquet tables: routing, pruned scans and the chunk catalogue.
 
 Layout: ``root/chunk_id=N/load=LABEL/*.parquet``. ``chunk_id`` is the chunk's number
-on the epoch grid; ``load`` names the append that brought the rows, or
-``compacted`` for rows rewritten by :mod:`tidevault.operators.compact`. Both are
-hidden from readers of the table. Maintenance assumes one writer at a time.
+on the epoch grid; ``load`` names the append that brought the rows, or the rewrite
+that put them in order. Both are hidden from readers of the table.
+
+Every write is staged beside the table and put in place by folder renames, so appends
+do not disturb each other, and may go on while chunks are compacted or dropped. Two
+maintenance calls on one table may not run at the same time.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ from tidevault.session import micros_timestamps, require_utc
 from tidevault.sources.folders import Folder, fresh
 
 COMPACTED = "compacted"
+REPLACED = "replace"
+# Labels of these kinds are made here and never given by callers.
+_OWN_LABELS = ("append-", f"{COMPACTED}-", f"{REPLACED}-")
+_ABSORBED = "_absorbed"
 _DEFINITION = "_table.json"
 _DROPPED = "_dropped"
 # Up to this many chunks a bounded scan names its folders, so that only they are listed.
@@ -116,25 +123,37 @@ class ChunkedTable:
     def append(self, df: DataFrame, load: str | None = None) -> str:
         """Append rows, each to the chunk of its ``ts``.
 
-        A repeated append under the same ``load`` label replaces its own rows, so a
-        job or micro-batch that is run again does not double them. ``REBALANCE``
-        gathers small chunks into few files and lets AQE split a chunk that holds
-        much of the data over several tasks.
+        A repeated append under the same ``load`` label replaces its own rows, or
+        leaves them where a rewrite has taken them in since: a job or micro-batch
+        that is run again does not double them. ``REBALANCE`` gathers small chunks
+        into few files and lets AQE split a chunk that holds much of the data over
+        several tasks.
         """
+        if load is not None and (load.startswith(_OWN_LABELS) or not re.fullmatch(r"[\w.-]+", load)):
+            raise ValueError(f"not a label for a load: {load!r}")
         label = load or f"append-{uuid.uuid4().hex[:12]}"
-        if label == COMPACTED or not re.fullmatch(r"[\w.-]+", label):
-            raise ValueError(f"not a label for a load: {label!r}")
-        rows = self.routed(df).withColumn("load", F.lit(label))
-        writer = rows.hint("rebalance", F.col("chunk_id")).write.partitionBy("chunk_id", "load")
-        if load is not None and self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"):
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        else:
-            # Nothing to replace: a plain append commits with far fewer folder moves.
-            writer = writer.mode("append")
-        with micros_timestamps(rows):
-            writer.parquet(self.root)
+        staging = fresh("append")
+        self.stage(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
+        earlier = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"))
+        absorbing = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/{_ABSORBED}"))
+        staged = set(self.folder.chunk_ids(staging))
+        for chunk in sorted(staged | earlier):
+            name = f"chunk_id={chunk}"
+            if chunk in earlier:
+                self.folder.delete(f"{name}/load={label}")
+            elif chunk in absorbing and label in self.absorbed(name):
+                continue
+            if chunk in staged:
+                self.folder.mkdirs(name)
+                self.folder.rename(f"{staging}/{name}", f"{name}/load={label}")
+        self.folder.delete(staging)
         return label
 
+    def absorbed(self, name: str) -> set[str]:
+        """Labels whose rows a rewrite of the chunk folder has taken in."""
+        path = f"{name}/{_ABSORBED}"
+        return set(self.folder.read_text(path).split()) if self.folder.exists(path) else set()
+
     def append_rows(self, rows: Iterable[tuple], columns: Sequence[str] | None = None) -> str:
         """Insert literal rows; columns that are not named become NULL."""
         names = list(columns or self.schema.names)
@@ -330,7 +349,7 @@ class ChunkedTable:
             per_file = self.spark.createDataFrame(
                 [], "chunk_id long, load string, file_path string, file_size long, rows long"
             )
-        is_new = F.col("load") != COMPACTED
+        is_new = ~F.col("load").startswith(COMPACTED)
         per_chunk = per_file.groupBy("chunk_id").agg(
             F.sum("rows").alias("n_rows"),
             F.count(F.lit(1)).alias("n_files"),
@@ -376,35 +395,61 @@ class ChunkedTable:
     def recover(self) -> None:
         """Finish or undo a replacement whose driver died half-way, and clear what it staged."""
         for aside in self.folder.names("_old-*"):
-            for chunk in self.folder.chunk_ids(aside):
-                if not self.folder.exists(f"chunk_id={chunk}"):
-                    self.folder.rename(f"{aside}/chunk_id={chunk}", f"chunk_id={chunk}")
+            token = aside.removeprefix("_old-")
+            done = set(self.folder.chunk_ids(pattern=f"chunk_id=*/load=*-{token}"))
+            for chunk in set(self.folder.chunk_ids(aside)) - done:
+                name = f"chunk_id={chunk}"
+                self.folder.mkdirs(name)
+                for part in [*self.folder.names(f"{aside}/{name}/load=*"), f"{aside}/{name}/{_ABSORBED}"]:
+                    home = part.removeprefix(f"{aside}/")
+                    if self.folder.exists(part) and not self.folder.exists(home):
+                        self.folder.rename(part, home)
             self.folder.delete(aside)
         for staging in self.folder.names("_staging-*"):
             self.folder.delete(staging)
 
-    def swap_in(self, staging: str, ids: Sequence[int], load: str) -> None:
+    def sweep(self) -> None:
+        """Remove what dead writers left behind; only while nothing writes to the table."""
+        self.recover()
+        for kind in ("append", "batch", "touched"):
+            for name in self.folder.names(f"_{kind}-*"):
+                self.folder.delete(name)
+
+    def swap_in(
+        self, staging: str, ids: Sequence[int], kind: str, seen: Mapping[int, set[str]] | None = None
+    ) -> None:
         """Put staged chunks in place of the live ones; ids without staged rows vanish.
 
-        Each chunk changes hands by folder renames, after all its rows are written.
+        A chunk changes hands by folder renames, after all its rows are written. With
+        ``seen`` (the loads that were read, per chunk), loads that arrived since stay.
         """
-        aside = fresh("old")
+        token = uuid.uuid4().hex[:12]
+        aside = f"_old-{token}"
         staged = set(self.folder.chunk_ids(staging))
         live = set(self.chunk_ids())
         self.folder.mkdirs(aside)
         for chunk in sorted(staged | (set(ids) & live)):
             name = f"chunk_id={chunk}"
-            if chunk in staged:
-                self.folder.mkdirs(f"{staging}/ready/{name}")
-                self.folder.rename(f"{staging}/{name}", f"{staging}/ready/{name}/load={load}")
+            taken: set[str] = set()
             if chunk in live:
+                taken = self.absorbed(name)
                 self.folder.rename(name, f"{aside}/{name}")
+                for part in self.folder.names(f"{aside}/{name}/load=*"):
+                    label = part.rsplit("load=", 1)[1]
+                    if seen is not None and label not in seen.get(chunk, ()):
+                        self.folder.mkdirs(name)
+                        self.folder.rename(part, f"{name}/load={label}")
+                    elif not label.startswith(_OWN_LABELS):
+                        taken.add(label)
             if chunk in staged:
-                self.folder.rename(f"{staging}/ready/{name}", name)
+                self.folder.mkdirs(name)
+                if taken:
+                    self.folder.write_text(f"{name}/{_ABSORBED}", "\n".join(sorted(taken)))
+                self.folder.rename(f"{staging}/{name}", f"{name}/load={kind}-{token}")
         self.folder.delete(aside)
         self.folder.delete(staging)
 
-    def replace_chunks(self, df: DataFrame, ids: Sequence[int], load: str | None = None) -> None:
+    def replace_chunks(self, df: DataFrame, ids: Sequence[int]) -> None:
         """Make ``df`` the whole content of the chunks ``ids`` (and of any other it touches).
 
         ``df`` may read those very chunks: nothing live is moved before it is written.
@@ -412,7 +457,7 @@ class ChunkedTable:
         self.recover()
         staging = fresh("staging")
         self.stage(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
-        self.swap_in(staging, ids, load or f"replace-{uuid.uuid4().hex[:12]}")
+        self.swap_in(staging, ids, REPLACED)
 
     def stage(
         self,

@@ -13,6 +13,7 @@ from tidevault.functions.buckets import (
 )
 from tidevault.functions.scalars import pretty_bytes
 from tidevault.functions.sql import register
+from tidevault.functions.times import Width, from_micros, to_micros
 from tidevault.operators.reports import sizing, table_counts
 from tidevault.plans.registry import (
     TELE,
@@ -21,6 +22,7 @@ from tidevault.plans.registry import (
     mean,
     query,
     readings,
+    shared_table,
     table,
 )
 from tidevault.sources.generate import SENSOR_NUMBER, SENSORS, telemetry_for, time_series
@@ -194,11 +196,12 @@ def gapfill_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM hours h LEFT JOIN tele t ON date_trunc('hour', t.ts) = h.hora GROUP BY 1"""
 )
 def hour_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = readings(spark, sf_dir)
-    counted = downsample(rows, "1 hour", {"lecturas": _lecturas()}, "hora")
-    first, last = counted.agg(F.min("hora"), F.max("hora")).first()
+    t = shared_table(spark, sf_dir)
+    hour = Width.parse("1 hour")
+    first, last = (from_micros(hour.floor(to_micros(at))) for at in (t.min_ts(), t.max_ts()))
     hours = time_series(spark, first, last, "1 hour", "hora")
     hours = hours.select(F.col("hora").cast("timestamp_ntz").alias("hora"))
+    counted = downsample(t.scan(), "1 hour", {"lecturas": _lecturas()}, "hora")
     return hours.join(counted, "hora", "left").fillna({"lecturas": 0})
 
 

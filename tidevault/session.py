@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -46,21 +47,33 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(n, *columns)
 
 
+_writing: dict[str, tuple[int, str]] = {}
+_lock = threading.Lock()
+
+
 @contextmanager
 def micros_timestamps(df: DataFrame) -> Iterator[None]:
     """Write zoned timestamps as 64-bit microseconds while ``df`` is written.
 
     Spark's default for them is a 96-bit type without statistics: a filter on ``ts``
     could skip no row group, and ordered instants could not be stored as differences.
+    The setting is the session's, so writers in several threads share it.
     """
-    conf = df.sparkSession.conf
-    key = "spark.sql.parquet.outputTimestampType"
-    before = conf.get(key)
-    conf.set(key, "TIMESTAMP_MICROS")
+    session = df.sparkSession
+    key, name = "spark.sql.parquet.outputTimestampType", session._jsparkSession.sessionUUID()
+    with _lock:
+        writers, before = _writing.get(name, (0, session.conf.get(key)))
+        _writing[name] = (writers + 1, before)
+        session.conf.set(key, "TIMESTAMP_MICROS")
     try:
         yield
     finally:
-        conf.set(key, before)
+        with _lock:
+            writers, before = _writing.pop(name)
+            if writers > 1:
+                _writing[name] = (writers - 1, before)
+            else:
+                session.conf.set(key, before)
 
 
 @lru_cache(maxsize=1)

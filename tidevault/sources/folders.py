@@ -58,8 +58,9 @@ class Folder:
         return self._to_text(self._to_paths(self._fs.globStatus(self._path(pattern))))
 
     def names(self, pattern: str) -> list[str]:
-        stem = pattern.split("*")[0]
-        return sorted(set(re.findall(re.escape(stem) + r"[^/,}\s]*", self.matches(pattern))))
+        """Names, below this folder, that match a pattern with one star at its end."""
+        stem = re.escape(pattern.rstrip("*"))
+        return sorted(set(re.findall(rf"/({stem}[^/,}}\s]*)", self.matches(pattern))))
 
     def chunk_ids(self, within: str = "", pattern: str = "chunk_id=*") -> list[int]:
         """Chunk folders present, in time order; as many as there are chunks, never rows."""
