@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from plans import explained, files_read
@@ -51,6 +52,27 @@ def test_edges_and_instants_before_the_epoch(spark, root):
     assert table.min_ts() == dt.datetime(1969, 12, 30, 23, 59, 59, 999999)
 
 
+def test_routing_agrees_with_the_driver(spark, root):
+    rng = random.Random(7)
+    micros = [rng.randrange(-(10**16), 10**16) for _ in range(2000)]
+    rows = spark.createDataFrame([(us,) for us in micros], "us long")
+    for interval in ("1 day", "3 days", "90 minutes", "7 seconds"):
+        table = ChunkedTable(spark, root, TELEMETRY, "ts", interval)
+        routed = rows.select("us", table.id_column(F.timestamp_micros("us")).alias("c"))
+        start, end = table.range_columns("c")
+        held = (F.unix_micros(start) <= F.col("us")) & (F.col("us") < F.unix_micros(end))
+        for us, chunk, inside in routed.select("us", "c", held).collect():
+            assert chunk == table.id_of(us) and inside
+
+
+def test_arranged_rows_are_not_shuffled(spark, root):
+    table = make(spark, root)
+    rows = telemetry(spark, "2026-05-01", 96).repartitionByRange(4, "ts")
+    rows.write.parquet(f"{root}/_files")
+    bulk_load(table, f"{root}/_files", "parquet", arranged=True)
+    assert table.scan().exceptAll(rows).isEmpty() and table.scan().count() == 960
+
+
 @pytest.mark.parametrize(
     "closed,expected", [("left", 240), ("right", 240), ("both", 250), ("neither", 230)]
 )

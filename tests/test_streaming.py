@@ -45,6 +45,20 @@ def test_late_rows_reach_the_rollup_by_refresh(spark, root):
     assert rollup.view().exceptAll(rebuilt.view()).isEmpty()
 
 
+def test_a_running_stream_takes_up_new_files(spark, root):
+    table, _ = tables(spark, root)
+    source = arrive(spark, root, telemetry(spark, "2026-05-01", 24))
+    stream = stream_into(source, table, "in", f"{root}/ck", interval="1 second")
+    try:
+        stream.processAllAvailable()
+        assert table.scan().count() == 240
+        arrive(spark, root, telemetry(spark, "2026-05-02", 24))
+        stream.processAllAvailable()
+        assert table.scan().count() == 480
+    finally:
+        stream.stop()
+
+
 def test_a_batch_run_again_does_not_double(spark, root):
     """The sink wrote, the commit was lost: the same batch comes once more."""
     import glob

@@ -120,20 +120,23 @@ class ChunkedTable:
         checked = enforce_not_null(conform(df, self.schema), self.schema)
         return checked.withColumn("chunk_id", self.id_column(F.col(self.ts)))
 
-    def append(self, df: DataFrame, load: str | None = None) -> str:
+    def append(self, df: DataFrame, load: str | None = None, arranged: bool = False) -> str:
         """Append rows, each to the chunk of its ``ts``.
 
         A repeated append under the same ``load`` label replaces its own rows, or
         leaves them where a rewrite has taken them in since: a job or micro-batch
-        that is run again does not double them. ``REBALANCE`` gathers small chunks
-        into few files and lets AQE split a chunk that holds much of the data over
-        several tasks.
+        that is run again does not double them.
+
+        ``REBALANCE`` gathers small chunks into few files and lets AQE split a chunk
+        that holds much of the data over several tasks. Rows that are ``arranged``, so
+        that each task already holds few chunks (files in time order), skip this shuffle.
         """
         if load is not None and (load.startswith(_OWN_LABELS) or not re.fullmatch(r"[\w.-]+", load)):
             raise ValueError(f"not a label for a load: {load!r}")
         label = load or f"append-{uuid.uuid4().hex[:12]}"
         staging = fresh("append")
-        self.stage(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
+        rows = self.routed(df)
+        self.stage(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
         earlier = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"))
         absorbing = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/{_ABSORBED}"))
         staged = set(self.folder.chunk_ids(staging))

@@ -70,9 +70,12 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: in
     for chunk, load in set(re.findall(r"chunk_id=(-?\d+)/load=([^/]+)/", "\n".join(live.inputFiles()))):
         seen.setdefault(int(chunk), set()).add(load)
     if small:
-        # Each of these fits one task by its measured size: one file per chunk.
+        # Each of these fits one task by its measured size: one file per chunk. Counting
+        # from the first chunk gives neighbours tasks of their own.
         rows = live.where(F.col("chunk_id").isin(small)).drop("load")
-        rows = rows.repartition(min(len(small), _MAX_TASKS), "chunk_id")
+        n = min(max(small) - min(small) + 1, 2 * len(small), _MAX_TASKS)
+        place = ((F.col("chunk_id") - min(small)) % n).cast("int")
+        rows = rows.repartitionById(n, place)
         rows = rows.sortWithinPartitions("chunk_id", *order)
         table.stage(rows, staging, "append", options)
     if large:

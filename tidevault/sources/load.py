@@ -19,10 +19,18 @@ def read_files(table: ChunkedTable, path: str, fmt: str = "csv", **options: str)
 
 
 def bulk_load(
-    table: ChunkedTable, path: str, fmt: str = "csv", load: str | None = None, **options: str
+    table: ChunkedTable,
+    path: str,
+    fmt: str = "csv",
+    load: str | None = None,
+    arranged: bool = False,
+    **options: str,
 ) -> str:
-    """Load csv, json, parquet or orc files; the same ``load`` label makes it repeatable."""
-    return table.append(read_files(table, path, fmt, **options), load)
+    """Load csv, json, parquet or orc files; the same ``load`` label makes it repeatable.
+
+    Files in time order are best loaded as ``arranged``, without a shuffle.
+    """
+    return table.append(read_files(table, path, fmt, **options), load, arranged)
 
 
 def append_all(table: ChunkedTable, batches: Iterable[DataFrame], load: str | None = None) -> str:
