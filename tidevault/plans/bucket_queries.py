@@ -234,7 +234,8 @@ def sql_time_bucket_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT 'events' AS tabla, count(*) AS registros FROM events
        UNION ALL SELECT 'orders', count(*) FROM orders
-       UNION ALL SELECT 'lineitem', count(*) FROM lineitem"""
+       UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
+    name="table_counts",
 )
 def table_counts_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts({n: table(spark, sf_dir, n) for n in ("events", "orders", "lineitem")})

@@ -16,15 +16,18 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under ``name`` or its function's own, with the SQL that checks it."""
+
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
-        QUERIES[fn.__name__] = run
+        key = name or fn.__name__
+        QUERIES[key] = run
         if oracle is not None:
-            ORACLES[fn.__name__] = oracle
+            ORACLES[key] = oracle
         return fn
 
     return register

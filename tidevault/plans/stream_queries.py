@@ -46,7 +46,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_chunk(t)
 
 
-@query(f"WITH {TELE}, v AS ({_VIEW} FROM tele GROUP BY 1, 2) SELECT * FROM v WHERE {_EMITTED}")
+@query(
+    f"WITH {TELE}, v AS ({_VIEW} FROM tele GROUP BY 1, 2) SELECT * FROM v WHERE {_EMITTED}",
+    name="stream_rollup",
+)
 def stream_rollup_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, rows = _arrivals(spark, sf_dir, "rollarrive")
     rows.write.parquet(folder)

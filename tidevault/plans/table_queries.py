@@ -218,7 +218,8 @@ def chunk_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
                count(*) AS chunks_total,
                CAST(sum(n) FILTER (chunk_id BETWEEN lo AND hi) AS BIGINT) AS rows_read,
                CAST(sum(n) AS BIGINT) AS rows_total
-        FROM c, r"""
+        FROM c, r""",
+    name="pruning_report",
 )
 def pruning_report_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = pruning_report(shared_table(spark, sf_dir), "2024-01-10", "2024-01-17")
@@ -416,7 +417,8 @@ def recompact_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {TELE}, cut AS (SELECT epoch_us(max(ts) - INTERVAL '7 days') AS us FROM tele)
         SELECT {_BIG} AS chunk_id, count(*) AS n_rows,
                ({_BIG} + 1) * {_BIG_US} < us AS is_compressed, CAST(0 AS BIGINT) AS overflow_rows
-        FROM tele, cut GROUP BY ALL"""
+        FROM tele, cut GROUP BY ALL""",
+    name="compact_due",
 )
 def compact_due_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = loaded_table(spark, sf_dir, "due")

@@ -12,12 +12,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "tidevault", cores: str = "8") -> SparkSession:
+def local_session(app: str = "tidevault", cores: str = "8", partitions: str = "8") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
