@@ -154,6 +154,8 @@ def test_a_repeated_load_replaces_itself(spark, root):
     assert table.load_rows("nightly").count() == 480
     table.append(telemetry(spark, "2026-05-01", 24), "nightly")
     assert table.scan().count() == 720 and table.load_rows("nightly").count() == 240
+    table.append(rows.where("false"), "nightly")
+    assert table.scan().count() == 480
     for bad in ("compacted-1", "append-1", "a/b", "x*"):
         with pytest.raises(ValueError):
             table.append(rows, bad)

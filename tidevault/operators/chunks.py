@@ -44,6 +44,10 @@ _DROPPED = "_dropped"
 _NAMED_CHUNKS = 400
 
 
+def _chunk_glob(ids: Iterable[int]) -> str:
+    return "chunk_id={" + ",".join(str(i) for i in sorted(ids)) + "}"
+
+
 class ChunkedTable:
     """A table whose rows live in chunks of a fixed time interval."""
 
@@ -120,7 +124,13 @@ class ChunkedTable:
         checked = enforce_not_null(conform(df, self.schema), self.schema)
         return checked.withColumn("chunk_id", self.id_column(F.col(self.ts)))
 
-    def append(self, df: DataFrame, load: str | None = None, arranged: bool = False) -> str:
+    def append(
+        self,
+        df: DataFrame,
+        load: str | None = None,
+        arranged: bool = False,
+        same_rows: bool = False,
+    ) -> str:
         """Append rows, each to the chunk of its ``ts``.
 
         A repeated append under the same ``load`` label replaces its own rows, or
@@ -130,6 +140,8 @@ class ChunkedTable:
         ``REBALANCE`` gathers small chunks into few files and lets AQE split a chunk
         that holds much of the data over several tasks. Rows that are ``arranged``, so
         that each task already holds few chunks (files in time order), skip this shuffle.
+        Where a repeat always brings the ``same_rows``, as a micro-batch does, only the
+        chunks of those rows are looked at for an earlier attempt.
         """
         if load is not None and (load.startswith(_OWN_LABELS) or not re.fullmatch(r"[\w.-]+", load)):
             raise ValueError(f"not a label for a load: {load!r}")
@@ -137,9 +149,15 @@ class ChunkedTable:
         staging = fresh("append")
         rows = self.routed(df)
         self.stage(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
-        earlier = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/load={label}"))
-        absorbing = set() if load is None else set(self.folder.chunk_ids(pattern=f"chunk_id=*/{_ABSORBED}"))
         staged = set(self.folder.chunk_ids(staging))
+        earlier: set[int] = set()
+        absorbing: set[int] = set()
+        if load is not None and (staged or not same_rows):
+            where = "chunk_id=*"
+            if same_rows and len(staged) <= _NAMED_CHUNKS:
+                where = _chunk_glob(staged)
+            earlier = set(self.folder.chunk_ids(pattern=f"{where}/load={label}"))
+            absorbing = set(self.folder.chunk_ids(pattern=f"{where}/{_ABSORBED}"))
         for chunk in sorted(staged | earlier):
             name = f"chunk_id={chunk}"
             if chunk in earlier:
@@ -179,7 +197,7 @@ class ChunkedTable:
             return reader.parquet(self.root)
         live = sorted(set(ids))
         if len(live) <= _NAMED_CHUNKS:
-            pattern = "chunk_id={" + ",".join(str(i) for i in live) + "}"
+            pattern = _chunk_glob(live)
             if not live or not self.folder.chunk_ids(pattern=pattern):
                 return self.spark.createDataFrame([], self.stored)
             return reader.option("basePath", self.root).parquet(f"{self.root}/{pattern}")

@@ -39,11 +39,13 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Few rows that are about to become many, over as many tasks as a shuffle has.
+    """Few rows that are about to become many, over all the cores there are.
 
     The number is given outright: AQE would join small partitions into one again.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
     return df.repartition(n, *columns)
 
 

@@ -41,7 +41,7 @@ def stream_into(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, f"{name}-{batch_id}")
+        table.append(batch, f"{name}-{batch_id}", same_rows=True)
 
     return _start(rows, "append", each, name, checkpoint, interval)
 
@@ -86,7 +86,8 @@ def stream_rollup(
     closed = closed.withColumnRenamed("_start", rollup.bucket)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rollup.table.append(conform(batch, rollup.table.schema), f"{name}-{batch_id}")
+        rows = conform(batch, rollup.table.schema)
+        rollup.table.append(rows, f"{name}-{batch_id}", same_rows=True)
 
     return _start(closed, "append", each, name, checkpoint, interval)
 
