@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +28,13 @@ BATCH_ROWS = 4096
 _PART = "__partition"
 
 
-def _sized(table: pa.Table) -> np.ndarray:
-    lengths = pa.compute.binary_length(table["text"].cast(pa.large_binary()))
-    return lengths.fill_null(0).to_numpy(zero_copy_only=False) + 64
+def _sized(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    lengths = pc.binary_length(table["text"].cast(pa.large_binary()))
+    return np.asarray(pc.fill_null(lengths, 0)) + 64
 
 
 def batched(tables: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
     """Number and cut a partition's rows into batches of bounded bytes and rows."""
-    import pyarrow.compute  # noqa: F401
-
     held: list[pa.Table] = []
     size, rows, number, place = 0, 0, 0, None
     for record in tables:
@@ -56,7 +55,20 @@ def batched(tables: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
         yield (place << 32) + number, pa.concat_tables(held).combine_chunks()
 
 
-def texts_of(table: pa.Table) -> list[bytes]:
+def sliced(records: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut record batches to bounded bytes and rows, so that what is made of them stays small."""
+    for record in records:
+        begin, size = 0, 0
+        for i, length in enumerate(_sized(record)):
+            if i > begin and (size + length > BATCH_BYTES or i - begin == BATCH_ROWS):
+                yield record.slice(begin, i - begin)
+                begin, size = i, 0
+            size += length
+        if record.num_rows > begin:
+            yield record.slice(begin)
+
+
+def texts_of(table: pa.Table | pa.RecordBatch) -> list[bytes]:
     """UTF-8 bytes of the texts; a null text has none."""
     return [t or b"" for t in table["text"].cast(pa.large_binary()).to_pylist()]
 

@@ -5,10 +5,11 @@
    n-grams with it. N-grams of a single document cannot be shared, so a set with too many
    of them drops out here, which most do.
 2. Equal sets become one. The others are led to the n-grams of their prefix. In a first
-   round every n-gram compares its members with its least one only: a star, whose size is
-   linear. In a second round the n-grams whose members are not yet in one component compare
-   all members of different components. No link between components is lost so, and none
-   inside a component is needed.
+   round every n-gram compares its members with one of them only: a star, whose size is
+   linear. The hub is the member with the fewest n-grams of its own, which the copies of one
+   original are nearest to. In a second round the n-grams whose members are not yet in one
+   component compare all members that are not in their largest one with all members. No link
+   between components is lost so, and none inside a component is needed.
 3. Comparing means: the sets of a group, in global order, form a trie. A probe walks it
    level by level; sets with a common beginning share the count of the overlap so far, and a
    subtree is left when that count and the length that remains cannot reach the threshold.
@@ -166,20 +167,22 @@ def star_links(rows: pa.Table, percent: int) -> pa.Table:
 def cross_links(rows: pa.Table, percent: int) -> pa.Table:
     """Links between the components that meet in each group; one for each two of them."""
     rep, sets, n = _members(rows)
-    component, side = rows["component"].to_numpy(), rows["side"].to_numpy()
+    component = rows["component"].to_numpy()
     out = []
     for group in _grouped(rows, ["token", "i", "j"]):
         label = component[group].copy()
         trie = Trie([sets[g] for g in group], n[group])
-        one_block = (side[group] == 2).all()
-        for at, g in enumerate(group):
-            if not one_block and side[g]:
-                continue
+        # Members of the largest component need no walk: the others walk to them, from
+        # whichever side they stand on.
+        names, counts = np.unique(label, return_counts=True)
+        walkers = np.flatnonzero(label != names[np.argmax(counts)])
+        alone = [1 - len(sets[g]) / n[g] for g in group[walkers]]
+        for at in walkers[np.argsort(alone, kind="stable")]:
             if (label == label[at]).all():
                 break
-            for other in trie.matches(sets[g], int(n[g]), percent):
+            for other in trie.matches(sets[group[at]], int(n[group[at]]), percent):
                 if label[other] != label[at]:
-                    out.append((rep[g], rep[group[other]]))
+                    out.append((rep[group[at]], rep[group[other]]))
                     label[label == label[other]] = label[at]
     pairs = np.array(out, np.int64).reshape(-1, 2)
     return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_LINK)
@@ -271,7 +274,7 @@ def frequency_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def _star_round(reps: DataFrame, routes: DataFrame, percent: int) -> DataFrame:
     hubs = routes.groupBy("token").agg(
-        F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("m")
+        F.min(F.struct("alone", "rep", "n")).alias("hub"), F.count("*").alias("m")
     )
     near = (F.col("n") * 100 >= F.col("hub.n") * percent) & (F.col("hub.n") * 100 >= F.col("n") * percent)
     pairs = (
@@ -317,7 +320,6 @@ def _cross_round(reps: DataFrame, routes: DataFrame, linked: DataFrame, percent:
         "component",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
-        F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"),
     )
     return _run(pairs, reps, ["token", "i", "j"], lambda t: cross_links(t, percent))
 
@@ -350,7 +352,10 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
         .select("rep", "n", "tokens", "prefix"),
         "reps",
     )
-    routes = written(reps.select(F.explode("prefix").alias("token"), "rep", "n"), "routes")
+    alone = 1 - F.octet_length("tokens") / 8 / F.col("n")  # share of n-grams no one else has
+    routes = written(
+        reps.select(F.explode("prefix").alias("token"), "rep", "n", alone.alias("alone")), "routes"
+    )
     star = _star_round(reps, routes, percent)
     cross = _cross_round(reps, routes, components(star), percent)
     linked = components(star.union(cross)).withColumnRenamed("id", "rep")
