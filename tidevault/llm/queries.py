@@ -6,9 +6,17 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidevault.llm.bpe import round_trip
+from tidevault.llm.decontaminate import leaks
+from tidevault.llm.embeddings import near_vectors
 from tidevault.llm.ngram_join import ngram_components
+from tidevault.llm.quality import quality
+from tidevault.llm.sharding import place
+from tidevault.llm.token_counts import token_counts
+from tidevault.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +42,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 7 by a weighted hash tree, and the shard with one more."""
+    return place(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes: 4-word shingles, Jaccard similarity of 0.85 or more."""
     return ngram_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents by byte_bpe_50k.json."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(_table(spark, sf_dir, "documents"), path, 512)
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids by byte_bpe_50k.tiktoken, and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op8_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of equal label with a cosine of 0.93 or more, and their components."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain."""
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
