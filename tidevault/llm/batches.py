@@ -89,7 +89,7 @@ def _from_ipc(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-_ROW = pa.schema(
+ROW_SCHEMA = pa.schema(
     [
         ("batch", pa.int64()),
         ("docs", pa.binary()),
@@ -114,7 +114,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
                     "keys": [None],
                     "vals": [None],
                 },
-                _ROW,
+                ROW_SCHEMA,
             )
 
     return located(docs).mapInArrow(pack, ROW)
@@ -178,7 +178,7 @@ def ask(
             out["part"].append(part)
             out["keys"].append(keys[places[a:b]].tobytes())
             out["vals"].append(values[a:b].tobytes())
-        return pa.Table.from_pydict(out, _ROW)
+        return pa.Table.from_pydict(out, ROW_SCHEMA)
 
     return (
         located(docs)
@@ -203,3 +203,31 @@ def meet(
         return each(rows["batch"][0].as_py(), table, [a for a in answers if a[1] is not None])
 
     return rows_of(docs).unionByName(answers).groupBy("batch").applyInArrow(join, schema)
+
+
+SLICES = 64
+
+
+def tally(rows: DataFrame, count: Callable[[pa.RecordBatch], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """Sum the counts, an array of the given (bounded) shape, of all batches of rows."""
+
+    def partial(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape, np.int64)
+        for record in sliced(records):
+            total += count(record)
+        if total.any():
+            pieces = [p.tobytes() for p in np.split(total, SLICES, axis=1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(SLICES), pa.int64()), pa.array(pieces)], ["slice", "counts"]
+            )
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, np.int64) for c in table["counts"].to_pylist())
+        return pa.table({"slice": table["slice"][:1], "counts": pa.array([total.tobytes()])})
+
+    kinds = "slice long, counts binary"
+    sums = rows.mapInArrow(partial, kinds).groupBy("slice").applyInArrow(add, kinds).collect()
+    if not sums:
+        return np.zeros(shape, np.int64)
+    sums.sort(key=lambda r: r["slice"])
+    return np.concatenate([np.frombuffer(r["counts"], np.int64).reshape(shape[0], -1) for r in sums], axis=1)

@@ -367,3 +367,17 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near-duplicates, the least doc_id, with all its columns.
+
+    Documents without words are not alike and all stay, and so do rows without doc_id. Of
+    rows with the same doc_id one stays if they are alike.
+    """
+    groups = ngram_components(docs, k, percent)
+    gone = groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    twice = groups.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, "doc_id", "left_anti").unionByName(again).select(*docs.columns)

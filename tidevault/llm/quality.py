@@ -16,12 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidevault.llm.batches import sliced, texts_of
+from tidevault.llm.batches import sliced, tally, texts_of
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, runs_in_texts, words_of
 
 BITS = 18
-SLICES = 64
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -47,29 +46,12 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def log_ratios(rows: DataFrame) -> np.ndarray:
     """Log ratio of each feature's smoothed counts in class 1 and class 0, over all rows."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 << BITS), np.int64)
-        for b in sliced(batches):
-            found, edges = features(texts_of(b))
-            y = np.repeat(b["y"].to_numpy(), np.diff(edges))
-            for c in (0, 1):
-                total[c] += np.bincount(found[y == c], minlength=1 << BITS)
-        if total.any():
-            parts = np.split(total, SLICES, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int64()), pa.array([p.tobytes() for p in parts])], ["slice", "counts"]
-            )
-
-    def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in rows["counts"].to_pylist())
-        return pa.table({"slice": rows["slice"][:1], "counts": pa.array([total.tobytes()])})
+    def count(b: pa.RecordBatch) -> np.ndarray:
+        found, edges = features(texts_of(b))
+        y = np.repeat(b["y"].to_numpy(), np.diff(edges))
+        return np.stack([np.bincount(found[y == c], minlength=1 << BITS) for c in (0, 1)])
 
-    kinds = "slice long, counts binary"
-    sums = rows.mapInArrow(count, kinds).groupBy("slice").applyInArrow(add, kinds).collect()
-    if not sums:
-        return np.zeros(1 << BITS, np.float32)
-    parts = [np.frombuffer(r["counts"], np.int64).reshape(2, -1) for r in sorted(sums, key=lambda r: r["slice"])]
-    counts = np.concatenate(parts, axis=1) + SMOOTHING
+    counts = tally(rows, count, (2, 1 << BITS)) + SMOOTHING
     share = counts / counts.sum(axis=1, keepdims=True)
     return np.log(share[1] / share[0]).astype(np.float32)
 

@@ -15,6 +15,8 @@ from tidevault.llm.embeddings import near_vectors
 from tidevault.llm.ngram_join import ngram_components
 from tidevault.llm.quality import quality
 from tidevault.llm.sharding import place
+from tidevault.llm.substring_dedup import without_repeated_windows
+from tidevault.llm.suffix_dedup import repeat_report
 from tidevault.llm.token_counts import token_counts
 from tidevault.llm.toxicity import toxicity
 
@@ -67,6 +69,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), path, 512)
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left without byte strings of 400 that repeat."""
+    return repeat_report(_table(spark, sf_dir, "documents"), 400)
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all documents' ids by byte_bpe_50k.tiktoken, and of what they decode to."""
@@ -74,6 +82,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left without windows of 13 words that an earlier document has."""
+    return without_repeated_windows(_table(spark, sf_dir, "documents"), 13)
+
+
 @query
 def op8_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of equal label with a cosine of 0.93 or more, and their components."""

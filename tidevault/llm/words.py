@@ -26,18 +26,18 @@ def _draws(seed: int, n: int) -> np.ndarray:
 
 
 _BYTES = _draws(11, 256)
-_FACTOR = np.uint64(0xD6E8FEB86659FD93)
-_powers = np.ones(1, np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of the hash's factor."""
-    global _powers
-    if len(_powers) < n:
-        more = np.full(max(n, 1024), _FACTOR, np.uint64)
-        more[0] = 1
-        _powers = np.cumprod(more, dtype=np.uint64)
-    return _powers[:n]
+FACTOR = 0xD6E8FEB86659FD93
+_FACTOR = np.uint64(FACTOR)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, of: int = FACTOR) -> np.ndarray:
+    """The first ``n`` powers of a number, in 64 bits."""
+    if len(_powers.get(of, ())) < n:
+        factors = np.full(max(n, 1024), of, np.uint64)
+        factors[0] = 1
+        _powers[of] = np.cumprod(factors, dtype=np.uint64)
+    return _powers[of][:n]
 
 
 def _hash_chunk(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
