@@ -187,7 +187,9 @@ class Models:
         words = [tables["word0"], tables["word1"]]
         self.total = [max(1.0, w.sum()) for w in words]
         self.discounts = [_discounts(w) for w in words]
-        self.left = [self._taken(w, c).sum() / self.total[c] for c, w in enumerate(words)]
+        self.left = [
+            self._taken(w, c).sum() / self.total[c] if w.any() else 1.0 for c, w in enumerate(words)
+        ]
 
     def _taken(self, counts: np.ndarray, c: int) -> np.ndarray:
         return self.discounts[c][np.clip(counts, 0, 3).astype(np.int64)]
