@@ -5,8 +5,11 @@ on the epoch grid; ``load`` names the append that brought the rows, or the rewri
 that put them in order. Both are hidden from readers of the table.
 
 Every write is staged beside the table and put in place by folder renames, so appends
-do not disturb each other, and may go on while chunks are compacted or dropped. Two
+do not disturb each other, and may go on while chunks are compacted, replaced or dropped. Two
 maintenance calls on one table may not run at the same time.
+
+What an append or a replacement touched (chunks and instants) is noted in ``_changes``
+before it shows, so that rollups can follow whatever becomes of the files.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +44,9 @@ _OWN_LABELS = ("append-", f"{COMPACTED}-", f"{REPLACED}-")
 _ABSORBED = "_absorbed"
 _DEFINITION = "_table.json"
 _DROPPED = "_dropped"
-# Up to this many chunks a bounded scan names its folders, so that only they are listed.
+_CHANGES = "_changes"
+_COMMIT = "_commit"
+# Chunks that one path pattern names; a scan of more chunks has more patterns.
 _NAMED_CHUNKS = 400
 
 
@@ -81,19 +87,37 @@ class ChunkedTable:
 
     # -- definition ---------------------------------------------------------
 
+    def _definition(self) -> dict:
+        return {
+            "schema": self.schema.jsonValue(),
+            "ts": self.ts,
+            "interval_us": self.interval_us,
+            "segment_by": list(self.segment_by),
+            "order_by": [list(o) for o in self.order_by],
+        }
+
     def create(self) -> ChunkedTable:
-        """Create the table unless it exists; the definition is kept beside the data."""
+        """Create the table unless it exists; the definition is kept beside the data.
+
+        A table that exists has to have the same columns, ``ts`` and interval: under others
+        its rows would not be found. Its stored clustering and comments hold.
+        """
         if not self.folder.exists(_DEFINITION):
             self.folder.mkdirs()
-            about = {
-                "schema": self.schema.jsonValue(),
-                "ts": self.ts,
-                "interval_us": self.interval_us,
-                "segment_by": self.segment_by,
-                "order_by": self.order_by,
-            }
-            self.folder.write_text(_DEFINITION, json.dumps(about))
-        return self
+            self.folder.write_text(_DEFINITION, json.dumps(self._definition()))
+            return self
+        kept = ChunkedTable.open(self.spark, self.root)
+
+        def columns(schema: T.StructType) -> list[tuple]:
+            return [(f.name, f.dataType, f.nullable) for f in schema]
+
+        mine, theirs = (
+            (columns(t.schema), t.ts, t.interval_us) for t in (self, kept)
+        )
+        for name, own, stored in zip(("columns", "ts", "interval"), mine, theirs, strict=True):
+            if own != stored:
+                raise ValueError(f"{self.root} exists with other {name}: {stored}, not {own}")
+        return kept
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> ChunkedTable:
@@ -133,9 +157,10 @@ class ChunkedTable:
     ) -> str:
         """Append rows, each to the chunk of its ``ts``.
 
-        A repeated append under the same ``load`` label replaces its own rows, or
-        leaves them where a rewrite has taken them in since: a job or micro-batch
-        that is run again does not double them.
+        A repeated append under the same ``load`` label replaces its own rows. Where a
+        rewrite has taken them in since, a repeat of the same rows adds nothing there: a job
+        or micro-batch that is run again does not double them. Other rows under such a
+        label are refused, because the earlier ones can no longer be told apart.
 
         ``REBALANCE`` gathers small chunks into few files and lets AQE split a chunk
         that holds much of the data over several tasks. Rows that are ``arranged``, so
@@ -148,28 +173,100 @@ class ChunkedTable:
         label = load or f"append-{uuid.uuid4().hex[:12]}"
         staging = fresh("append")
         rows = self.routed(df)
-        self.stage(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
+        facts = self._staged(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
         staged = set(self.folder.chunk_ids(staging))
         earlier: set[int] = set()
-        absorbing: set[int] = set()
+        absorbed: set[int] = set()
         if load is not None and (staged or not same_rows):
-            where = "chunk_id=*"
-            if same_rows and len(staged) <= _NAMED_CHUNKS:
-                where = _chunk_glob(staged)
-            earlier = set(self.folder.chunk_ids(pattern=f"{where}/load={label}"))
-            absorbing = set(self.folder.chunk_ids(pattern=f"{where}/{_ABSORBED}"))
-        for chunk in sorted(staged | earlier):
+            for where in self._patterns(staged) if same_rows else ["chunk_id=*"]:
+                earlier |= set(self.folder.chunk_ids(pattern=f"{where}/load={label}"))
+                for chunk in self.folder.chunk_ids(pattern=f"{where}/{_ABSORBED}"):
+                    if label in self.absorbed(f"chunk_id={chunk}"):
+                        absorbed.add(chunk)
+            told = [self._change(n) for n in self.changes(label)]
+            known = [(c["rows"], c["hash"]) for c in told]
+            if absorbed and known and (facts["rows"], facts["hash"]) != known[-1]:
+                self.folder.delete(staging)
+                raise ValueError(
+                    f"load {label!r} brings other rows than before, and a rewrite has taken those in"
+                )
+        touched = sorted(staged | earlier)
+        note = self._note(label, touched, facts)
+        for chunk in earlier:  # rows of an earlier attempt may lie outside the new instants
+            self._note(label, [chunk], {**facts, "lo": None, "hi": None})
+
+        def place(chunk: int) -> None:
             name = f"chunk_id={chunk}"
             if chunk in earlier:
-                self.folder.delete(f"{name}/load={label}")
-            elif chunk in absorbing and label in self.absorbed(name):
-                continue
+                self.folder.mkdirs(f"{staging}/_earlier")
+                self.folder.rename(f"{name}/load={label}", f"{staging}/_earlier/{chunk}")
+            elif chunk in absorbed:
+                return
             if chunk in staged:
                 self.folder.mkdirs(name)
                 self.folder.rename(f"{staging}/{name}", f"{name}/load={label}")
+
+        self.folder.each(place, touched)
+        self._shown(note)
         self.folder.delete(staging)
         return label
 
+    def _staged(self, rows: DataFrame, staging: str) -> dict:
+        """Stage rows; their number, hash sum and first and last instant come with the write."""
+        seen = Observation()
+        us = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        hashes = F.xxhash64(*self.schema.names).cast("decimal(38,0)")
+        observed = rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(hashes).cast("string").alias("hash"),
+            F.min(us).alias("lo"),
+            F.max(us).alias("hi"),
+        )
+        self.stage(observed, staging)
+        return {k: seen.get.get(k) for k in ("rows", "hash", "lo", "hi")}
+
+    # -- what has changed -----------------------------------------------------
+
+    def _note(self, label: str, chunks: Sequence[int], facts: Mapping) -> str:
+        """Note a change that is about to show; ``_shown`` says that it did."""
+        name = f"{_CHANGES}/{label}@{time.time_ns()}-{uuid.uuid4().hex[:6]}"
+        about = {k: facts.get(k) for k in ("rows", "hash", "lo", "hi")}
+        self.folder.mkdirs(_CHANGES)
+        self.folder.write_text(name, json.dumps({"chunks": list(chunks), **about}))
+        return name
+
+    def _shown(self, note: str) -> None:
+        self.folder.mkdirs(f"{note}.done")
+
+    def _change(self, name: str) -> dict:
+        return json.loads(self.folder.read_text(f"{_CHANGES}/{name}"))
+
+    def changes(self, label: str | None = None) -> list[str]:
+        """Names of the changes noted, or of those of a load; oldest first."""
+        stem = f"{_CHANGES}/{label}@*" if label else f"{_CHANGES}/*"
+        names = [n.removeprefix(f"{_CHANGES}/") for n in self.folder.names(stem)]
+        # Text files are written under a longer name first.
+        names = [n for n in names if re.fullmatch(r"[^@]+@\d+-[0-9a-f]{6}", n)]
+        return sorted(names, key=lambda n: int(n.rsplit("@", 1)[1].split("-")[0]))
+
+    def changes_shown(self) -> set[str]:
+        """Names of the changes that have come to show."""
+        names = self.folder.names(f"{_CHANGES}/*")
+        return {n.removeprefix(f"{_CHANGES}/").removesuffix(".done") for n in names if n.endswith(".done")}
+
+    def change_spans(self, name: str) -> list[tuple[int, int]]:
+        """First and last microsecond that a change may have touched, chunk by chunk."""
+        change = self._change(name)
+        out = []
+        for chunk in change["chunks"]:
+            lo, hi = chunk * self.interval_us, (chunk + 1) * self.interval_us - 1
+            lo = lo if change["lo"] is None else max(lo, change["lo"])
+            hi = hi if change["hi"] is None else min(hi, change["hi"])
+            if lo <= hi:
+                out.append((lo, hi))
+        return out
+
     def absorbed(self, name: str) -> set[str]:
         """Labels whose rows a rewrite of the chunk folder has taken in."""
         path = f"{name}/{_ABSORBED}"
@@ -188,35 +285,53 @@ class ChunkedTable:
     def chunk_ids(self) -> list[int]:
         return self.folder.chunk_ids()
 
-    def read_chunks(self, ids: Sequence[int] | None = None) -> DataFrame:
-        """Stored rows, with ``chunk_id`` and ``load``, of some chunks or of all."""
+    def _patterns(self, ids: Iterable[int]) -> list[str]:
+        """Path patterns that name the chunks, a bounded number of chunks each."""
+        ids = sorted(ids)
+        return [_chunk_glob(ids[i : i + _NAMED_CHUNKS]) for i in range(0, len(ids), _NAMED_CHUNKS)]
+
+    def read_chunks(self, ids: Iterable[int] | None = None) -> DataFrame:
+        """Stored rows, with ``chunk_id`` and ``load``, of some chunks or of all.
+
+        Chunks that are asked for are named, however many, and only they are listed.
+        """
         reader = self.spark.read.schema(self.stored)
         if ids is None:
             if not self.folder.exists():
                 return self.spark.createDataFrame([], self.stored)
             return reader.parquet(self.root)
-        live = sorted(set(ids))
-        if len(live) <= _NAMED_CHUNKS:
-            pattern = _chunk_glob(live)
-            if not live or not self.folder.chunk_ids(pattern=pattern):
-                return self.spark.createDataFrame([], self.stored)
-            return reader.option("basePath", self.root).parquet(f"{self.root}/{pattern}")
-        within = F.col("chunk_id").between(live[0], live[-1])
-        if len(live) < live[-1] - live[0] + 1:
-            within = within & F.col("chunk_id").isin(live)
-        return self.read_chunks().where(within)
+        live = set(ids).intersection(self.chunk_ids())
+        if not live:
+            return self.spark.createDataFrame([], self.stored)
+        paths = [f"{self.folder.plain_root}/{p}" for p in self._patterns(live)]
+        return reader.option("basePath", self.root).parquet(*paths)
 
     def read_range(self, first: int | None, last: int | None) -> DataFrame:
-        """Stored rows of the chunks ``first..last``; the bounds prune folders."""
-        if first is not None and last is not None and last - first < _NAMED_CHUNKS:
-            return self.read_chunks(range(first, last + 1))
-        df = self.read_chunks()
+        """Stored rows of the chunks ``first..last``."""
+        if first is None and last is None:
+            return self.read_chunks()
+        ids = [
+            i
+            for i in self.chunk_ids()
+            if (first is None or i >= first) and (last is None or i <= last)
+        ]
+        df = self.read_chunks(ids)
         if first is not None:
             df = df.where(F.col("chunk_id") >= first)
         if last is not None:
             df = df.where(F.col("chunk_id") <= last)
         return df
 
+    def loads_read(self, rows: DataFrame) -> dict[int, set[str]]:
+        """The loads, by chunk, of this table that a DataFrame has listed and will read."""
+        out: dict[int, set[str]] = {}
+        below = re.compile(r"/chunk_id=(-?\d+)/load=([^/]+)/[^/]+$")
+        for path in rows.inputFiles():
+            found = below.search(path)
+            if found and self.folder.holds(path):
+                out.setdefault(int(found[1]), set()).add(found[2])
+        return out
+
     def scan(
         self, start: Instant | None = None, end: Instant | None = None, closed: str = "left"
     ) -> DataFrame:
@@ -257,8 +372,19 @@ class ChunkedTable:
         return self.scan(from_micros(us), from_micros(width.add(us, 1)))
 
     def load_rows(self, load: str) -> DataFrame:
-        """Rows one append brought, as long as they have not been compacted."""
-        return self.read_chunks().where(F.col("load") == load).select(*self.schema.names)
+        """Rows one append brought, as long as they have not been compacted.
+
+        Rows that a rewrite has taken in can no longer be told apart, which is an error. A
+        micro-batch is found by its stream's name and its number.
+        """
+        own = (F.col("load") == load) | F.col("load").startswith(f"{load}.")
+        names = [n for n in self.changes() if n.split("@")[0] == load or n.startswith(f"{load}.")]
+        for label in {n.split("@")[0] for n in names}:
+            last = self._change([n for n in names if n.split("@")[0] == label][-1])
+            for chunk in last["chunks"]:
+                if label in self.absorbed(f"chunk_id={chunk}"):
+                    raise ValueError(f"load {label!r} has been taken in by a rewrite of chunk {chunk}")
+        return self.read_chunks().where(own).select(*self.schema.names)
 
     def create_view(self, name: str, with_chunk_id: bool = False) -> None:
         """A temporary view for ``spark.sql``; filters on its ``chunk_id`` prune folders.
@@ -414,7 +540,16 @@ class ChunkedTable:
     # -- replacing and dropping whole chunks ---------------------------------
 
     def recover(self) -> None:
-        """Finish or undo a replacement whose driver died half-way, and clear what it staged."""
+        """Finish the replacements whose driver died half-way; clear what was only staged.
+
+        A replacement that had begun is carried on to its end, chunk by chunk, so that it is
+        seen in full or, if it had not begun, not at all.
+        """
+        for staging in self.folder.names("_staging-*"):
+            if self.folder.exists(f"{staging}/{_COMMIT}"):
+                self._carry_out(staging)
+            else:
+                self.folder.delete(staging)
         for aside in self.folder.names("_old-*"):
             token = aside.removeprefix("_old-")
             done = set(self.folder.chunk_ids(pattern=f"chunk_id=*/load=*-{token}"))
@@ -426,8 +561,6 @@ class ChunkedTable:
                     if self.folder.exists(part) and not self.folder.exists(home):
                         self.folder.rename(part, home)
             self.folder.delete(aside)
-        for staging in self.folder.names("_staging-*"):
-            self.folder.delete(staging)
 
     def sweep(self) -> None:
         """Remove what dead writers left behind; only while nothing writes to the table."""
@@ -442,43 +575,71 @@ class ChunkedTable:
         """Put staged chunks in place of the live ones; ids without staged rows vanish.
 
         A chunk changes hands by folder renames, after all its rows are written. With
-        ``seen`` (the loads that were read, per chunk), loads that arrived since stay.
+        ``seen`` (the loads that were read, per chunk), loads that arrived since stay. What
+        is to be done is written down first, so that ``recover`` can carry it on.
         """
-        token = uuid.uuid4().hex[:12]
-        aside = f"_old-{token}"
         staged = set(self.folder.chunk_ids(staging))
-        live = set(self.chunk_ids())
+        plan = {
+            "kind": kind,
+            "token": uuid.uuid4().hex[:12],
+            "staged": sorted(staged),
+            "ids": sorted(staged | (set(ids) & set(self.chunk_ids()))),
+            "seen": None if seen is None else {str(c): sorted(s) for c, s in seen.items()},
+        }
+        self.folder.write_text(f"{staging}/{_COMMIT}", json.dumps(plan))
+        self._carry_out(staging)
+
+    def _carry_out(self, staging: str) -> None:
+        """Do what a staged replacement has written down, or what is left of it."""
+        plan = json.loads(self.folder.read_text(f"{staging}/{_COMMIT}"))
+        aside = f"_old-{plan['token']}"
+        seen = plan["seen"]
         self.folder.mkdirs(aside)
-        for chunk in sorted(staged | (set(ids) & live)):
-            name = f"chunk_id={chunk}"
-            taken: set[str] = set()
-            if chunk in live:
-                taken = self.absorbed(name)
+
+        def change_hands(chunk: int) -> None:
+            name, new = f"chunk_id={chunk}", f"load={plan['kind']}-{plan['token']}"
+            if self.folder.exists(f"{name}/{new}"):
+                return
+            if self.folder.exists(name) and not self.folder.exists(f"{aside}/{name}"):
                 self.folder.rename(name, f"{aside}/{name}")
+            taken: set[str] = set()
+            if self.folder.exists(f"{aside}/{name}"):
+                taken = self.absorbed(f"{aside}/{name}")
                 for part in self.folder.names(f"{aside}/{name}/load=*"):
                     label = part.rsplit("load=", 1)[1]
-                    if seen is not None and label not in seen.get(chunk, ()):
+                    if seen is not None and label not in seen.get(str(chunk), ()):
                         self.folder.mkdirs(name)
                         self.folder.rename(part, f"{name}/load={label}")
                     elif not label.startswith(_OWN_LABELS):
                         taken.add(label)
-            if chunk in staged:
+            if chunk in plan["staged"]:
                 self.folder.mkdirs(name)
-                if taken:
+                if taken and not self.folder.exists(f"{name}/{_ABSORBED}"):
                     self.folder.write_text(f"{name}/{_ABSORBED}", "\n".join(sorted(taken)))
-                self.folder.rename(f"{staging}/{name}", f"{name}/load={kind}-{token}")
+                self.folder.rename(f"{staging}/{name}", f"{name}/{new}")
+
+        self.folder.each(change_hands, plan["ids"])
         self.folder.delete(aside)
         self.folder.delete(staging)
 
-    def replace_chunks(self, df: DataFrame, ids: Sequence[int]) -> None:
+    def replace_chunks(
+        self, df: DataFrame, ids: Sequence[int], seen: Mapping[int, set[str]] | None = None
+    ) -> None:
         """Make ``df`` the whole content of the chunks ``ids`` (and of any other it touches).
 
-        ``df`` may read those very chunks: nothing live is moved before it is written.
+        ``df`` may read those very chunks: nothing live is moved before it is written. Rows
+        appended meanwhile stay: only loads that ``df`` has read, or that were there when the
+        call began, are replaced, or those in ``seen``.
         """
+        if seen is None:
+            seen = {**self.folder.loads(), **self.loads_read(df)}
         self.recover()
         staging = fresh("staging")
-        self.stage(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
-        self.swap_in(staging, ids, REPLACED)
+        facts = self._staged(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
+        touched = sorted({*ids, *self.folder.chunk_ids(staging)})
+        note = self._note(f"{REPLACED}-{staging[-12:]}", touched, {**facts, "lo": None, "hi": None})
+        self.swap_in(staging, ids, REPLACED, seen)
+        self._shown(note)
 
     def stage(
         self,
@@ -492,11 +653,10 @@ class ChunkedTable:
             writer.partitionBy("chunk_id").parquet(f"{self.root}/{staging}")
 
     def drop(self, ids: Sequence[int]) -> None:
-        """Delete whole chunks and remember how far the table has been emptied."""
-        for chunk in ids:
-            self.folder.delete(f"chunk_id={chunk}")
+        """Delete whole chunks, after noting how far the table is emptied."""
         if ids:
             self.folder.mkdirs(f"{_DROPPED}/below-{max(ids) + 1}")
+        self.folder.each(lambda chunk: self.folder.delete(f"chunk_id={chunk}"), ids)
 
     def dropped_below(self) -> int | None:
         """Start, in microseconds, of what retention has not dropped; None if nothing was."""
