@@ -124,12 +124,45 @@ def test_rejected_rows_of_a_stream_are_kept(spark, root):
     assert [r.auto_id for r in rejects.collect()] == [3, 3]
 
 
-def test_a_streamed_rollup_needs_the_epoch_grid(spark, root):
+def test_a_streamed_rollup_needs_a_grid(spark, root):
     table, _ = tables(spark, root)
     source = arrive(spark, root, telemetry(spark, "2026-05-01", 1))
-    for options in ({"width": "1 month"}, {"width": "90 minutes", "origin": "2026-05-01 00:20"}):
-        rollup = Rollup(
-            table, f"{root}/{options['width'][0]}", keys=["auto_id"], values={"velocidad": "vel"}, **options
-        )
-        with pytest.raises(ValueError, match="grid"):
-            stream_rollup(source, rollup, "x", f"{root}/ckx")
+    rollup = Rollup(table, f"{root}/1", "1 month", ["auto_id"], {"velocidad": "vel"})
+    with pytest.raises(ValueError, match="grid"):
+        stream_rollup(source, rollup, "x", f"{root}/ck")
+
+
+@pytest.mark.parametrize(("width", "origin"), [("7 days", None), ("90 minutes", "2026-05-01 00:20")])
+def test_streamed_buckets_lie_on_the_grid(spark, root, width, origin):
+    table, _ = tables(spark, root)
+    rows = telemetry(spark, "2026-05-01", 24 * 30)
+    table.append(rows, "all")
+    made = {}
+    for name in ("built", "streamed"):
+        made[name] = Rollup(table, f"{root}/{name}", width, ["auto_id"], {"velocidad": "vel"}, origin=origin)
+    made["built"].build()
+    stream_rollup(arrive(spark, root, rows), made["streamed"], "s", f"{root}/ck").awaitTermination()
+    out = made["streamed"].view()
+    assert out.count() > 30 and out.exceptAll(made["built"].view()).isEmpty()
+
+
+def test_stream_and_refresh_may_bring_the_same_buckets(spark, root):
+    table, rollup = tables(spark, root)
+    rows = telemetry(spark, "2026-05-01", 48)
+    table.append(rows, "all")
+    rollup.build()
+    before = rollup.view()
+    counted = before.count()
+    stream_rollup(arrive(spark, root, rows), rollup, "roll", f"{root}/ck").awaitTermination()
+    assert rollup.view().count() == counted
+    assert rollup.view().select("hora", "auto_id").distinct().count() == counted
+
+
+def test_another_checkpoint_is_another_stream(spark, root):
+    table, _ = tables(spark, root)
+    first = arrive(spark, f"{root}/a", telemetry(spark, "2026-05-01", 24))
+    second = arrive(spark, f"{root}/b", telemetry(spark, "2026-05-01", 12))
+    stream_into(first, table, "in", f"{root}/ck-a").awaitTermination()
+    stream_into(second, table, "in", f"{root}/ck-b").awaitTermination()
+    assert table.scan().count() == 360
+    assert table.load_rows("in-0").count() == 360

@@ -102,7 +102,8 @@ def gapfill(
 ) -> DataFrame:
     """Every bucket of ``[start, end)`` for every key of ``agg``; absent ones are null or ``fill``.
 
-    Keys come from ``agg`` (which is then computed for them as well) or, if given,
+    Rows of ``agg`` outside the range stay as they are, so nothing is lost to a range that
+    is too short. Keys come from ``agg`` (which is then computed for them as well) or, if given,
     from ``key_rows``, a table of the known keys.
 
     The grid grows out of the distinct keys with ``explode`` in two steps (blocks,
@@ -152,4 +153,7 @@ def gapfill(
     filled = joined.select(
         *[F.col(f"g.{c}").alias(c) for c in (bucket, *keys)], *[F.col(f"a.{c}") for c in values]
     )
-    return filled.fillna(dict(fill)) if fill else filled
+    filled = filled.fillna(dict(fill)) if fill else filled
+    edges = [ts_lit(edge, dtype) for edge in (lo, hi)]
+    outside = agg.where((F.col(bucket) < edges[0]) | (F.col(bucket) >= edges[1]) | F.col(bucket).isNull())
+    return filled.unionByName(outside.select(*filled.columns))

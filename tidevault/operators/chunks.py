@@ -19,7 +19,7 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -299,7 +299,7 @@ class ChunkedTable:
         if ids is None:
             if not self.folder.exists():
                 return self.spark.createDataFrame([], self.stored)
-            return reader.parquet(self.root)
+            return reader.option("basePath", self.root).parquet(self.folder.plain_root)
         live = set(ids).intersection(self.chunk_ids())
         if not live:
             return self.spark.createDataFrame([], self.stored)
@@ -394,15 +394,21 @@ class ChunkedTable:
         shown = [*self.schema.names, *(["chunk_id"] if with_chunk_id else [])]
         self.read_chunks().select(*shown).createOrReplaceTempView(name)
 
-    def create_range_function(self, name: str) -> None:
+    def create_range_function(
+        self, name: str, shown: Callable[[DataFrame], DataFrame] | None = None
+    ) -> None:
         """A temporary table function for ``spark.sql``: rows from ``lo`` up to before ``hi``.
 
         Catalyst inlines it, so its bounds on ``chunk_id`` prune folders as a scan's do.
+        ``shown`` may give other columns; it has to keep ``chunk_id`` and the instant.
         """
-        self.create_view(f"{name}_rows", with_chunk_id=True)
+        rows = self.read_chunks()
+        rows = rows.select(*self.schema.names, "chunk_id") if shown is None else shown(rows)
+        rows.createOrReplaceTempView(f"{name}_rows")
         kind = self.ts_type.simpleString()
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
-        shown = ", ".join(f"`{c}`" for c in self.schema.names)
+        fields = [f for f in rows.schema if f.name != "chunk_id"]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        shown_columns = ", ".join(f"`{f.name}`" for f in fields)
 
         def chunk(us: str) -> str:
             return f"({us} - pmod({us}, {self.interval_us})) DIV {self.interval_us}"
@@ -411,7 +417,7 @@ class ChunkedTable:
         self.spark.sql(
             f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(lo {kind}, hi {kind})
                 RETURNS TABLE({columns})
-                RETURN SELECT {shown} FROM {name}_rows
+                RETURN SELECT {shown_columns} FROM {name}_rows
                        WHERE chunk_id >= {chunk(lo)} AND chunk_id <= {chunk(f'({hi} - 1)')}
                          AND `{self.ts}` >= {name}.lo AND `{self.ts}` < {name}.hi"""
         )

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +16,7 @@ from tidevault.sources.folders import fresh
 TARGET_FILE_BYTES = 256 << 20
 # One pass rewrites about this much, which bounds the staging space and the work at stake.
 PASS_BYTES = 4 << 40
-_MAX_TASKS = 100_000
+PASS_CHUNKS = 20_000
 
 
 def _order(table: ChunkedTable) -> list[Column]:
@@ -34,11 +33,16 @@ def fingerprint(table: ChunkedTable, rows: DataFrame, hashes: bool = True) -> Da
     return rows.groupBy("chunk_id").agg(*aggs)
 
 
+def _hash_sum(table: ChunkedTable) -> Column:
+    """An order-free sum over rows that depends on all their columns and their chunk."""
+    return F.sum(F.xxhash64("chunk_id", *table.schema.names).cast("decimal(38,0)"))
+
+
 def _passes(sizes: dict[int, int]) -> list[list[int]]:
     passes: list[list[int]] = []
     room = 0
     for chunk, size in sorted(sizes.items()):
-        if not passes or size > room:
+        if not passes or size > room or len(passes[-1]) == PASS_CHUNKS:
             passes.append([])
             room = PASS_BYTES
         passes[-1].append(chunk)
@@ -66,35 +70,44 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: in
     order = _order(table)
     # One listing serves all steps: loads that arrive from now on are left alone.
     live = table.read_chunks(list(sizes))
-    seen: dict[int, set[str]] = {}
-    for chunk, load in set(re.findall(r"chunk_id=(-?\d+)/load=([^/]+)/", "\n".join(live.inputFiles()))):
-        seen.setdefault(int(chunk), set()).add(load)
-    if small:
-        # Each of these fits one task by its measured size: one file per chunk. Counting
-        # from the first chunk gives neighbours tasks of their own.
-        rows = live.where(F.col("chunk_id").isin(small)).drop("load")
-        n = min(max(small) - min(small) + 1, 2 * len(small), _MAX_TASKS)
-        place = ((F.col("chunk_id") - min(small)) % n).cast("int")
-        rows = rows.repartitionById(n, place)
-        rows = rows.sortWithinPartitions("chunk_id", *order)
+    seen = table.loads_read(live)
+    told: list[Observation] = []
+
+    def stage(rows: DataFrame) -> None:
+        if verify == "hashes":  # counted and summed in the tasks that write
+            told.append(Observation())
+            rows = rows.observe(told[-1], F.count(F.lit(1)).alias("n"), _hash_sum(table).alias("h"))
         table.stage(rows, staging, "append", options)
+
+    if small:
+        # Each of these fits one task by its measured size: one file per chunk. The place in
+        # the list of chunks gives each a task of its own, however they lie in time.
+        places = [(chunk, i) for i, chunk in enumerate(sorted(small))]
+        places = table.spark.createDataFrame(places, "chunk_id long, _place int")
+        rows = live.join(F.broadcast(places), "chunk_id").drop("load")
+        rows = rows.repartitionById(len(small), F.col("_place"))
+        stage(rows.sortWithinPartitions("chunk_id", *order).select(*table.schema.names, "chunk_id"))
     if large:
         # Ranges of (chunk, segment, order) cut a chunk into files of the target size
         # whatever its share of the data. The row's own position breaks ties, so
         # neither one busy segment nor a mass of equal rows can fill one task.
-        n = min(-(-sum(sizes[i] for i in large) // target), _MAX_TASKS)
+        n = -(-sum(sizes[i] for i in large) // target)
         rows = live.where(F.col("chunk_id").isin(large)).select(
             "*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tie")
         )
         rows = rows.drop("load").repartitionByRange(n, "chunk_id", *order, "_tie")
-        rows = rows.sortWithinPartitions("chunk_id", *order).drop("_tie")
-        table.stage(rows, staging, "append", options)
+        stage(rows.sortWithinPartitions("chunk_id", *order).drop("_tie"))
     if verify != "off":
-        # One row per chunk comes to the driver.
-        written = table.spark.read.schema(table.stored).parquet(f"{table.root}/{staging}")
-        before = fingerprint(table, live, verify == "hashes").collect()
-        after = fingerprint(table, written, verify == "hashes").collect()
-        if sorted(before) != sorted(after):
+        written = table.spark.read.schema(table.stored).option(
+            "basePath", f"{table.root}/{staging}"
+        ).parquet(f"{table.folder.plain_root}/{staging}")
+        # One row per chunk comes to the driver; the counts are in the files' footers.
+        before = fingerprint(table, live, False).collect()
+        same = sorted(before) == sorted(fingerprint(table, written, False).collect())
+        if same and verify == "hashes":
+            summed = sum(t.get.get("h") or 0 for t in told)
+            same = summed == (written.agg(_hash_sum(table)).first()[0] or 0)
+        if not same:
             table.folder.delete(staging)
             raise RuntimeError("rewritten chunks differ from the live ones; nothing was changed")
     table.swap_in(staging, list(sizes), COMPACTED, seen)

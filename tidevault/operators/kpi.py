@@ -27,7 +27,7 @@ class KpiSpec:
         default_factory=lambda: {"vel_max": "velocidad", "rpm_max": "revoluciones"}
     )
 
-    def create(self, spark, root: str, interval: str = "30 days") -> ChunkedTable:
+    def create(self, spark, root: str, interval: str = "1 day") -> ChunkedTable:
         return ChunkedTable(
             spark, root, self.schema, "ventana", interval, [self.key]
         ).create()

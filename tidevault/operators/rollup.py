@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,14 @@ from tidevault.functions.times import (
 )
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.reports import table_sizes
-from tidevault.sources.folders import fresh
+from tidevault.sources.folders import Folder, fresh
+
+_DEFINITION = "_rollup.json"
+_APPLIED = "_applied"
+# Stretches of time recomputed in one refresh; more are joined with their neighbours.
+_MOST_SPANS = 64
+# Up to this many touched buckets, readings are filtered by bucket before they are aggregated.
+_FEW_BUCKETS = 10_000
 
 
 class Rollup:
@@ -61,6 +69,42 @@ class Rollup:
         self.table = ChunkedTable(
             source.spark, root, T.StructType(fields), bucket, interval, self.keys
         ).create()
+        about = {
+            "source": source.root,
+            "width": [self.width.months, self.width.micros],
+            "keys": self.keys,
+            "values": self.values,
+            "bucket": bucket,
+            "digits": digits,
+            "interval_us": self.table.interval_us,
+            "origin": None if origin is None else to_micros(origin),
+        }
+        folder = self.table.folder
+        if not folder.exists(_DEFINITION):
+            folder.write_text(_DEFINITION, json.dumps(about))
+        kept = json.loads(folder.read_text(_DEFINITION))
+        other = [k for k in about if k not in ("digits", "source") and kept[k] != about[k]]
+        if other:
+            raise ValueError(f"{root} exists with another definition: {other}")
+
+    @classmethod
+    def open(cls, source: ChunkedTable, root: str) -> Rollup:
+        """A rollup made earlier, by its stored definition."""
+        about = json.loads(Folder(source.spark, root).read_text(_DEFINITION))
+        months, micros = about["width"]
+        width = Width.parse(f"{months} months" if months else dt.timedelta(microseconds=micros))
+        origin = about["origin"]
+        return cls(
+            source,
+            root,
+            width,
+            about["keys"],
+            about["values"],
+            about["bucket"],
+            about["digits"],
+            dt.timedelta(microseconds=about["interval_us"]),
+            None if origin is None else from_micros(origin),
+        )
 
     def aggregate(self, rows: DataFrame) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias("n")]
@@ -81,18 +125,26 @@ class Rollup:
 
         Buckets kept from before retention emptied the source stay as they are.
         """
+        shown = self.source.changes_shown()
         ids, floor = self.table.chunk_ids(), self.source.dropped_below()
         if floor is None or not ids:
             self.table.replace_chunks(self.aggregate(self.source.scan()), ids)
+            self._apply(shown)
             return self
         lo = self.width.ceil(floor, self.origin)
         ids = [i for i in ids if i >= self.table.id_of(lo)]
-        older = self.table.read_chunks(ids).where(F.col(self.bucket) < ts_lit(lo, self.table.ts_type))
+        current = self.table.read_chunks(ids)
+        older = current.where(F.col(self.bucket) < ts_lit(lo, self.table.ts_type))
         renewed = self.aggregate(self.source.scan(start=from_micros(lo)))
         kept = older.select(*self.table.schema.names)
-        self.table.replace_chunks(kept.unionByName(renewed), ids)
+        self.table.replace_chunks(kept.unionByName(renewed), ids, self._seen(current, ids))
+        self._apply(shown)
         return self
 
+    def _seen(self, current: DataFrame, ids: Iterable[int]) -> dict[int, set[str]]:
+        """The loads read of the chunks, none where there is nothing to read."""
+        return {i: set() for i in ids} | self.table.loads_read(current)
+
     def window(self, start: Instant, end: Instant) -> tuple[int, int] | None:
         """The buckets wholly inside ``[start, end)`` whose source retention has not dropped."""
         lo = self.width.ceil(to_micros(start), self.origin)
@@ -102,11 +154,6 @@ class Rollup:
             lo = max(lo, self.width.ceil(floor, self.origin))
         return (lo, hi) if lo < hi else None
 
-    def _outside(self, rows: DataFrame, lo: int, hi: int) -> DataFrame:
-        kind = self.table.ts_type
-        at = F.col(self.bucket)
-        return rows.where((at < ts_lit(lo, kind)) | (at >= ts_lit(hi, kind)))
-
     def refresh(self, start: Instant, end: Instant) -> tuple[dt.datetime, dt.datetime] | None:
         """Recompute the buckets of a window from the source; returns the window used.
 
@@ -117,16 +164,25 @@ class Rollup:
         span = self.window(start, end)
         if span is None:
             return None
-        lo, hi = span
-        ids = [
-            i
-            for i in self.table.chunk_ids()
-            if self.table.id_of(lo) <= i <= self.table.id_of(hi - 1)
-        ]
-        kept = self._outside(self.table.read_chunks(ids).select(*self.table.schema.names), lo, hi)
-        renewed = self.aggregate(self.source.scan(from_micros(lo), from_micros(hi)))
-        self.table.replace_chunks(kept.unionByName(renewed), ids)
-        return from_micros(lo), from_micros(hi)
+        self._refresh([span])
+        return from_micros(span[0]), from_micros(span[1])
+
+    def _refresh(self, spans: Sequence[tuple[int, int]]) -> None:
+        """Recompute the buckets of stretches of whole buckets, in order and apart."""
+        kind, at = self.table.ts_type, F.col(self.bucket)
+        own, src, inside, read = set(), set(), F.lit(False), F.lit(False)
+        for lo, hi in spans:
+            own |= {i for i in self.table.chunk_ids() if self.table.id_of(lo) <= i <= self.table.id_of(hi - 1)}
+            src |= {i for i in self.source.chunk_ids() if self.source.id_of(lo) <= i <= self.source.id_of(hi - 1)}
+            inside = inside | ((at >= ts_lit(lo, kind)) & (at < ts_lit(hi, kind)))
+            ts, ts_kind = F.col(self.source.ts), self.source.ts_type
+            read = read | ((ts >= ts_lit(lo, ts_kind)) & (ts < ts_lit(hi, ts_kind)))
+        ids = sorted(own)
+        current = self.table.read_chunks(ids)
+        kept = current.where(~inside).select(*self.table.schema.names)
+        rows = self.source.read_chunks(src).where(read).select(*self.source.schema.names)
+        renewed = self.aggregate(rows)
+        self.table.replace_chunks(kept.unionByName(renewed), ids, self._seen(current, ids))
 
     def refresh_changed(
         self, changed: DataFrame, start: Instant | None = None, end: Instant | None = None
@@ -148,7 +204,7 @@ class Rollup:
         kept = fresh("touched")
         path = f"{self.table.root}/{kept}"
         touched.write.parquet(path)
-        touched = self.table.spark.read.parquet(path)
+        touched = self.table.spark.read.parquet(f"{self.table.folder.plain_root}/{kept}")
         try:
             first = F.col(self.bucket)
             last = (first + self.width.interval()) - F.expr("INTERVAL '0.000001' SECOND")
@@ -163,16 +219,29 @@ class Rollup:
             if not pairs:
                 return 0
             own, src = sorted({p["own"] for p in pairs}), sorted({p["src"] for p in pairs})
-            rows = self.source.read_chunks(src).select(*self.source.schema.names)
-            # Readings are aggregated before the join, so it moves buckets, not readings.
-            renewed = self.aggregate(rows).join(touched, self.bucket, "left_semi")
-            current = self.table.read_chunks(own).select(*self.table.schema.names)
-            others = current.join(touched, self.bucket, "left_anti")
+            count, first, last = touched.agg(
+                F.count(F.lit(1)),
+                *(F.unix_micros(pick(self.bucket).cast("timestamp")) for pick in (F.min, F.max)),
+            ).first()
+            ts, ts_kind = F.col(self.source.ts), self.source.ts_type
+            hi = ts_lit(self.width.add(last, 1), ts_kind)
+            rows = self.source.read_chunks(src).where((ts >= ts_lit(first, ts_kind)) & (ts < hi))
+            rows = rows.select(*self.source.schema.names)
+            if count <= _FEW_BUCKETS:
+                at = time_bucket(rows, self.width, self.source.ts, self.origin)
+                few = F.broadcast(touched.withColumnRenamed(self.bucket, "_bucket"))
+                rows = rows.withColumn("_bucket", at).join(few, "_bucket", "left_semi").drop("_bucket")
+                renewed = self.aggregate(rows)
+            else:
+                # Readings are aggregated before the join, so it moves buckets, not readings.
+                renewed = self.aggregate(rows).join(touched, self.bucket, "left_semi")
+            current = self.table.read_chunks(own)
+            others = current.select(*self.table.schema.names).join(touched, self.bucket, "left_anti")
             names = self.table.schema.names
             self.table.replace_chunks(
-                others.select(*names).unionByName(renewed.select(*names)), own
+                others.select(*names).unionByName(renewed.select(*names)), own, self._seen(current, own)
             )
-            return touched.count()
+            return count
         finally:
             self.table.folder.delete(kept)
 
@@ -182,9 +251,56 @@ class Rollup:
         start_offset: str | Width = "1 month",
         end_offset: str | Width = "1 hour",
     ) -> tuple[dt.datetime, dt.datetime] | None:
-        """The refresh policy: a sliding window that leaves out the bucket in progress."""
+        """The refresh policy: a sliding window that leaves out the bucket in progress.
+
+        Only buckets that the source's noted changes touch are recomputed, whatever became
+        of the changed files since; the first run, which has no record, does the whole window.
+        Returns the window.
+        """
         as_of = as_of or now()
-        return self.refresh(ago(as_of, start_offset), ago(as_of, end_offset))
+        span = self.window(ago(as_of, start_offset), ago(as_of, end_offset))
+        if span is None:
+            return None
+        shown = self.source.changes_shown()
+        applied = self._applied()
+        done: set[str] = set()
+        if applied is None:
+            spans = [span]
+        else:
+            spans = []
+        for name in self.source.changes():
+            if applied is not None and name in applied:
+                continue
+            whole = True
+            for lo, hi in self.source.change_spans(name):
+                lo, hi = self.width.floor(lo, self.origin), self.width.ceil(hi + 1, self.origin)
+                whole &= hi <= span[1]  # what is still to come stays due; what is too old does not
+                if applied is not None and max(lo, span[0]) < min(hi, span[1]):
+                    spans.append((max(lo, span[0]), min(hi, span[1])))
+            if whole and name in shown:
+                done.add(name)
+        if spans:
+            self._refresh(_joined(spans))
+        self._apply((applied or set()) | done)
+        return from_micros(span[0]), from_micros(span[1])
+
+    # -- record of changes taken in ----------------------------------------------
+
+    def _applied(self) -> set[str] | None:
+        """Names of the source's changes that the rollup has; None without a record."""
+        versions = sorted(self.table.folder.names(f"{_APPLIED}/v*"))
+        versions = [v for v in versions if "." not in v.rsplit("/", 1)[1]]
+        return set(self.table.folder.read_text(versions[-1]).split()) if versions else None
+
+    def _apply(self, names: Iterable[str]) -> None:
+        folder = self.table.folder
+        before = [v for v in folder.names(f"{_APPLIED}/v*") if "." not in v.rsplit("/", 1)[1]]
+        number = max((int(v.rsplit("v", 1)[1]) for v in before), default=0) + 1
+        folder.mkdirs(_APPLIED)
+        kept = set(names) & set(self.source.changes())
+        folder.write_text(f"{_APPLIED}/v{number:012d}", "\n".join(sorted(kept)))
+        for v in before:
+            folder.delete(v)
 
     # -- reading ----------------------------------------------------------------
 
@@ -192,7 +308,9 @@ class Rollup:
         self, start: Instant | None = None, end: Instant | None = None, closed: str = "left"
     ) -> DataFrame:
         """The materialised figures, rounded."""
-        rows = self.table.scan(start, end, closed)
+        return self._rounded(self.table.scan(start, end, closed))
+
+    def _rounded(self, rows: DataFrame, *more: str) -> DataFrame:
         shown = [F.col(self.bucket), *self.keys, F.col("n").alias("lecturas")]
         for label in self.values.values():
             mean = ratio_rounded(F.col(f"{label}_sum"), F.col(f"{label}_n"), self.digits)
@@ -201,7 +319,19 @@ class Rollup:
                 F.round(f"{label}_max", self.digits).alias(f"{label}_max"),
                 F.round(f"{label}_min", self.digits).alias(f"{label}_min"),
             ]
-        return rows.select(*shown)
+        return rows.select(*shown, *more)
+
+    def create_view(self, name: str) -> None:
+        """A temporary view of the rounded figures for ``spark.sql``.
+
+        Its filters on the bucket reach the files' statistics; :meth:`create_range_function`
+        prunes whole chunks.
+        """
+        self.view().createOrReplaceTempView(name)
+
+    def create_range_function(self, name: str) -> None:
+        """``name(lo, hi)`` under ``spark.sql``: the rounded figures of a range, pruned by chunk."""
+        self.table.create_range_function(name, lambda rows: self._rounded(rows, "chunk_id"))
 
     def avg_of_avgs(
         self, label: str, start: Instant | None = None, end: Instant | None = None
@@ -223,3 +353,18 @@ class Rollup:
     def sizes(self) -> DataFrame:
         """Chunks, rows and bytes of the source and of the rollup."""
         return table_sizes({"source": self.source, "rollup": self.table})
+
+
+def _joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches in order and apart; too many are joined where the gaps are least."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = out[-1][0], max(hi, out[-1][1])
+        else:
+            out.append((lo, hi))
+    if len(out) > _MOST_SPANS:
+        gaps = sorted(range(1, len(out)), key=lambda i: out[i][0] - out[i - 1][1], reverse=True)
+        cuts = sorted(gaps[: _MOST_SPANS - 1])
+        out = [(out[a][0], out[b - 1][1]) for a, b in zip([0, *cuts], [*cuts, len(out)], strict=True)]
+    return out

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.rollup import Rollup
-from tidevault.plans.registry import TELE, dbl, empty_table, query, readings
+from tidevault.plans.registry import TELE, dbl, empty_table, loaded_table, query, readings
 from tidevault.plans.table_queries import _PER_CHUNK, _VIEW, _per_chunk, _shown
 from tidevault.session import work_dir
 from tidevault.streaming.ingest import stream_into, stream_rollup, stream_upsert
@@ -112,3 +112,47 @@ def stream_kpi_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{kpi.root}/_progress",
         ).awaitTermination()
     return kpi.scan().withColumn("vel_max", dbl("vel_max"))
+
+
+@query(f"WITH {TELE} {_VIEW} FROM tele GROUP BY 1, 2")
+def rollup_stream_and_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Built, then streamed over the same rows, then refreshed: one row per key."""
+    folder, rows = _arrivals(spark, sf_dir, "botharrive")
+    rows.write.parquet(folder)
+    t = loaded_table(spark, sf_dir, "bothsource")
+    r = Rollup(t, work_dir(spark, "bothroll"), "1 hour", ["event_type"], {"velocidad": "vel"}).build()
+    stream_rollup(
+        _stream(spark, folder, rows.schema), r, "roll", f"{r.table.root}/_progress"
+    ).awaitTermination()
+    r.refresh("2024-01-01", "2024-02-01")
+    return _shown(r.view())
+
+
+@query(f"WITH {TELE} {_PER_CHUNK} FROM (SELECT * FROM tele UNION ALL SELECT * FROM tele) GROUP BY 1")
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by two streams of one name: neither replaces the other's rows."""
+    folder, rows = _arrivals(spark, sf_dir, "twicearrive")
+    rows.write.parquet(folder)
+    t = empty_table(spark, sf_dir, "twicestreamed")
+    for n in (1, 2):
+        source = _stream(spark, folder, rows.schema)
+        stream_into(source, t, "ingest", f"{t.root}/_progress{n}").awaitTermination()
+    return _per_chunk(t)
+
+
+@query(
+    f"""WITH {TELE} SELECT time_bucket(INTERVAL '7 days', ts) AS semana, event_type,
+          count(*) AS lecturas, CAST(round(max(velocidad), 1) AS DOUBLE) AS vel_max
+        FROM tele GROUP BY 1, 2 HAVING time_bucket(INTERVAL '7 days', ts) + INTERVAL '7 days 1 hour'
+          <= (SELECT date_trunc('millisecond', max(ts)) FROM tele)"""
+)
+def stream_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks from Monday, as ``time_bucket`` has them; the last one is still open."""
+    folder, rows = _arrivals(spark, sf_dir, "weekarrive")
+    rows.write.parquet(folder)
+    t = empty_table(spark, sf_dir, "weeksource")
+    r = Rollup(t, work_dir(spark, "weekroll"), "7 days", ["event_type"], {"velocidad": "vel"}, "semana")
+    stream_rollup(
+        _stream(spark, folder, rows.schema), r, "week", f"{r.table.root}/_progress"
+    ).awaitTermination()
+    return r.view().select("semana", "event_type", "lecturas", dbl("vel_max").alias("vel_max"))

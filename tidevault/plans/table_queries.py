@@ -23,7 +23,7 @@ from tidevault.operators.reports import pruning_report, with_readable_size
 from tidevault.operators.retention import drop_chunks, preview, retain
 from tidevault.operators.rollup import Rollup
 from tidevault.operators.upsert import upsert
-from tidevault.plans.lifecycle import LifecycleConfig, lifecycle
+from tidevault.plans.lifecycle import LifecycleConfig, kpi_rejects, lifecycle
 from tidevault.plans.registry import (
     TELE,
     VEL,
@@ -297,7 +297,9 @@ def _per_chunk(t: ChunkedTable) -> DataFrame:
 
 @query(f"WITH {TELE} SELECT {_CHUNK} AS chunk_id, {_FIGURES} FROM tele GROUP BY 1")
 def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _per_chunk(shared_table(spark, sf_dir))
+    t = empty_table(spark, sf_dir, "inserted", "1 day")
+    t.append(readings(spark, sf_dir))
+    return _per_chunk(t)
 
 
 @query(f"WITH {TELE} {_PER_CHUNK} FROM tele GROUP BY 1")
@@ -356,11 +358,15 @@ def bulk_load_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_chunk(t)
 
 
-@query(f"WITH {TELE} SELECT count(*) AS filas FROM tele")
+@query(
+    f"""WITH {TELE} SELECT auto_id, ts, event_type, CAST(velocidad AS DOUBLE) AS velocidad, revoluciones
+        FROM tele WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'"""
+)
 def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = loaded_table(spark, sf_dir, "again")
-    t.create()
-    return ChunkedTable.open(spark, t.root).scan().agg(_n().alias("filas"))
+    """Created again by the same definition, and opened by the stored one."""
+    t = loaded_table(spark, sf_dir, "again").create()
+    rows = ChunkedTable.open(spark, t.root).scan("2024-01-10", "2024-01-12")
+    return rows.withColumn("velocidad", dbl("velocidad"))
 
 
 # -- compaction --------------------------------------------------------------------
@@ -710,6 +716,16 @@ def duplicate_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects
 
 
+@query("SELECT o_orderkey, o_orderdate, o_custkey FROM orders")
+def valid_plus_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows and rejects are the input again, with nulls in the key among them."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    part = F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")).alias("k")
+    schema = T.StructType([T.StructField("o_orderdate", T.TimestampNTZType(), False)])
+    both = split_valid(orders.select("*", part), schema, ["k", "o_orderdate"])
+    return both[0].unionByName(both[1]).drop("k")
+
+
 # -- lifecycle ----------------------------------------------------------------------------
 
 
@@ -745,3 +761,36 @@ def lifecycle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lifecycle_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kpi_shown(kpi_read(_lived(spark, sf_dir)[2], _SPEC))
+
+
+@query(
+    f"""WITH {TELE}, hour AS (SELECT TIMESTAMP '2024-01-30 23:00:00' AS v)
+        {_KPI} HAVING max(revoluciones) IS NULL"""
+)
+def lifecycle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kpi_shown(kpi_rejects(_lived(spark, sf_dir)[2]))
+
+
+@query(f"WITH {TELE} {_VIEW} FROM tele GROUP BY 1, 2")
+def rollup_refresh_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows are compacted away before the policy runs; their change is on record."""
+    t = empty_table(spark, sf_dir, "compactedlate")
+    rows = readings(spark, sf_dir)
+    late = F.col("event_type") == "error"
+    t.append(rows.where(~late), "initial")
+    r = Rollup.open(t, _rollup(t, spark).build().table.root)
+    t.append(rows.where(late), "late")
+    compress_chunks(t, t.chunk_ids())
+    r.refresh_due("2024-02-10", "2 months")
+    return _shown(r.view())
+
+
+@query(
+    f"WITH {TELE} {_VIEW} FROM tele WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'"
+    " GROUP BY 1, 2"
+)
+def sql_rollup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _rollup(loaded_table(spark, sf_dir, "sqlrollup"), spark).build()
+    r.create_range_function("hourly_figures")
+    lo, hi = "TIMESTAMP_NTZ'2024-01-08'", "TIMESTAMP_NTZ'2024-01-22'"
+    return _shown(spark.sql(f"SELECT * FROM hourly_figures({lo}, {hi})"))

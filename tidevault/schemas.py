@@ -81,7 +81,7 @@ def split_valid(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy NOT NULL (and the key, if given) and those that do not.
 
-    Rows of a repeated key are all rejects. Counting collapses copies before the
+    Rows of a repeated key are all rejects; nulls in a key are equal. Counting collapses copies before the
     shuffle, so a key with very many copies does not gather in one task; the
     rejects come from a semi join that AQE may split.
     """
@@ -92,7 +92,12 @@ def split_valid(
         counted = valid.groupBy(*key).agg(
             F.count(F.lit(1)).alias("_n"), F.first(F.struct(*df.columns)).alias("_row")
         )
-        repeated = counted.where("_n > 1").select(*key)
-        rejects = rejects.unionByName(valid.join(repeated, list(key), "left_semi").select(df.columns))
+        repeated = counted.where("_n > 1").select(*key).alias("r")
+        same = reduce(
+            lambda a, b: a & b, [F.col(f"v.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key]
+        )
+        rejects = rejects.unionByName(
+            valid.alias("v").join(repeated, same, "left_semi").select(*[f"v.{c}" for c in df.columns])
+        )
         valid = counted.where("_n = 1").select("_row.*")
     return valid, rejects

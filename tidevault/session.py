@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import threading
 import uuid
@@ -45,7 +47,7 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
     return df.repartition(n, *columns)
 
 
@@ -80,7 +82,9 @@ def micros_timestamps(df: DataFrame) -> Iterator[None]:
 
 @lru_cache(maxsize=1)
 def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tidevault-")
+    base = tempfile.mkdtemp(prefix="tidevault-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

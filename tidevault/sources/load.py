@@ -13,8 +13,10 @@ from tidevault.operators.chunks import ChunkedTable
 def read_files(table: ChunkedTable, path: str, fmt: str = "csv", **options: str) -> DataFrame:
     """Files under the table's declared schema; nothing is inferred."""
     reader = table.spark.read.schema(table.schema)
+    if fmt in ("csv", "json"):  # a value that does not fit stops the load
+        options = {"mode": "FAILFAST", **options}
     if fmt == "csv":
-        options = {"header": "true", "mode": "FAILFAST", **options}
+        options = {"header": "true", **options}
     return reader.options(**options).format(fmt).load(path)
 
 

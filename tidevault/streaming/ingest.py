@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidevault.functions.times import Width
+from tidevault.functions.times import Instant, Width
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.rollup import Rollup
 from tidevault.operators.upsert import upsert
 from tidevault.schemas import conform, split_valid
+from tidevault.sources.folders import Folder
 
 
 def _start(
@@ -36,23 +38,41 @@ def stream_into(
 ) -> StreamingQuery:
     """Append a stream to its chunks.
 
-    Each micro-batch is a load of its own label, so a batch run again after a
-    failure replaces its first attempt.
+    Each micro-batch is a load of its own label, so a batch run again after a failure
+    replaces its first attempt. The label holds the stream's identity, which its checkpoint
+    keeps: another checkpoint counts from 0 again, but is another stream.
     """
+    identity: list[str] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, f"{name}-{batch_id}", same_rows=True)
+        if not identity:
+            about = Folder(table.spark, checkpoint).read_text("metadata")
+            identity.append(json.loads(about)["id"].replace("-", "")[:16])
+        table.append(batch, f"{name}-{batch_id}.{identity[0]}", same_rows=True)
 
     return _start(rows, "append", each, name, checkpoint, interval)
 
 
 def windowed(
-    rows: DataFrame, ts: str, width: str, keys: Sequence[str], delay: str, aggs: Sequence[Column]
+    rows: DataFrame,
+    ts: str,
+    width: str | Width,
+    keys: Sequence[str],
+    delay: str,
+    aggs: Sequence[Column],
+    origin: Instant | None = None,
 ) -> DataFrame:
-    """Tumbling windows with a watermark; the stream needs a zoned timestamp."""
+    """Tumbling windows with a watermark; the stream needs a zoned timestamp.
+
+    They lie on the same grid as ``time_bucket``'s, which is the origin's.
+    """
     zoned = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    size = f"{Width.parse(width).micros} microseconds"
-    grouped = zoned.groupBy(F.window(ts, size).alias("_window"), *keys).agg(*aggs)
+    width = Width.parse(width)
+    if width.months or not width.micros:
+        raise ValueError("streamed windows need a grid of fixed width")
+    size = f"{width.micros} microseconds"
+    start = f"{width.origin(origin) % width.micros} microseconds"
+    grouped = zoned.groupBy(F.window(ts, size, startTime=start).alias("_window"), *keys).agg(*aggs)
     return grouped.withColumn("_start", F.col("_window.start")).drop("_window")
 
 
@@ -67,12 +87,11 @@ def stream_rollup(
     """Feed a rollup from a stream.
 
     A bucket is written once, after the watermark has passed its end: the bucket in
-    progress is withheld. Readings later than that are left out here; ingest keeps
-    them in the source, and ``Rollup.refresh_changed`` brings them in.
+    progress is withheld. It replaces what the rollup has for that bucket and those keys, so
+    stream and refresh may both bring it. Readings later than that are left out here; ingest
+    keeps them in the source, and ``Rollup.refresh_changed`` brings them in.
     """
     width = rollup.width
-    if width.months or width.micros == 0 or width.origin(rollup.origin) % width.micros:
-        raise ValueError("a streamed rollup needs a fixed width on the epoch grid")
     aggs = [F.count(F.lit(1)).alias("n")]
     for value, label in rollup.values.items():
         aggs += [
@@ -81,13 +100,12 @@ def stream_rollup(
             F.min(value).alias(f"{label}_min"),
             F.max(value).alias(f"{label}_max"),
         ]
-    size = f"{width.micros} microseconds"
-    closed = windowed(rows, rollup.source.ts, size, rollup.keys, delay, aggs)
+    closed = windowed(rows, rollup.source.ts, width, rollup.keys, delay, aggs, rollup.origin)
     closed = closed.withColumnRenamed("_start", rollup.bucket)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = conform(batch, rollup.table.schema)
-        rollup.table.append(rows, f"{name}-{batch_id}", same_rows=True)
+        upsert(rollup.table, rows, (rollup.bucket, *rollup.keys), null_keys=True)
 
     return _start(closed, "append", each, name, checkpoint, interval)
 
