@@ -247,7 +247,7 @@ def test_values_that_do_not_fit_stop_a_json_load(spark, root):
 def test_gap_filling_keeps_rows_outside_its_range(spark):
     rows = spark.createDataFrame([("2026-05-01 05:00:00", 1), ("2026-05-03 00:00:00", 2)], "h string, n int")
     rows = rows.withColumn("h", F.col("h").cast("timestamp"))
-    out = gapfill(rows, "h", "1 hour", "2026-05-01", "2026-05-02", fill={"n": 0})
+    out = gapfill(rows, "h", "1 hour", "2026-05-01", "2026-05-02", fill={"n": 0}, outside="keep")
     assert out.count() == 25 and out.agg(F.sum("n")).first()[0] == 3
 
 

@@ -99,11 +99,12 @@ def gapfill(
     fill: Mapping[str, object] | None = None,
     origin: Instant | None = None,
     key_rows: DataFrame | None = None,
+    outside: str = "drop",
 ) -> DataFrame:
     """Every bucket of ``[start, end)`` for every key of ``agg``; absent ones are null or ``fill``.
 
-    Rows of ``agg`` outside the range stay as they are, so nothing is lost to a range that
-    is too short. Keys come from ``agg`` (which is then computed for them as well) or, if given,
+    Rows of ``agg`` outside the range are left out, or with ``outside="keep"`` stay as they
+    are, so that nothing is lost to a range that is too short. Keys come from ``agg`` (which is then computed for them as well) or, if given,
     from ``key_rows``, a table of the known keys.
 
     The grid grows out of the distinct keys with ``explode`` in two steps (blocks,
@@ -111,6 +112,8 @@ def gapfill(
     and nothing is cross joined. The left join then shuffles on bucket and key together, so one busy
     key is spread over all tasks.
     """
+    if outside not in ("drop", "keep"):
+        raise ValueError(f"outside is drop or keep, not {outside!r}")
     width = Width.parse(width)
     lo, hi = width.floor(to_micros(start), origin), to_micros(end)
     if width.months:
@@ -154,6 +157,8 @@ def gapfill(
         *[F.col(f"g.{c}").alias(c) for c in (bucket, *keys)], *[F.col(f"a.{c}") for c in values]
     )
     filled = filled.fillna(dict(fill)) if fill else filled
+    if outside == "drop":
+        return filled
     edges = [ts_lit(edge, dtype) for edge in (lo, hi)]
     outside = agg.where((F.col(bucket) < edges[0]) | (F.col(bucket) >= edges[1]) | F.col(bucket).isNull())
     return filled.unionByName(outside.select(*filled.columns))

@@ -166,7 +166,7 @@ def hourly_by_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gapfill_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = hourly_by_vehicle(spark, sf_dir)
     return gapfill(
-        agg, "hora", "1 hour", "2024-01-01", "2024-01-31", ["auto_id"], {"lecturas": 0}
+        agg, "hora", "1 hour", "2024-01-01", "2024-01-31", ["auto_id"], {"lecturas": 0}, outside="keep"
     )
 
 
@@ -184,7 +184,7 @@ def gapfill_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings(spark, sf_dir), "5 minutes", {"lecturas": _lecturas()}, "franja"
     )
     return gapfill(
-        agg, "franja", "5 minutes", "2024-01-01", "2024-01-31", fill={"lecturas": 0}
+        agg, "franja", "5 minutes", "2024-01-01", "2024-01-31", fill={"lecturas": 0}, outside="keep"
     )
 
 
