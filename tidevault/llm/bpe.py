@@ -18,9 +18,11 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tidevault.llm.token_counts import byte_batches, loose, pieces, safe_pieces
+from tidevault.llm.token_counts import Known, byte_batches, loose, pieces, safe_pieces
 
-KEPT = 250_000  # pieces, and pairs, remembered by a Python worker
+KEPT = 400_000  # pieces that each of a worker's two generations remembers
+KEPT_PAIRS = 1_500_000
+GROUP_BYTES = 4 << 20  # text whose new pieces are encoded together
 
 
 def ranks_from(path: str) -> dict[bytes, int]:
@@ -35,47 +37,93 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.tails: dict[bytes, int] = {}  # the longest token with these last three bytes
+        for token in ranks:
+            if len(token) > 2:
+                self.tails[token[-3:]] = max(len(token), self.tails.get(token[-3:], 0))
         self.pattern = regex.compile(pattern)
-        self._merged: dict[bytes, bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._spines: dict[int, tuple[list, list]] = {}
+        self._pairs: dict[int, bool] = {}
 
-    def merge(self, data: bytes) -> list[int]:
-        """Merge by rank; for the few bytes of a pair."""
+    def merge(self, data: bytes, down_to: int = 1) -> list[bytes]:
+        """Merge bytes by rank, until that many parts are left; for the few of a token."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > down_to:
             rank, at = min(
                 (self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1)
             )
             if rank == 1 << 60:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
 
-    def reachable(self, token: bytes) -> bool:
-        """Whether merging a token's bytes gives that token."""
-        if token not in self._merged:
-            self._merged[token] = self.merge(token) == [self.ranks[token]]
-        return self._merged[token]
+    def _spine(self, token: int) -> tuple[list, list]:
+        """The parts that stand at a token's right and left end while it is merged.
+
+        Each with the rank of the merge that takes it in; the token itself lasts. A token
+        that merging its bytes does not give has no spines.
+        """
+        known = self._spines.get(token)
+        if known is None:
+            data = self.bytes_of[token]
+            last = self.merge(data, 2)
+            if len(data) == 1:
+                known = [(data, 1 << 60)], [(data, 1 << 60)]
+            elif len(last) != 2:
+                known = [], []
+            else:
+                left, right = (self._spine(self.ranks[p]) for p in last)
+                ends = right[0], left[1]
+                known = tuple([*e[:-1], (e[-1][0], token), (data, 1 << 60)] for e in ends)
+            self._spines[token] = known
+        return known
 
     def valid(self, a: int, b: int) -> bool:
-        known = self._pairs.get((a, b))
+        """Whether two tokens stay as they are when their bytes are merged together.
+
+        Follows the parts that meet at the border from the single bytes on. They would merge
+        if their own merge came before either is taken in by its token; of merges with the
+        same rank the one farther left comes first.
+        """
+        known = self._pairs.get(a << 20 | b)
         if known is None:
-            if len(self._pairs) > KEPT:
+            if len(self._pairs) > KEPT_PAIRS:
                 self._pairs.clear()
-            known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            self._pairs[a, b] = known
+            known = self._pairs[a << 20 | b] = self._apart(self._spine(a)[0], self._spine(b)[1])
         return known
 
+    def _apart(self, left: list, right: list) -> bool:
+        ranks, i, j = self.ranks, 0, 0
+        while True:
+            (x, x_until), (y, y_until) = left[i], right[j]
+            rank = ranks.get(x + y)
+            if rank is not None and rank < x_until and rank <= y_until:
+                return False
+            if x_until <= y_until:
+                if x_until == 1 << 60:
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def extend(self, last: list[int], piece: bytes) -> list[int]:
         """Last tokens of the prefixes of a piece, of which ``last`` has the first ones."""
-        ranks, longest = self.ranks, self.longest
+        ranks, tails, pairs, valid = self.ranks, self.tails, self._pairs, self.valid
         for end in range(len(last) + 1, len(piece) + 1):
-            for begin in range(max(0, end - longest), end):
+            longest = tails.get(piece[end - 3 : end], 2) if end > 2 else end
+            for begin in range(end - longest if end > longest else 0, end):
                 token = ranks.get(piece[begin:end])
-                if token is None or not self.reachable(piece[begin:end]):
+                if token is None:
                     continue
-                if not begin or self.valid(last[begin - 1], token):
+                if begin:
+                    before = last[begin - 1]
+                    known = pairs.get(before << 20 | token)
+                    if known is None:
+                        known = self._spine(token)[1] and valid(before, token)
+                    if known:
+                        last.append(token)
+                        break
+                elif self._spine(token)[1]:
                     last.append(token)
                     break
         return last
@@ -95,6 +143,26 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         return [t for m in self.pattern.findall(text) for t in self.piece(m.encode())]
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """As ``encode`` for each. Matches are taken in order, so that one begins with the
+        table of the one before as far as their bytes agree."""
+        found = [[m.encode() for m in self.pattern.findall(t)] for t in texts]
+        ids: dict[bytes, list[int]] = {}
+        before, last = b"", []
+        for m in sorted(set().union(*found)):
+            whole = self.ranks.get(m)
+            if whole is not None:
+                ids[m] = [whole]
+                continue
+            same = 0
+            for x, y in zip(before, m, strict=False):
+                if x != y:
+                    break
+                same += 1
+            before, last = m, self.extend(last[:same], m)
+            ids[m] = self.read(last)
+        return [ids[f[0]] if len(f) == 1 else [t for m in f for t in ids[m]] for f in found]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -120,30 +188,31 @@ class Edited:
 
 
 Encoded = tuple[int, str, bytes]
-_workers: dict[tuple[str, str], tuple[Encoder, dict[str, Encoded | None]]] = {}
+_workers: dict[tuple[str, str], tuple[Encoder, Known]] = {}
 
 
 def _encoded(texts: list[str], path: str, pattern: str) -> Iterator[list[Encoded]]:
     """Of each text, piece by piece: number of ids, the ids as text, the decoded bytes."""
     if (path, pattern) not in _workers:
-        _workers[path, pattern] = Encoder(ranks_from(path), pattern), {}
+        _workers[path, pattern] = Encoder(ranks_from(path), pattern), Known(KEPT)
     encoder, known = _workers[path, pattern]
 
-    def encoded(piece: str) -> Encoded:
-        ids = encoder.encode(piece)
-        return len(ids), " ".join(map(str, ids)), encoder.decode(ids)
+    def learn(new: list[str]) -> dict[str, Encoded]:
+        every = zip(new, encoder.encode_all(new), strict=True)
+        return {p: (len(ids), " ".join(map(str, ids)), encoder.decode(ids)) for p, ids in every}
 
-    for group in byte_batches(texts, 1 << 20):
+    for group in byte_batches(texts, GROUP_BYTES):
         cut = [pieces(t) for t in group]
-        for p in set().union(*cut).difference(known):
-            known[p] = None if loose(p) else encoded(p)
+        new = known.lacks(set().union(*cut))
+        known.update(dict.fromkeys(filter(loose, new)))
+        known.update(learn([p for p in new if p not in known]))
         for c, t in zip(cut, group, strict=True):
             parts = list(map(known.__getitem__, c))
             if None in parts:
-                parts = [known.get(p) or encoded(p) for p in safe_pieces(t)]
+                safe = safe_pieces(t)
+                parts = list(map(learn(list(set(safe))).__getitem__, safe))
             yield [p for p in parts if p[0]]
-        if len(known) > KEPT:
-            known.clear()
+        known.age()
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:

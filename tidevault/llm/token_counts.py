@@ -24,7 +24,7 @@ _IS_WHITE = re.compile(f"[{_WHITE}]")
 _SAFE = re.compile(f"(?<=[^{_WHITE}])(?= )")
 _CUT = "\ud800"  # no text from UTF-8 has it
 BATCH_BYTES = 256 << 10
-KEPT = 400_000  # pieces remembered by a Python worker
+KEPT = 400_000  # pieces that each of a worker's two generations remembers
 
 
 def pieces(text: str) -> list[str]:
@@ -42,6 +42,25 @@ def safe_pieces(text: str) -> list[str]:
     return _SAFE.split(text)
 
 
+class Known(dict):
+    """What is known of pieces. When there are too many, those not used since go."""
+
+    def __init__(self, most: int):
+        self.most, self.older = most, {}
+
+    def lacks(self, keys: set[str]) -> set[str]:
+        """The keys that are new, after those of the older generation are taken over."""
+        new = keys.difference(self)
+        old = new.intersection(self.older)
+        self.update((k, self.older[k]) for k in old)
+        return new - old
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 def byte_batches(texts: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
     """Consecutive texts of about equal bytes together; a longer text is a batch of its own."""
     batch, size = [], 0
@@ -71,22 +90,20 @@ def _loaded(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-_workers: dict[str, tuple[Callable, dict[str, int | None]]] = {}
+_workers: dict[str, tuple[Callable, Known]] = {}
 
 
 def lengths(texts: list[str], path: str, split: bool) -> list[int]:
     """Token counts of the texts."""
     if path not in _workers:
-        _workers[path] = _loaded(path), {}
+        _workers[path] = _loaded(path), Known(KEPT)
     encode, known = _workers[path]
     if not split:
         return [n for batch in byte_batches(texts) for n in encode(batch)]
-    if len(known) > KEPT:
-        known.clear()
     out = []
     for group in byte_batches(texts, 4 << 20):
         cut = [pieces(t) for t in group]
-        new = set().union(*cut).difference(known)
+        new = known.lacks(set().union(*cut))
         known.update(dict.fromkeys(filter(loose, new)))
         new = [p for p in new if p not in known]
         for batch in byte_batches(new):
@@ -96,8 +113,7 @@ def lengths(texts: list[str], path: str, split: bool) -> list[int]:
             if None in counts:
                 counts = [n for batch in byte_batches(safe_pieces(t)) for n in encode(batch)]
             out.append(sum(counts))
-        if len(known) > KEPT:
-            known.clear()
+        known.age()
     return out
 
 
