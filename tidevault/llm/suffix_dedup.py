@@ -36,6 +36,7 @@ GRAM = 32
 CHUNK = 1 << 19
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _INVERSE = pow(FACTOR, -1, 1 << 64)
+_SCATTER = np.uint64(0x2545F4914F6CDD1D)
 _LOW = np.uint64((1 << 21) - 1)
 
 
@@ -113,7 +114,8 @@ class Anchored:
             return np.empty(0, np.uint64)
         at = self.anchor[:, None] + np.arange(GRAM)
         values = _BYTES[self.data[at]] * powers(GRAM)[None, :]
-        return mix(values.sum(axis=1, dtype=np.uint64))
+        # Anchors are chosen for small hashes; once more scattered they part evenly.
+        return mix(mix(values.sum(axis=1, dtype=np.uint64)) ^ _SCATTER)
 
     def context(self, i: int) -> bytes:
         """The bytes of all strings of a run."""
