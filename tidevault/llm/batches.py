@@ -55,12 +55,14 @@ def batched(tables: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
         yield (place << 32) + number, pa.concat_tables(held).combine_chunks()
 
 
-def sliced(records: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sliced(
+    records: Iterable[pa.RecordBatch], most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut record batches to bounded bytes and rows, so that what is made of them stays small."""
     for record in records:
         begin, size = 0, 0
         for i, length in enumerate(_sized(record)):
-            if i > begin and (size + length > BATCH_BYTES or i - begin == BATCH_ROWS):
+            if i > begin and (size + length > most or i - begin == BATCH_ROWS):
                 yield record.slice(begin, i - begin)
                 begin, size = i, 0
             size += length

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidevault.llm.batches import BATCH_BYTES, sliced, texts_of
+from tidevault.llm.batches import sliced, texts_of
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, words_of
 
@@ -28,6 +28,8 @@ WORD_BITS, PAIR_BITS = 18, 20  # sizes of the models' hashed tables
 DISCOUNT = 0.75
 RUNS = (1, 4, 16)  # words of a run
 PARTS = 256
+SLICE_BYTES = 1 << 20  # text that is worked on at a time
+HELD_PAIRS = 800_000  # counted pairs that a task gathers before it sends them
 #: Marks end words: ASCII punctuation becomes blanks.
 _PLAIN = bytes(
     32 if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256)
@@ -93,6 +95,8 @@ def _summed(rows: np.ndarray) -> np.ndarray:
 
 
 _SENT = pa.schema([("part", pa.int64()), ("rows", pa.binary())])
+_SLICE = 1 << 15  # entries of a table that are added up together
+_SPARSE = pa.schema([("kind", pa.int64()), ("slice", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary())])
 _TABLES = ("pair0", "pair1", "word0", "word1", "prior0", "prior1", "next0", "next1", "before")
 
 
@@ -106,14 +110,32 @@ def _tallied(rows: pa.Table) -> pa.Table:
         out += [(f"pair{c}", pair, n), (f"word{c}", total["word"], n)]
         out += [(f"prior{c}", total["prior"], n), (f"next{c}", total["prior"], n > 0)]
     out.append(("before", total["word"], np.ones(len(total))))
-    columns = {"kind": [], "slot": [], "n": []}
+    columns = {"kind": [], "slice": [], "slots": [], "counts": []}
     for kind, slot, n in out:
         sums = np.bincount(slot, n)
         some = np.flatnonzero(sums)
-        columns["kind"].append(np.full(len(some), _TABLES.index(kind)))
-        columns["slot"].append(some)
-        columns["n"].append(sums[some].astype(np.int64))
-    return pa.table({k: pa.array(np.concatenate(v), pa.int64()) for k, v in columns.items()})
+        edges = np.searchsorted(some, np.arange(0, _size(kind) + 1, _SLICE))
+        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if a < b:
+                columns["kind"].append(_TABLES.index(kind))
+                columns["slice"].append(i)
+                columns["slots"].append((some[a:b] - i * _SLICE).astype(np.int32).tobytes())
+                columns["counts"].append(sums[some[a:b]].astype(np.int64).tobytes())
+    return pa.table(columns, _SPARSE)
+
+
+def _size(kind: str) -> int:
+    return 1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS)
+
+
+def _dense(rows: pa.Table) -> pa.Table:
+    """A slice of a table from all parts' entries."""
+    slots, counts = (
+        np.concatenate([np.frombuffer(b, t) for b in rows[c].to_pylist()])
+        for c, t in (("slots", np.int32), ("counts", np.int64))
+    )
+    sums = np.bincount(slots, counts, _SLICE).astype(np.float32)
+    return pa.table({"kind": rows["kind"][:1], "slice": rows["slice"][:1], "counts": [sums.tobytes()]})
 
 
 def count_pairs(rows: DataFrame) -> dict[str, np.ndarray]:
@@ -129,28 +151,27 @@ def count_pairs(rows: DataFrame) -> dict[str, np.ndarray]:
             blobs = [total[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(range(PARTS)), pa.array(blobs)], schema=_SENT)
 
-        for b in sliced(batches):
+        for b in sliced(batches, SLICE_BYTES):
             held.append(_counted(texts_of(b), b["y"].to_numpy()))
             size += len(held[-1])
-            if size > 2 * BATCH_BYTES // 4:
+            if size > HELD_PAIRS:
                 yield packed()
                 held, size = [], 0
         if size:
             yield packed()
 
-    sums = (
+    slices = (
         rows.mapInArrow(send, "part long, rows binary")
         .groupBy("part")
-        .applyInArrow(_tallied, "kind long, slot long, n long")
-        .groupBy("kind", "slot")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .applyInArrow(_tallied, "kind long, slice long, slots binary, counts binary")
+        .groupBy("kind", "slice")
+        .applyInArrow(_dense, "kind long, slice long, counts binary")
+        .collect()
     )
-    out = {}
-    for i, name in enumerate(_TABLES):
-        out[name] = np.zeros(1 << (PAIR_BITS if name.startswith("pair") else WORD_BITS))
-        own = sums[sums["kind"] == i]
-        out[name][own["slot"].to_numpy()] = own["n"].to_numpy()
+    out = {name: np.zeros(_size(name), np.float32) for name in _TABLES}
+    for r in slices:
+        at = r["slice"] * _SLICE
+        out[_TABLES[r["kind"]]][at : at + _SLICE] = np.frombuffer(r["counts"], np.float32)
     return out
 
 
@@ -181,10 +202,10 @@ class Models:
     """
 
     def __init__(self, tables: dict[str, np.ndarray]):
-        before = tables["before"] + 1 / len(tables["before"])
+        before = tables["before"].astype(float) + 1 / len(tables["before"])
         self.shared = (before / before.sum()).astype(np.float32)
-        self.tables = {k: v.astype(np.float32) for k, v in tables.items() if k != "before"}
-        words = [tables["word0"], tables["word1"]]
+        self.tables = {k: v for k, v in tables.items() if k != "before"}
+        words = [tables[k].astype(float) for k in ("word0", "word1")]
         self.total = [max(1.0, w.sum()) for w in words]
         self.discounts = [_discounts(w) for w in words]
         self.left = [
@@ -271,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
+        for b in sliced(batches, SLICE_BYTES):
             y = b["y"].to_numpy()
             x = models.features(texts_of(b), y)
             yield pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(y.astype(np.int32))], ["x", "y"])
@@ -287,7 +308,7 @@ def _scored(docs: DataFrame, models: Models, weights: np.ndarray, emit, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, weights = sent.value
-        for b in sliced(batches):
+        for b in sliced(batches, SLICE_BYTES):
             yield emit(b, chance(models.features(texts_of(b)), weights))
 
     return docs.mapInArrow(run, schema)
