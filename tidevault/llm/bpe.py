@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 
 from tidevault.llm.token_counts import Known, byte_batches, loose, pieces, safe_pieces
 
-KEPT = 400_000  # pieces that each of a worker's two generations remembers
-KEPT_PAIRS = 1_500_000
-GROUP_BYTES = 4 << 20  # text whose new pieces are encoded together
+KEPT = 150_000  # pieces that each of a worker's two generations remembers
+KEPT_PAIRS = 500_000
+GROUP_BYTES = 2 << 20  # text whose new pieces are encoded together
 
 
 def ranks_from(path: str) -> dict[bytes, int]:

@@ -24,7 +24,7 @@ _IS_WHITE = re.compile(f"[{_WHITE}]")
 _SAFE = re.compile(f"(?<=[^{_WHITE}])(?= )")
 _CUT = "\ud800"  # no text from UTF-8 has it
 BATCH_BYTES = 256 << 10
-KEPT = 400_000  # pieces that each of a worker's two generations remembers
+KEPT = 250_000  # pieces that each of a worker's two generations remembers
 
 
 def pieces(text: str) -> list[str]:
