@@ -25,9 +25,10 @@ from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, words_of
 
 WORD_BITS, PAIR_BITS = 18, 20  # sizes of the models' hashed tables
+_REST = 64 - 2 * WORD_BITS
 DISCOUNT = 0.75
 RUNS = (1, 4, 16)  # words of a run
-PARTS = 256
+LABELS_PER_PART = 2_000  # parts that sum the pairs up follow the number of labels
 SLICE_BYTES = 1 << 20  # text that is worked on at a time
 HELD_PAIRS = 800_000  # counted pairs that a task gathers before it sends them
 #: Marks end words: ASCII punctuation becomes blanks.
@@ -52,13 +53,16 @@ def events(texts: list[bytes]) -> Events:
     prior = np.empty_like(words)
     prior[1:] = words[:-1]
     prior[edges[:-1][np.diff(edges) > 0]] = 0
-    pair = mix(words + mix(prior ^ np.uint64(0xA0761D6478BD642F)))
+    # A pair is known by both words' places in the tables and 28 bits of its hash.
+    pair = mix(words + mix(prior ^ np.uint64(0xA0761D6478BD642F))) >> np.uint64(64 - _REST)
+    word, prior = (h >> np.uint64(64 - WORD_BITS) for h in (words, prior))
+    pair |= prior << np.uint64(WORD_BITS + _REST) | word << np.uint64(_REST)
     text = np.repeat(np.arange(len(texts)), np.diff(edges))
-    return Events(text, edges, words, prior, pair)
+    return Events(text, edges, word.astype(np.int64), prior.astype(np.int64), pair)
 
 
-def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+def _pair_slot(pair: np.ndarray) -> np.ndarray:
+    return (mix(pair) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
 
 def _distinct(e: Events) -> np.ndarray:
@@ -69,29 +73,18 @@ def _distinct(e: Events) -> np.ndarray:
     return order[new]
 
 
-_PAIRS = np.dtype([("pair", "<u8"), ("prior", "<u4"), ("word", "<u4"), ("n", "<u4", 2)])
+def _summed(pair: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs in order, and the sums of their counts in either class."""
+    pair, which = np.unique(pair, return_inverse=True)
+    return pair, np.stack([np.bincount(which, c, len(pair)) for c in counts]).astype(np.uint32)
 
 
-def _counted(texts: list[bytes], y: np.ndarray) -> np.ndarray:
+def _counted(texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different pairs of words with the number of texts of either class that hold them."""
     e = events(texts)
     at = _distinct(e)
-    pair, first, which = np.unique(e.pair[at], return_index=True, return_inverse=True)
-    out = np.empty(len(pair), _PAIRS)
-    out["pair"] = pair
-    out["prior"] = _bucket(e.prior[at][first], WORD_BITS)
-    out["word"] = _bucket(e.word[at][first], WORD_BITS)
-    for c in (0, 1):
-        out["n"][:, c] = np.bincount(which, y[e.text[at]] == c, len(pair))
-    return out
-
-
-def _summed(rows: np.ndarray) -> np.ndarray:
-    pair, first, which = np.unique(rows["pair"], return_index=True, return_inverse=True)
-    out = rows[first]
-    for c in (0, 1):
-        out["n"][:, c] = np.bincount(which, rows["n"][:, c], len(pair))
-    return out
+    own = y[e.text[at]]
+    return _summed(e.pair[at], np.stack([own == 0, own == 1]))
 
 
 _SENT = pa.schema([("part", pa.int64()), ("rows", pa.binary())])
@@ -102,14 +95,20 @@ _TABLES = ("pair0", "pair1", "word0", "word1", "prior0", "prior1", "next0", "nex
 
 def _tallied(rows: pa.Table) -> pa.Table:
     """The pairs of a part, summed, as entries of the models' tables."""
-    total = _summed(np.frombuffer(b"".join(rows["rows"].to_pylist()), _PAIRS))
-    out = []
-    pair = _bucket(mix(total["pair"]), PAIR_BITS)
-    for c in (0, 1):
-        n = total["n"][:, c]
-        out += [(f"pair{c}", pair, n), (f"word{c}", total["word"], n)]
-        out += [(f"prior{c}", total["prior"], n), (f"next{c}", total["prior"], n > 0)]
-    out.append(("before", total["word"], np.ones(len(total))))
+    pairs, counts = [], []
+    for blob in rows["rows"].to_pylist():
+        n = len(blob) // 16
+        pairs.append(np.frombuffer(blob, np.uint64, n))
+        counts.append(np.frombuffer(blob, np.uint32, 2 * n, 8 * n).reshape(2, n))
+    pair, counts = _summed(np.concatenate(pairs), np.concatenate(counts, axis=1))
+    mask = np.uint64((1 << WORD_BITS) - 1)
+    word = ((pair >> np.uint64(_REST)) & mask).astype(np.int64)
+    prior = (pair >> np.uint64(WORD_BITS + _REST)).astype(np.int64)
+    slot = _pair_slot(pair)
+    out = [("before", word, np.ones(len(pair)))]
+    for c, n in enumerate(counts):
+        out += [(f"pair{c}", slot, n), (f"word{c}", word, n)]
+        out += [(f"prior{c}", prior, n), (f"next{c}", prior, n > 0)]
     columns = {"kind": [], "slice": [], "slots": [], "counts": []}
     for kind, slot, n in out:
         sums = np.bincount(slot, n)
@@ -120,7 +119,7 @@ def _tallied(rows: pa.Table) -> pa.Table:
                 columns["kind"].append(_TABLES.index(kind))
                 columns["slice"].append(i)
                 columns["slots"].append((some[a:b] - i * _SLICE).astype(np.int32).tobytes())
-                columns["counts"].append(sums[some[a:b]].astype(np.int64).tobytes())
+                columns["counts"].append(sums[some[a:b]].astype(np.int32).tobytes())
     return pa.table(columns, _SPARSE)
 
 
@@ -132,28 +131,32 @@ def _dense(rows: pa.Table) -> pa.Table:
     """A slice of a table from all parts' entries."""
     slots, counts = (
         np.concatenate([np.frombuffer(b, t) for b in rows[c].to_pylist()])
-        for c, t in (("slots", np.int32), ("counts", np.int64))
+        for c, t in (("slots", np.int32), ("counts", np.int32))
     )
     sums = np.bincount(slots, counts, _SLICE).astype(np.float32)
     return pa.table({"kind": rows["kind"][:1], "slice": rows["slice"][:1], "counts": [sums.tobytes()]})
 
 
-def count_pairs(rows: DataFrame) -> dict[str, np.ndarray]:
+def count_pairs(rows: DataFrame, parts: int) -> dict[str, np.ndarray]:
     """The models' tables from all rows ``text, y``; their sizes are fixed by the hash."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def packed() -> pa.RecordBatch:
-            total = _summed(np.concatenate(held))
-            part = (total["pair"] >> np.uint64(56)).astype(np.int64)  # sorted by pair
-            edges = np.searchsorted(part, np.arange(PARTS + 1))
-            blobs = [total[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(range(PARTS)), pa.array(blobs)], schema=_SENT)
+            pair, counts = _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held], axis=1))
+            part = ((mix(pair) & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            blobs = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                mine = order[a:b]
+                blobs.append(pair[mine].tobytes() + counts[:, mine].tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(range(parts)), pa.array(blobs)], schema=_SENT)
 
         for b in sliced(batches, SLICE_BYTES):
             held.append(_counted(texts_of(b), b["y"].to_numpy()))
-            size += len(held[-1])
+            size += len(held[-1][0])
             if size > HELD_PAIRS:
                 yield packed()
                 held, size = [], 0
@@ -225,11 +228,7 @@ class Models:
         ``own`` is the class of each text where its counts are in the tables: they are then
         taken out, so that a row that taught is judged as one that did not.
         """
-        pair, prior, word = (
-            _bucket(mix(e.pair), PAIR_BITS),
-            _bucket(e.prior, WORD_BITS),
-            _bucket(e.word, WORD_BITS),
-        )
+        pair, prior, word = _pair_slot(e.pair), e.prior, e.word
         at = _distinct(e) if own is not None else None
         parts, words = [], []
         for c in (0, 1):
@@ -287,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     ``sample`` of them, chosen by a hash of doc_id.
     """
     rows = taught(docs, labels, label)
-    models = Models(count_pairs(rows))
+    models = Models(count_pairs(rows, max(16, labels.count() // LABELS_PER_PART)))
     share = min(1.0, sample / max(1, labels.count()))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
