@@ -49,7 +49,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of what is left, with digests of ids and of the decoded bytes."""
     ship(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return round_trip(docs, path, public_tokenizers.PATTERN, with_ids=True)
+    return round_trip(docs, path, public_tokenizers.PATTERN, with_ids=True, kept=50_000)
 
 
 STAGES = [

@@ -188,14 +188,14 @@ class Edited:
 
 
 Encoded = tuple[int, str, bytes]
-_workers: dict[tuple[str, str], tuple[Encoder, Known]] = {}
+_workers: dict[tuple[str, str, int], tuple[Encoder, Known]] = {}
 
 
-def _encoded(texts: list[str], path: str, pattern: str) -> Iterator[list[Encoded]]:
+def _encoded(texts: list[str], path: str, pattern: str, kept: int = KEPT) -> Iterator[list[Encoded]]:
     """Of each text, piece by piece: number of ids, the ids as text, the decoded bytes."""
-    if (path, pattern) not in _workers:
-        _workers[path, pattern] = Encoder(ranks_from(path), pattern), Known(KEPT)
-    encoder, known = _workers[path, pattern]
+    if (path, pattern, kept) not in _workers:
+        _workers[path, pattern, kept] = Encoder(ranks_from(path), pattern), Known(kept)
+    encoder, known = _workers[path, pattern, kept]
 
     def learn(new: list[str]) -> dict[str, Encoded]:
         every = zip(new, encoder.encode_all(new), strict=True)
@@ -215,9 +215,14 @@ def _encoded(texts: list[str], path: str, pattern: str) -> Iterator[list[Encoded
         known.age()
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, with_ids: bool = False, kept: int = KEPT
+) -> DataFrame:
     """Encode every text, decode the ids, and give digests of both.
 
+    A Python worker remembers ``kept`` pieces in either generation, also for its next task;
+    with less than the default it forgets all at the end of a task, which frees its memory.
+
     Returns ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``. A
     null text counts as empty: no ids, and the digests of nothing. Rows are independent:
     repeated rows repeat, a null doc_id stays null, other columns are not read.
@@ -234,7 +239,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
         for b in batches:
             text = pc.fill_null(b["text"].cast(pa.large_string()), "").to_pylist()
             n, ids, decoded, lists = [], [], [], []
-            for parts in _encoded(text, path, pattern):
+            for parts in _encoded(text, path, pattern, kept):
                 numbers = " ".join([p[1] for p in parts])
                 n.append(sum([p[0] for p in parts]))
                 ids.append(hashlib.sha256(numbers.encode()).hexdigest())
@@ -246,6 +251,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
             if with_ids:
                 columns.append(pa.array(lists, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        if kept < KEPT:
+            _workers.pop((path, pattern, kept), None)
 
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, kinds + ", ids array<int>" * with_ids)
