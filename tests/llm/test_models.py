@@ -6,7 +6,8 @@ from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
 from tidevault.llm.quality import descend, quality
-from tidevault.llm.toxicity import decent, toxicity
+from tidevault.llm.batches import ENTRIES, fetch, fetched, packed_keys, packed_values, unpacked_keys, unpacked_values
+from tidevault.llm.toxicity import count_pairs, decent, events, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -74,3 +75,48 @@ def test_descent_separates():
     w = descend(rows, y, ratio)
     margin = [w[x] @ ratio[x] + w[-1] for x in rows]
     assert np.mean((np.array(margin) > 0) == (y == 1)) == 1
+
+
+def test_no_pairs_or_words_share_an_entry(spark):
+    """More words and pairs than 2^18 and 2^20, each with the counts that it has by itself."""
+    r = np.random.default_rng(5)
+    texts = [" ".join(map(str, r.integers(0, 600_000, 4000))) for _ in range(330)]
+    rows = [(t, i % 2) for i, t in enumerate(texts)]
+    known, sums = count_pairs(spark.createDataFrame(rows, "text string, y int").repartition(4), [5, 3])
+    pairs, words = {}, {}
+    for t, y in rows:
+        w = t.split()
+        for p in set(zip(["", *w[:-1]], w, strict=True)):
+            pairs.setdefault(p, [0, 0])[y] += 1
+    for p, n in pairs.items():
+        words.setdefault(p[1], [0, 0, 0])[2] += 1
+        for c in (0, 1):
+            words[p[1]][c] += n[c]
+    got = {"pair": {}, "word": {}}
+    for row in known.collect():
+        keys = unpacked_keys(row.keys)
+        kind = "pair" if row.part < 5 else "word"
+        values = unpacked_values(row.vals, len(keys)).T
+        got[kind].update(zip(keys.tolist(), values.tolist(), strict=True))
+    assert len(got["pair"]) == len(pairs) > 1 << 20 and len(words) > 1 << 18
+    assert sums[0] == len(words) and sums[1] == len(pairs)
+    for t, _ in rows[:20]:
+        e, w = events([t.encode()]), t.split()
+        for word, prior, h, k in zip(w, ["", *w[:-1]], e.word.tolist(), e.pair.tolist(), strict=True):
+            assert got["pair"][k] == pairs[prior, word]
+            n = got["word"][h]
+            assert [n[0], n[1], n[6]] == words[word]
+
+
+def test_entries_are_told_apart_by_all_bits(spark):
+    """Keys that agree in their upper bits, and keys that the table has not."""
+    table = np.array([5, 6, 1 << 40, (1 << 40) + 7, 1 << 63], np.uint64)
+    values = np.arange(10).reshape(2, 5)
+    known = spark.createDataFrame(
+        [(0, None, packed_keys(table), packed_values(values))], ENTRIES
+    )
+    keys = np.array([4, 6, 1 << 40, (1 << 40) + 8, 1 << 62, 1 << 63], np.uint64)
+    docs = spark.createDataFrame([("a",)], "text string").coalesce(1)
+    answers = [(r.part, r["keys"], r.vals) for r in fetch(docs, known, lambda t: [keys], [1]).collect()]
+    (got,) = fetched(answers, [keys], [1], [2])
+    assert got.tolist() == [[0, 1, 2, 0, 0, 4], [0, 6, 7, 0, 0, 9]]

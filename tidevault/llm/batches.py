@@ -207,6 +207,126 @@ def meet(
     return rows_of(docs).unionByName(answers).groupBy("batch").applyInArrow(join, schema)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones: equal bytes stand together."""
+    width = numbers.dtype.itemsize
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def unplaned(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys by their differences, whose high bytes are mostly 0."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(data, np.uint64), dtype=np.uint64)
+
+
+def packed_values(values: np.ndarray) -> bytes:
+    """Columns of counts, an array of (columns, entries)."""
+    return planes(np.ascontiguousarray(values, np.uint32).reshape(-1))
+
+
+def unpacked_values(data: bytes, n: int) -> np.ndarray:
+    return unplaned(data, np.uint32).reshape(-1, n)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the key range that each key falls in."""
+    return (((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def cut(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, begin, end) of the parts that ascending keys fall in."""
+    part = part_of(keys, parts)
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    return [(int(part[a]), int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+#: Keys are asked for by their bits above these; the entries found bring the lower ones along.
+_LOW = np.uint64(24)
+ENTRIES = "part long, batch long, keys binary, vals binary"
+ENTRIES_SCHEMA = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())])
+
+
+def fetch(
+    docs: DataFrame, known: DataFrame, keys_of: Callable[[pa.Table], list[np.ndarray]], parts: list[int]
+) -> DataFrame:
+    """Let each batch fetch its own entries of tables that grow with the corpus.
+
+    ``known`` holds the tables as ``ENTRIES``: one row a part, without batch, with its
+    ascending keys and packed values. The parts of several tables follow each other.
+    ``keys_of`` gives a batch's ascending distinct keys of each table. An answer holds all
+    entries that agree with one of the batch's keys in the upper 40 bits, which are few besides
+    those asked for, with the lower bits, by which ``fetched`` tells them apart.
+    """
+
+    def send(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, table in batched(tables):
+            out, first = {"part": [], "batch": [], "keys": [], "vals": []}, 0
+            for keys, n in zip(keys_of(table), parts, strict=True):
+                for part, a, b in cut(keys, n):
+                    out["part"].append(first + part)
+                    out["batch"].append(batch)
+                    out["keys"].append(packed_keys(np.unique(keys[a:b] >> _LOW)))
+                    out["vals"].append(None)
+                first += n
+            if out["part"]:
+                yield pa.RecordBatch.from_pydict(out, ENTRIES_SCHEMA)
+
+    def reply(rows: pa.Table) -> pa.Table:
+        out = {"batch": [], "docs": [], "part": [], "keys": [], "vals": []}
+        batches = rows["batch"].to_pylist()
+        if None in batches:
+            at = batches.index(None)
+            table = unpacked_keys(rows["keys"][at].as_py())
+            values = unpacked_values(rows["vals"][at].as_py(), len(table))
+            upper, lower = table >> _LOW, (table & ((np.uint64(1) << _LOW) - np.uint64(1))).astype(np.uint32)
+            for i, batch in enumerate(batches):
+                if batch is None:
+                    continue
+                keys = unpacked_keys(rows["keys"][i].as_py())
+                begin = np.searchsorted(upper, keys)
+                found = np.searchsorted(upper, keys, "right") - begin
+                place = np.repeat(begin - np.cumsum(found) + found, found) + np.arange(found.sum())
+                out["batch"].append(batch)
+                out["docs"].append(None)
+                out["part"].append(rows["part"][0].as_py())
+                out["keys"].append(planes(found.astype(np.uint32)))
+                out["vals"].append(planes(lower[place]) + packed_values(values[:, place]))
+        return pa.Table.from_pydict(out, ROW_SCHEMA)
+
+    asked = located(docs).mapInArrow(send, ENTRIES)
+    return asked.unionByName(known).groupBy("part").applyInArrow(reply, ROW)
+
+
+def fetched(
+    answers: list[tuple[int, bytes, bytes]], keys: list[np.ndarray], parts: list[int], widths: list[int]
+) -> list[np.ndarray]:
+    """The values of a batch's keys of each table, arrays of (columns, keys)."""
+    blobs, out, first = {part: answer for part, *answer in answers}, [], 0
+    for own, n, width in zip(keys, parts, widths, strict=True):
+        values = np.zeros((width, len(own)))
+        for part, a, b in cut(own, n):
+            if first + part in blobs:
+                found, entries = blobs[first + part]
+                upper = np.repeat(np.unique(own[a:b] >> _LOW), unplaned(found, np.uint32))
+                if len(upper):
+                    size = 4 * len(upper)
+                    table = upper << _LOW | unplaned(entries[:size], np.uint32)
+                    place = np.minimum(np.searchsorted(table, own[a:b]), len(table) - 1)
+                    known = table[place] == own[a:b]
+                    values[:, a:b] = unpacked_values(entries[size:], len(upper))[:, place] * known
+        out.append(values)
+        first += n
+    return out
+
+
 SLICES = 64
 
 

@@ -20,16 +20,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidevault.llm.batches import sliced, texts_of
+from tidevault.llm.batches import (
+    ENTRIES,
+    cut,
+    fetch,
+    fetched,
+    meet,
+    packed_keys,
+    packed_values,
+    part_of,
+    parts_for,
+    sliced,
+    text_bytes,
+    texts_of,
+    unpacked_keys,
+    unpacked_values,
+)
+from tidevault.llm.components import written
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, words_of
 
-WORD_BITS, PAIR_BITS = 18, 20  # sizes of the models' hashed tables
-_REST = 64 - 2 * WORD_BITS
 DISCOUNT = 0.75
 RUNS = (1, 4, 16)  # words of a run
-LABELS_PER_PART = 2_000  # parts that sum the pairs up follow the number of labels
-SLICE_BYTES = 1 << 20  # text that is worked on at a time
+PAIR_BYTES, WORD_BYTES = 8, 50  # text for each different pair and word of a batch, about
+LEAST_PARTS = 16
+SLICE_BYTES = 1 << 20  # text that is counted at a time
 HELD_PAIRS = 800_000  # counted pairs that a task gathers before it sends them
 #: Marks end words: ASCII punctuation becomes blanks.
 _PLAIN = bytes(
@@ -49,20 +64,17 @@ class Events:
 
 
 def events(texts: list[bytes]) -> Events:
+    """Words, words before and pairs of them by 64-bit hashes."""
     words, edges = words_of([t.translate(_PLAIN).lower() for t in texts])
     prior = np.empty_like(words)
     prior[1:] = words[:-1]
     prior[edges[:-1][np.diff(edges) > 0]] = 0
-    # A pair is known by both words' places in the tables and 28 bits of its hash.
-    pair = mix(words + mix(prior ^ np.uint64(0xA0761D6478BD642F))) >> np.uint64(64 - _REST)
-    word, prior = (h >> np.uint64(64 - WORD_BITS) for h in (words, prior))
-    pair |= prior << np.uint64(WORD_BITS + _REST) | word << np.uint64(_REST)
     text = np.repeat(np.arange(len(texts)), np.diff(edges))
-    return Events(text, edges, word.astype(np.int64), prior.astype(np.int64), pair)
+    return Events(text, edges, words, prior, _pair(prior, words))
 
 
-def _pair_slot(pair: np.ndarray) -> np.ndarray:
-    return (mix(pair) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+def _pair(prior: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(word + mix(prior ^ np.uint64(0xA0761D6478BD642F)))
 
 
 def _distinct(e: Events) -> np.ndarray:
@@ -73,86 +85,100 @@ def _distinct(e: Events) -> np.ndarray:
     return order[new]
 
 
-def _summed(pair: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different pairs in order, and the sums of their counts in either class."""
-    pair, which = np.unique(pair, return_inverse=True)
-    return pair, np.stack([np.bincount(which, c, len(pair)) for c in counts]).astype(np.uint32)
+def _summed(prior: np.ndarray, word: np.ndarray, counts: np.ndarray):
+    """Different pairs in order, their words, and the sums of their counts in either class."""
+    pair, first, which = np.unique(_pair(prior, word), return_index=True, return_inverse=True)
+    return pair, prior[first], word[first], np.stack([np.bincount(which, c, len(pair)) for c in counts])
 
 
-def _counted(texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs of words with the number of texts of either class that hold them."""
     e = events(texts)
     at = _distinct(e)
     own = y[e.text[at]]
-    return _summed(e.pair[at], np.stack([own == 0, own == 1]))
-
-
-_SENT = pa.schema([("part", pa.int64()), ("rows", pa.binary())])
-_SLICE = 1 << 15  # entries of a table that are added up together
-_SPARSE = pa.schema([("kind", pa.int64()), ("slice", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary())])
-_TABLES = ("pair0", "pair1", "word0", "word1", "prior0", "prior1", "next0", "next1", "before")
-
-
-def _tallied(rows: pa.Table) -> pa.Table:
-    """The pairs of a part, summed, as entries of the models' tables."""
-    pairs, counts = [], []
-    for blob in rows["rows"].to_pylist():
-        n = len(blob) // 16
-        pairs.append(np.frombuffer(blob, np.uint64, n))
-        counts.append(np.frombuffer(blob, np.uint32, 2 * n, 8 * n).reshape(2, n))
-    pair, counts = _summed(np.concatenate(pairs), np.concatenate(counts, axis=1))
-    mask = np.uint64((1 << WORD_BITS) - 1)
-    word = ((pair >> np.uint64(_REST)) & mask).astype(np.int64)
-    prior = (pair >> np.uint64(WORD_BITS + _REST)).astype(np.int64)
-    slot = _pair_slot(pair)
-    out = [("before", word, np.ones(len(pair)))]
-    for c, n in enumerate(counts):
-        out += [(f"pair{c}", slot, n), (f"word{c}", word, n)]
-        out += [(f"prior{c}", prior, n), (f"next{c}", prior, n > 0)]
-    columns = {"kind": [], "slice": [], "slots": [], "counts": []}
-    for kind, slot, n in out:
-        sums = np.bincount(slot, n)
-        some = np.flatnonzero(sums)
-        edges = np.searchsorted(some, np.arange(0, _size(kind) + 1, _SLICE))
-        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            if a < b:
-                columns["kind"].append(_TABLES.index(kind))
-                columns["slice"].append(i)
-                columns["slots"].append((some[a:b] - i * _SLICE).astype(np.int32).tobytes())
-                columns["counts"].append(sums[some[a:b]].astype(np.int32).tobytes())
-    return pa.table(columns, _SPARSE)
-
-
-def _size(kind: str) -> int:
-    return 1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS)
-
-
-def _dense(rows: pa.Table) -> pa.Table:
-    """A slice of a table from all parts' entries."""
-    slots, counts = (
-        np.concatenate([np.frombuffer(b, t) for b in rows[c].to_pylist()])
-        for c, t in (("slots", np.int32), ("counts", np.int32))
-    )
-    sums = np.bincount(slots, counts, _SLICE).astype(np.float32)
-    return pa.table({"kind": rows["kind"][:1], "slice": rows["slice"][:1], "counts": [sums.tobytes()]})
+    return _summed(e.prior[at], e.word[at], np.stack([own == 0, own == 1]))[1:]
+
+
+_SENT = pa.schema([("part", pa.int64())] + [(c, pa.binary()) for c in ("words", "places", "counts")])
+_ENTRIES = ENTRIES + ", sums array<double>"
+_WORD = ("word0", "word1", "prior0", "prior1", "next0", "next1", "before")
+
+
+def _entry(part: int, keys: np.ndarray, values: np.ndarray, sums: list[float] | None = None) -> dict:
+    return {"part": part, "batch": None, "keys": packed_keys(keys), "vals": packed_values(values), "sums": sums}
+
+
+def _entries(rows: list[dict]) -> pa.Table:
+    kinds = [("part", pa.int64()), ("batch", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())]
+    return pa.Table.from_pylist(rows, pa.schema([*kinds, ("sums", pa.list_(pa.float64()))]))
+
+
+def _tallied(parts: list[int]):
+    """The pairs of a part, summed, and what they add to their words' counts."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        prior, word = [], []
+        for words, places in zip(rows["words"].to_pylist(), rows["places"].to_pylist(), strict=True):
+            words, places = unpacked_keys(words), unpacked_values(places, len(places) // 8)
+            prior.append(words[np.cumsum(places[0])])
+            word.append(words[places[1]])
+        prior, word = np.concatenate(prior), np.concatenate(word)
+        counts = [unpacked_values(b, len(b) // 8) for b in rows["counts"].to_pylist()]
+        pair, prior, word, counts = _summed(prior, word, np.concatenate(counts, axis=1))
+        out = [_entry(rows["part"][0].as_py(), pair, counts)]
+        keys, which = np.unique(np.concatenate((word, prior)), return_inverse=True)
+        word, prior = np.split(which, 2)
+        sums = [(word, counts[0]), (word, counts[1]), (prior, counts[0]), (prior, counts[1])]
+        sums += [(prior, counts[0] > 0), (prior, counts[1] > 0), (word, None)]
+        values = np.stack([np.bincount(of, n, len(keys)) for of, n in sums])
+        out += [_entry(parts[0] + part, keys[a:b], values[:, a:b]) for part, a, b in cut(keys, parts[1])]
+        return _entries(out)
+
+    return run
+
+
+def _of_words(rows: pa.Table) -> pa.Table:
+    """The words of a part with their counts from all pairs, and figures of the part."""
+    blobs = [unpacked_keys(b) for b in rows["keys"].to_pylist()]
+    values = [unpacked_values(b, len(k)) for b, k in zip(rows["vals"].to_pylist(), blobs, strict=True)]
+    keys, which = np.unique(np.concatenate(blobs), return_inverse=True)
+    values = np.concatenate(values, axis=1)
+    values = np.stack([np.bincount(which, v, len(keys)) for v in values])
+    before = values[_WORD.index("before")]
+    sums = [float((before > 0).sum()), float(before.sum())]
+    for n in values[:2]:
+        sums += [float(n.sum()), *(float((n == k).sum()) for k in (1, 2, 3, 4)), float((n >= 3).sum())]
+    return _entries([_entry(rows["part"][0].as_py(), keys, values, sums)])
+
 
+def count_pairs(rows: DataFrame, parts: list[int]) -> tuple[DataFrame, np.ndarray]:
+    """All pairs and all words of the rows ``text, y`` with their counts, and sums of these.
 
-def count_pairs(rows: DataFrame, parts: int) -> dict[str, np.ndarray]:
-    """The models' tables from all rows ``text, y``; their sizes are fixed by the hash."""
+    The tables are written to the working folder, a row for each part of the pairs and then
+    of the words (``batches.fetch``), so that they grow with the rows.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def packed() -> pa.RecordBatch:
-            pair, counts = _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held], axis=1))
-            part = ((mix(pair) & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
-            blobs = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                mine = order[a:b]
-                blobs.append(pair[mine].tobytes() + counts[:, mine].tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(range(parts)), pa.array(blobs)], schema=_SENT)
+            joined = (np.concatenate([h[i] for h in held], axis=-1) for i in range(3))
+            pair, prior, word, counts = _summed(*joined)
+            part = part_of(pair, parts[0])
+            order = np.lexsort((prior, part))
+            edges = np.searchsorted(part[order], np.arange(parts[0] + 1))
+            out = {name: [] for name in _SENT.names}
+            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                if a < b:
+                    mine = order[a:b]
+                    out["part"].append(i)
+                    words, at = np.unique(np.concatenate((prior[mine], word[mine])), return_inverse=True)
+                    at = at.reshape(2, -1)
+                    at[0] = np.diff(at[0], prepend=0)
+                    out["words"].append(packed_keys(words))
+                    out["places"].append(packed_values(at))
+                    out["counts"].append(packed_values(counts[:, mine]))
+            return pa.RecordBatch.from_pydict(out, _SENT)
 
         for b in sliced(batches, SLICE_BYTES):
             held.append(_counted(texts_of(b), b["y"].to_numpy()))
@@ -163,19 +189,17 @@ def count_pairs(rows: DataFrame, parts: int) -> dict[str, np.ndarray]:
         if size:
             yield packed()
 
-    slices = (
-        rows.mapInArrow(send, "part long, rows binary")
+    counted = (
+        rows.mapInArrow(send, "part long, words binary, places binary, counts binary")
         .groupBy("part")
-        .applyInArrow(_tallied, "kind long, slice long, slots binary, counts binary")
-        .groupBy("kind", "slice")
-        .applyInArrow(_dense, "kind long, slice long, counts binary")
-        .collect()
+        .applyInArrow(_tallied(parts), _ENTRIES)
     )
-    out = {name: np.zeros(_size(name), np.float32) for name in _TABLES}
-    for r in slices:
-        at = r["slice"] * _SLICE
-        out[_TABLES[r["kind"]]][at : at + _SLICE] = np.frombuffer(r["counts"], np.float32)
-    return out
+    counted = written(counted, "toxicity-pairs")
+    words = counted.where(F.col("part") >= parts[0]).groupBy("part").applyInArrow(_of_words, _ENTRIES)
+    words = written(words, "toxicity-words")
+    sums = words.agg(*(F.sum(F.col("sums")[i]) for i in range(2 + 2 * 6))).first()
+    known = counted.where(F.col("part") < parts[0]).unionByName(words).drop("sums")
+    return known, np.array([s or 0.0 for s in sums])
 
 
 def _within(text: np.ndarray, of: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -188,14 +212,35 @@ def _within(text: np.ndarray, of: np.ndarray, at: np.ndarray, weight: np.ndarray
     return np.bincount(group[at], weight)[group] if len(at) else np.zeros(0)
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts of 0, 1, 2 and more, from how many counts there are of each."""
-    n = [max(1.0, float((counts == k).sum())) for k in (1, 2, 3, 4)]
+def _discounts(kinds: np.ndarray) -> np.ndarray:
+    """Discounts of counts of 0, 1, 2 and more, from how many counts there are of 1 to 4."""
+    n = np.maximum(kinds, 1.0)
     y = n[0] / (n[0] + 2 * n[1])
     found = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
     return np.array([0.0] + [min(max(d, 0.1), k) for k, d in enumerate(found, 1)])
 
 
+@dataclass
+class Found:
+    """Events of a batch with the counts of its pairs and words, and the place of each event's."""
+
+    e: Events
+    keys: list[np.ndarray]
+    pair: np.ndarray
+    word: np.ndarray
+    prior: np.ndarray
+    of_pair: np.ndarray | None = None
+    of_word: dict[str, np.ndarray] | None = None
+
+
+def sought(texts: list[bytes]) -> Found:
+    """What a batch has to fetch: its different pairs and words."""
+    e = events(texts)
+    pairs, pair = np.unique(e.pair, return_inverse=True)
+    words, at = np.unique(np.concatenate((e.word, e.prior)), return_inverse=True)
+    return Found(e, [pairs, words], pair, *np.split(at, 2))
+
+
 class Models:
     """Both classes' models: log-likelihood differences of events.
 
@@ -204,37 +249,39 @@ class Models:
     probability in both classes together, tilted by the class's share of the word.
     """
 
-    def __init__(self, tables: dict[str, np.ndarray]):
-        before = tables["before"].astype(float) + 1 / len(tables["before"])
-        self.shared = (before / before.sum()).astype(np.float32)
-        self.tables = {k: v for k, v in tables.items() if k != "before"}
-        words = [tables[k].astype(float) for k in ("word0", "word1")]
-        self.total = [max(1.0, w.sum()) for w in words]
-        self.discounts = [_discounts(w) for w in words]
+    def __init__(self, sums: np.ndarray, parts: list[int]):
+        self.parts = parts
+        self.unseen = 1 / max(1.0, sums[0])
+        self.before = sums[1] + 1
+        of_class = sums[2:].reshape(2, 6)
+        self.total = [max(1.0, s[0]) for s in of_class]
+        self.discounts = [_discounts(s[1:5]) for s in of_class]
         self.left = [
-            self._taken(w, c).sum() / self.total[c] if w.any() else 1.0 for c, w in enumerate(words)
+            float(d[1:] @ s[[1, 2, 5]]) / t if s[0] else 1.0
+            for d, s, t in zip(self.discounts, of_class, self.total, strict=True)
         ]
 
     def _taken(self, counts: np.ndarray, c: int) -> np.ndarray:
         return self.discounts[c][np.clip(counts, 0, 3).astype(np.int64)]
 
-    def _words(self, counts: np.ndarray, word: np.ndarray, c: int) -> np.ndarray:
+    def _words(self, counts: np.ndarray, shared: np.ndarray, c: int) -> np.ndarray:
         kept = np.maximum(counts - self._taken(counts, c), 0) / self.total[c]
-        return kept + self.left[c] * self.shared[word]
+        return kept + self.left[c] * shared
 
-    def differences(self, e: Events, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def differences(self, f: Found, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Toxic minus ordinary log-likelihood of each word, alone and after the word before.
 
         ``own`` is the class of each text where its counts are in the tables: they are then
         taken out, so that a row that taught is judged as one that did not.
         """
-        pair, prior, word = _pair_slot(e.pair), e.prior, e.word
+        e = f.e
+        shared = ((f.of_word["before"] + self.unseen) / self.before)[f.word]
         at = _distinct(e) if own is not None else None
         parts, words = [], []
         for c in (0, 1):
-            n, follow, kinds, alone = (
-                self.tables[f"{k}{c}"][i]
-                for k, i in (("pair", pair), ("prior", prior), ("next", prior), ("word", word))
+            n = f.of_pair[c][f.pair]
+            follow, kinds, alone = (
+                f.of_word[f"{k}{c}"][i] for k, i in (("prior", f.prior), ("next", f.prior), ("word", f.word))
             )
             if own is not None:
                 mine = own[e.text] == c
@@ -242,20 +289,22 @@ class Models:
                 kinds = kinds - mine * _within(e.text, e.prior, at, (n[at] <= 1).astype(float))
                 alone = alone - mine * _within(e.text, e.word, at, np.ones(len(at)))
                 n = n - mine
-            words.append(self._words(alone, word, c))
+            words.append(self._words(alone, shared, c))
             parts.append((np.maximum(n, 0), np.maximum(follow, 0), np.maximum(kinds, 0)))
         n, follow, kinds = (a + b for a, b in zip(*parts, strict=True))
-        both = _interpolated(n, follow, kinds, self.shared[word])
+        both = _interpolated(n, follow, kinds, shared)
         middle = (words[0] + words[1]) / 2
         pairs = [_interpolated(*parts[c], both * words[c] / middle) for c in (0, 1)]
         return np.log(words[1] / words[0]), np.log(pairs[1] / pairs[0])
 
-    def features(self, texts: list[bytes], own: np.ndarray | None = None) -> np.ndarray:
+    def features(self, texts: list[bytes], answers: list, own: np.ndarray | None = None) -> np.ndarray:
         """Per text: differences per word of the whole and of its worst runs of words."""
-        e = events(texts)
-        alone, after = self.differences(e, own)
+        f = sought(texts)
+        f.of_pair, words = fetched(answers, f.keys, self.parts, [2, len(_WORD)])
+        f.of_word = dict(zip(_WORD, words, strict=True))
+        alone, after = self.differences(f, own)
         return np.column_stack(
-            [_per_word(alone, e, n) for n in (0, *RUNS)] + [_per_word(after, e, n) for n in (0, RUNS[0])]
+            [_per_word(alone, f.e, n) for n in (0, *RUNS)] + [_per_word(after, f.e, n) for n in (0, RUNS[0])]
         )
 
 
@@ -279,38 +328,47 @@ def _per_word(d: np.ndarray, e: Events, run: int) -> np.ndarray:
     return worst
 
 
+def _measured(docs: DataFrame, known: DataFrame, models: Models, each, schema) -> DataFrame:
+    """``each`` of every batch with its answers from the models' tables."""
+    asked = fetch(docs, known, lambda table: sought(texts_of(table)).keys, models.parts)
+    return meet(docs, asked, lambda batch, table, answers: each(table, answers), schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000):
-    """Models and the weights of the regression.
+    """The models' tables, the models and the weights of the regression.
 
     Counts come from all rows that may teach. The regression is fitted on at most about
     ``sample`` of them, chosen by a hash of doc_id.
     """
     rows = taught(docs, labels, label)
-    models = Models(count_pairs(rows, max(16, labels.count() // LABELS_PER_PART)))
+    size = text_bytes(docs)
+    parts = [max(LEAST_PARTS, parts_for(size / n)) for n in (PAIR_BYTES, WORD_BYTES)]
+    known, sums = count_pairs(rows, parts)
+    models = Models(sums, parts)
     share = min(1.0, sample / max(1, labels.count()))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    chosen = written(chosen.select("text", "y"), "toxicity-sample")
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, SLICE_BYTES):
-            y = b["y"].to_numpy()
-            x = models.features(texts_of(b), y)
-            yield pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(y.astype(np.int32))], ["x", "y"])
+    def measure(table: pa.Table, answers: list) -> pa.Table:
+        y = table["y"].to_numpy()
+        x = models.features(texts_of(table), answers, y)
+        return pa.table({"x": pa.array(list(x), pa.list_(pa.float64())), "y": pa.array(y.astype(np.int32))})
 
-    fit = chosen.mapInArrow(measure, "x array<double>, y int").toPandas()
+    fit = _measured(chosen, known, models, measure, "x array<double>, y int").toPandas()
     if not len(fit):
-        return models, np.array([0.0] * (len(RUNS) + 3) + [-1.0])
-    return models, logistic(np.stack(fit["x"].to_list()), fit["y"].to_numpy())
+        return known, models, np.array([0.0] * (len(RUNS) + 3) + [-1.0])
+    x, y = np.stack(fit["x"].to_list()), fit["y"].to_numpy()
+    order = np.lexsort((*x.T, y))  # sums do not depend on where batches were measured
+    return known, models, logistic(x[order], y[order])
 
 
-def _scored(docs: DataFrame, models: Models, weights: np.ndarray, emit, schema) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((models, weights))  # tables of fixed size
+def _scored(docs: DataFrame, trained: tuple[DataFrame, Models, np.ndarray], emit, schema) -> DataFrame:
+    known, models, weights = trained
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, weights = sent.value
-        for b in sliced(batches, SLICE_BYTES):
-            yield emit(b, chance(models.features(texts_of(b)), weights))
+    def each(table: pa.Table, answers: list) -> pa.Table:
+        return emit(table, chance(models.features(texts_of(table), answers), weights))
 
-    return docs.mapInArrow(run, schema)
+    return _measured(docs, known, models, each, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -322,25 +380,24 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     as the empty text in ``held_out``; without any label all scores are the prior 0.27.
     Other columns are not read.
     """
-    models, weights = train(docs, labels)
+    trained = train(docs, labels)
     kinds = "doc_id long, held_out boolean, score double, predicted int"
 
-    def emit(b: pa.RecordBatch, score: np.ndarray) -> pa.RecordBatch:
-        ids = b["doc_id"].cast(pa.int64())
+    def emit(table: pa.Table, score: np.ndarray) -> pa.Table:
+        ids = table["doc_id"].cast(pa.int64())
         predicted = pa.array((score >= threshold).astype(np.int32))
-        return pa.RecordBatch.from_arrays(
-            [ids, b["held_out"], pa.array(score), predicted], ["doc_id", "held_out", "score", "predicted"]
+        return pa.Table.from_arrays(
+            [ids, table["held_out"], pa.array(score), predicted], ["doc_id", "held_out", "score", "predicted"]
         )
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return _scored(rows, models, weights, emit, kinds)
+    return _scored(rows, trained, emit, kinds)
 
 
 def decent(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    models, weights = train(docs, labels)
 
-    def emit(b: pa.RecordBatch, score: np.ndarray) -> pa.RecordBatch:
-        return b.filter(pa.array(score < threshold))
+    def emit(table: pa.Table, score: np.ndarray) -> pa.Table:
+        return table.filter(pa.array(score < threshold))
 
-    return _scored(docs, models, weights, emit, docs.schema)
+    return _scored(docs, train(docs, labels), emit, docs.schema)
