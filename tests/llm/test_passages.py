@@ -211,3 +211,30 @@ def test_best_passage_of_a_long_text():
     index = Index([(4, b"red green blue white black grey")], 0.7)
     text = b"x " * 50 + b"red green blue white black grey " + b"y " * 50
     assert [(t, i, round(s, 6)) for t, i, s, *_ in find(index, [b"", text], 0.5)] == [(1, 4, 1.0)]
+
+
+def test_strings_of_a_common_gram_part(spark, odd_docs, short_rows, monkeypatch):
+    """A line that all share, in surroundings of their own or of few, does not meet in one part."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    r = random.Random(6)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    line, around = text(90), [text(80) for _ in range(4)]
+    rows = [(i, f"{text(90)}{line}{text(90)}") for i in range(300)]
+    rows += [(1000 + i, f"{text(50)}{around[i % 4]}{line}{around[i % 3]}{text(50)}") for i in range(60)]
+    rows += [(2000 + i, text(100 * i)) for i in range(8)] + [(3000, line * 9), (3001, line * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sent, merges = suffix_dedup.entries(docs, 150)
+    met, apart = Counter(), Counter()
+    for row in sent.collect():
+        grams = np.frombuffer(row.grams, np.uint64)
+        if row.part < merges:
+            met.update(grams.tolist())
+        else:
+            apart.update(map(tuple, grams.reshape(-1, 2).tolist()))
+    assert max(met.values(), default=0) <= 20 and len(apart) > 1000
+    got = map(tuple, repeat_report(docs, 150).collect())
+    assert multiset(got) == multiset(report(rows, 150))  # noqa: F405
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    docs = odd_docs.where("text is null or length(text) < 20000")
+    got = map(tuple, repeat_report(docs, 64).collect())
+    assert multiset(got) == multiset(report(short_rows, 64))  # noqa: F405

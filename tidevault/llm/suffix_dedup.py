@@ -17,6 +17,10 @@ for about 185 of them.
    offset o repeats if another suffix shares the o bytes before and the 400 - o bytes from the
    anchor on: two intervals of the merged orders, bounded by smaller common prefixes.
 4. The repeated strings' places go back to their batches.
+
+A gram of more than ``HOT`` runs, such as a line that very many documents share, would fill a
+part. Its strings part by themselves: each goes to the part of its own 128-bit digest, once for
+each batch, and only equal ones meet.
 """
 
 from __future__ import annotations
@@ -29,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidevault.llm.batches import ROW, ROW_SCHEMA, ask, meet, parts_for, text_bytes, texts_of
+from tidevault.llm.batches import ROW, ROW_SCHEMA, ask, cut, meet, parts_for, text_bytes, texts_of
 from tidevault.llm.words import FACTOR, mix, powers
 
 GRAM = 32
 CHUNK = 1 << 19
+HOT = 5_000  # runs of a gram that are merged in one part
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _INVERSE = pow(FACTOR, -1, 1 << 64)
 _SCATTER = np.uint64(0x2545F4914F6CDD1D)
@@ -121,6 +126,18 @@ class Anchored:
         """The bytes of all strings of a run."""
         return self.data[self.first[i] : self.last[i] + self.length].tobytes()
 
+    def digests(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128-bit digests of all strings of some runs, as two numbers each, and where they begin."""
+        whole, parts, begins = memoryview(self.data), [], []
+        for i in some.tolist():
+            at = range(int(self.first[i]), int(self.last[i]) + 1)
+            parts.append(
+                b"".join(hashlib.blake2b(whole[k : k + self.length], digest_size=16).digest() for k in at)
+            )
+            begins.append(np.array(at, np.int32))
+        both = np.frombuffer(b"".join(parts), np.uint64).reshape(-1, 2)
+        return both, np.concatenate(begins or [np.empty(0, np.int32)])
+
 
 def refine(start: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge sorted runs of strings by refining their interleave.
@@ -206,8 +223,36 @@ _PARTS = pa.schema(
 )
 
 
-def _merge(length: int) -> Callable[[pa.Table], pa.Table]:
+def _same(rows: pa.Table, length: int) -> pa.Table:
+    """Of a part of digests, the places of those that occur more than once."""
+    digests, times, begins = (
+        [np.frombuffer(b, kind) for b in rows[name].to_pylist()]
+        for name, kind in (("grams", np.uint64), ("times", np.int32), ("anchors", np.int32))
+    )
+    count = [len(t) for t in times]
+    digest, n = np.concatenate(digests).reshape(-1, 2), np.concatenate(times)
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
+    equal = (digest[order][1:] == digest[order][:-1]).all(axis=1)
+    twice = n > 1
+    twice[order[1:][equal]] = True
+    twice[order[:-1][equal]] = True
+    out = {"batch": [], "docs": [], "part": [], "keys": [], "vals": []}
+    ends = np.cumsum(count)
+    for batch, own, a, b in zip(rows["batch"].to_pylist(), begins, ends - count, ends, strict=True):
+        at = own[np.repeat(twice[a:b], n[a:b])]
+        if len(at):
+            out["batch"].append(batch)
+            out["docs"].append(None)
+            out["part"].append(rows["part"][0].as_py())
+            out["keys"].append(at.tobytes())
+            out["vals"].append((at + np.int32(length)).tobytes())
+    return pa.table(out, ROW_SCHEMA)
+
+
+def _merge(length: int, merges: int) -> Callable[[pa.Table], pa.Table]:
     def run(rows: pa.Table) -> pa.Table:
+        if rows["part"][0].as_py() >= merges:
+            return _same(rows, length)
         rows = rows.sort_by("batch")
 
         def numbers(name: str, kind: type) -> list[np.ndarray]:
@@ -247,9 +292,9 @@ def _merge(length: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def repeats(docs: DataFrame, length: int) -> DataFrame:
-    """Rows of answers for each batch: begin and end of repeated places in its joined bytes."""
-    size = text_bytes(docs)
+def entries(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
+    """What batches send to the parts, and how many parts merge; those that follow get digests."""
+    size, hot = text_bytes(docs), HOT
     parts = parts_for(size / 150, 200_000)
     merges = parts_for(size / 150, 20_000)
 
@@ -262,25 +307,27 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
 
     def answer(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, which = np.unique(keys, return_inverse=True)
-        places = np.flatnonzero(np.bincount(which, counts)[which] > 1)
-        return places, np.ones(len(places), np.uint8)
+        total = np.bincount(which, counts)[which]
+        places = np.flatnonzero(total > 1)
+        return places, (total[places] > hot).astype(np.uint8)
 
     def contexts(batch: int, table: pa.Table, answers: list) -> pa.Table:
         runs = Anchored(texts_of(table), length)
         known = np.concatenate([np.frombuffer(k, np.uint64) for _, k, _ in answers] or [np.empty(0, np.uint64)])
+        is_hot = np.concatenate([np.frombuffer(v, np.uint8) for *_, v in answers] or [np.empty(0, np.uint8)]) > 0
         found: dict[tuple[int, int, bytes, int], list[int]] = {}
-        for i in np.flatnonzero(np.isin(runs.gram, known)).tolist():
+        for i in np.flatnonzero(np.isin(runs.gram, known[~is_hot])).tolist():
             before = int(runs.anchor[i] - runs.first[i])
             context = runs.context(i)
             key = int(runs.gram[i]), before, context
             found.setdefault(key, []).append(int(runs.anchor[i]))
-        entries = sorted(found, key=lambda e: (e[0], e[2][e[1] :]))
-        grams = np.array([e[0] for e in entries], np.uint64)
+        merged = sorted(found, key=lambda e: (e[0], e[2][e[1] :]))
+        grams = np.array([e[0] for e in merged], np.uint64)
         part = spread(grams, merges)
         edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
         out = {f.name: [] for f in _PARTS}
         for a, b in zip(edges[:-1], edges[1:], strict=True):
-            mine = entries[a:b]
+            mine = merged[a:b]
             out["part"].append(int(part[a]))
             out["batch"].append(batch)
             out["grams"].append(grams[a:b].tobytes())
@@ -289,11 +336,33 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
             out["times"].append(np.array([len(found[e]) for e in mine], np.int32).tobytes())
             out["anchors"].append(np.array([p for e in mine for p in found[e]], np.int32).tobytes())
             out["contexts"].append(b"".join(e[2] for e in mine))
+        digest, begin = runs.digests(np.flatnonzero(np.isin(runs.gram, known[is_hot])))
+        order = np.lexsort((digest[:, 1], digest[:, 0]))
+        digest, begin = digest[order], begin[order]
+        new = np.ones(len(digest), bool)
+        new[1:] = (digest[1:] != digest[:-1]).any(axis=1)
+        at = np.append(np.flatnonzero(new), len(digest))
+        times = np.diff(at).astype(np.int32)
+        firsts = digest[new]
+        for part, a, b in cut(firsts[:, 0], merges):
+            out["part"].append(merges + part)
+            out["batch"].append(batch)
+            out["grams"].append(firsts[a:b].tobytes())
+            out["times"].append(times[a:b].tobytes())
+            out["anchors"].append(begin[at[a] : at[b]].tobytes())
+            for name in ("before", "sizes", "contexts"):
+                out[name].append(None)
         return pa.table(out, _PARTS)
 
     asked = ask(docs, keys_of, answer, (np.uint64, np.uint32))
     kinds = "part long, batch long, " + ", ".join(f"{f.name} binary" for f in list(_PARTS)[2:])
-    return meet(docs, asked, contexts, kinds).groupBy("part").applyInArrow(_merge(length), ROW)
+    return meet(docs, asked, contexts, kinds), merges
+
+
+def repeats(docs: DataFrame, length: int) -> DataFrame:
+    """Rows of answers for each batch: begin and end of repeated places in its joined bytes."""
+    sent, merges = entries(docs, length)
+    return sent.groupBy("part").applyInArrow(_merge(length, merges), ROW)
 
 
 def _removed(table: pa.Table, answers: list, length: int) -> tuple[list[bytes], list[np.ndarray]]:
