@@ -176,3 +176,24 @@ def test_bounds_leave_no_pair_out():
     u = x / np.linalg.norm(x, axis=1)[:, None]
     want = {tuple(p) for p in np.argwhere(u @ u.T >= 0.93).tolist()}
     assert {tuple(p) for p in near_pairs(x, x, 0.93).tolist()} == want
+
+
+def test_rows_of_one_id_or_none_link_by_their_own_texts(spark):
+    """An id with two texts fuses nothing; a row without id bridges two documents."""
+    r = random.Random(12)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    a, b, c = words(60), words(60), words(60)
+    edited = lambda t, n: " ".join(t[: len(t) - n] + words(n))
+    a1, a2, bridge = " ".join(a), edited(a, 6), " ".join(c[4:])
+    rows = [(5, a1), (5, " ".join(b)), (7, a2), (9, " ".join(b)), (5, ""), (5, None)]
+    rows += [(20, " ".join(c)), (21, " ".join(c[8:])), (None, bridge), (None, " ".join(words(30)))]
+    rows += [(30, a1), (30, " ".join(words(40))), (30, "x y z"), (31, "x y z"), (None, "x y z"), (5, a2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [tuple(x) for x in ngram_components(docs, 2, 88).collect()]
+    want = brute(rows, 2, 88)
+    assert multiset(got) == multiset(want)  # noqa: F405
+    apart = brute([rows[6], rows[7]], 2, 88)
+    assert [w[2] for w in apart] == [20, 21] and (21, want[7][1], 20) in got
+    kept = Counter(x.doc_id for x in representatives(docs, 2, 88).collect())
+    # Of 5: three texts that are not alike and two without words.
+    assert kept == Counter({5: 5, 20: 1, None: 3, 30: 2})

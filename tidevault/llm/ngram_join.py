@@ -18,12 +18,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidevault.llm.batches import ask, meet, parts_for, text_bytes, texts_of
+from tidevault.llm.batches import ask, meet, parts_for, sliced, text_bytes, texts_of
 from tidevault.llm.components import components, written
 from tidevault.llm.words import mix, runs_in_texts, shingles, words_of
 
@@ -332,23 +335,19 @@ def _run(groups: DataFrame, reps: DataFrame, keys: list[str], links) -> DataFram
     return written(rows.groupBy("task").applyInArrow(links, "a long, b long").distinct(), "trie-links")
 
 
-def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: near-duplicates share a component.
+def _classified(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows' sets, and of each distinct one its linked group and the least doc_id in that.
 
-    Two documents link when the Jaccard similarity of their sets of ``k``-word shingles,
-    A-Z lowered, is ``percent`` or more. A text of fewer words is one shingle; a null text
-    or one without words has none and links with nothing. ``component_id`` is the least
-    doc_id reachable by links, the document's own without any. Repeated rows stay as often
-    as they come. Rows without doc_id link like others, but never name a component, and
-    are null there if no other row is in theirs. Other columns are not looked at.
+    Each distinct set has a number of its own, ``rep``, whatever the ids of its rows.
     """
     sets = written(frequency_sets(docs, k, percent), "sets")
-    classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     reps = written(
         sets.where("tokens is not null")
         .groupBy("s1", "s2", "n")
         .agg(F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"))
-        .join(classes.where("rep is not null"), ["s1", "s2"])
+        .join(classes, ["s1", "s2"])
         .select("rep", "n", "tokens", "prefix"),
         "reps",
     )
@@ -358,10 +357,28 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     )
     star = _star_round(reps, routes, percent)
     cross = _cross_round(reps, routes, components(star), percent)
-    linked = components(star.union(cross)).withColumnRenamed("id", "rep")
-    groups = classes.join(linked, "rep", "left").select(
-        "s1", "s2", F.coalesce("component", "rep").alias("component_id")
+    linked = written(components(star.union(cross)).withColumnRenamed("id", "rep"), "linked")
+    least = linked.join(classes, "rep").groupBy("component").agg(F.min("least").alias("of_all"))
+    groups = classes.join(linked.join(least, "component"), "rep", "left").select(
+        "s1",
+        "s2",
+        F.coalesce("component", "rep").alias("group"),
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("of_all")).alias("component_id"),
     )
+    return sets, groups
+
+
+def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: near-duplicates share a component.
+
+    Two documents link when the Jaccard similarity of their sets of ``k``-word shingles,
+    A-Z lowered, is ``percent`` or more. A text of fewer words is one shingle; a null text
+    or one without words has none and links with nothing. ``component_id`` is the least
+    doc_id reachable by links, the document's own without any. Repeated rows stay as often
+    as they come. Rows without doc_id link like others, but never name a component, and
+    are null there if no other row is in theirs. Other columns are not looked at.
+    """
+    sets, groups = _classified(docs, k, percent)
     return sets.join(groups.withColumn("n_", F.lit(1)), ["s1", "s2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -373,11 +390,34 @@ def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """One document of each group of near-duplicates, the least doc_id, with all its columns.
 
     Documents without words are not alike and all stay, and so do rows without doc_id. Of
-    rows with the same doc_id one stays if they are alike.
+    rows with the same doc_id one stays if they are alike; others are judged by themselves.
     """
-    groups = ngram_components(docs, k, percent)
-    gone = groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    twice = groups.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+    sets, groups = _classified(docs, k, percent)
+    rows = sets.select("doc_id", "n", "s1", "s2").where("doc_id is not null").join(groups, ["s1", "s2"], "left")
+    rows = written(rows.select("doc_id", "n", "component_id"), "rows")
+    gone = rows.where("n > 0 and doc_id <> component_id").select("doc_id").distinct()
+    twice = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    once = docs.join(twice, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
+    again = _signed(docs.join(twice, "doc_id", "left_semi").select(*docs.columns), k)
+    again = again.join(groups.toDF("__s1", "__s2", "__group", "__component"), ["__s1", "__s2"], "left")
+    empty = again.where("__group is null")
+    alike = again.where("doc_id = __component").dropDuplicates(["doc_id", "__group"])
+    return once.select(*docs.columns).unionByName(empty.unionByName(alike).select(*docs.columns))
+
+
+def _signed(docs: DataFrame, k: int) -> DataFrame:
+    """The documents with the signatures of their sets, null for texts without words."""
+    schema = T.StructType([*docs.schema, T.StructField("__s1", T.LongType()), T.StructField("__s2", T.LongType())])
+
+    def sign(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in sliced(records):
+            texts = texts_of(record)
+            grams, text = sets_of(texts, k)
+            edges = np.searchsorted(text, np.arange(len(texts) + 1))
+            none = np.diff(edges) == 0
+            both = [pa.array(s.astype(np.int64), mask=none) for s in signatures(grams, edges)]
+            yield pa.RecordBatch.from_arrays(
+                [*record.columns, *both], [*record.schema.names, "__s1", "__s2"]
+            )
+
+    return docs.mapInArrow(sign, schema)
