@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tidevault.llm.bpe import round_trip
 from tidevault.llm.decontaminate import leaks
 from tidevault.llm.embeddings import near_vectors
+from tidevault.llm.lexical_search import search
 from tidevault.llm.ngram_join import ngram_components
+from tidevault.llm.packing import packed
 from tidevault.llm.quality import quality
 from tidevault.llm.sharding import place
 from tidevault.llm.substring_dedup import without_repeated_windows
 from tidevault.llm.suffix_dedup import repeat_report
+from tidevault.llm.token_alignment import alignment
 from tidevault.llm.token_counts import token_counts
 from tidevault.llm.toxicity import toxicity
 
@@ -104,3 +107,52 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that score most for each benchmark item."""
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
+ORACLES["op11_lexical_search"] = r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    corpus AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM words WHERE len(terms) > 0),
+    tfs AS (
+        SELECT doc_id, n, term, count(*) AS tf
+        FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM words)
+        GROUP BY doc_id, n, term),
+    dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    scored AS (
+        SELECT item_id, doc_id, sum(
+            floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+            * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+        FROM asked JOIN dfs USING (term) JOIN tfs USING (term), corpus
+        GROUP BY item_id, doc_id)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM scored WHERE score > 0)
+    WHERE rank <= 50"""
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by byte_bpe_50k.json in sequences of 2048 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packed(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, 2048)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of byte_bpe_50k.json and piece_bpe_32k.model."""
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment(_table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
