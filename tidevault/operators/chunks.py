@@ -48,6 +48,8 @@ _CHANGES = "_changes"
 _COMMIT = "_commit"
 # Chunks that one path pattern names; a scan of more chunks has more patterns.
 _NAMED_CHUNKS = 400
+# Up to this many chunks are looked up one by one, without a listing of the table.
+_FEW_CHUNKS = 64
 
 
 def _chunk_glob(ids: Iterable[int]) -> str:
@@ -293,43 +295,63 @@ class ChunkedTable:
     def read_chunks(self, ids: Iterable[int] | None = None) -> DataFrame:
         """Stored rows, with ``chunk_id`` and ``load``, of some chunks or of all.
 
-        Chunks that are asked for are named, however many, and only they are listed.
+        Chunks that are asked for are named, however many, and only they are listed. Few are
+        looked up one by one; for more the table's folder is listed once.
         """
-        reader = self.spark.read.schema(self.stored)
         if ids is None:
             if not self.folder.exists():
                 return self.spark.createDataFrame([], self.stored)
-            return reader.option("basePath", self.root).parquet(self.folder.plain_root)
-        live = set(ids).intersection(self.chunk_ids())
-        if not live:
+            return self.read_paths([self.folder.plain_root])
+        return self._read_live(self._live(set(ids)))
+
+    def _live(self, ids: set[int]) -> set[int]:
+        if len(ids) <= _FEW_CHUNKS:
+            return {i for i in ids if self.folder.exists(f"chunk_id={i}")}
+        return ids.intersection(self.chunk_ids())
+
+    def _read_live(self, live: Iterable[int]) -> DataFrame:
+        live = sorted(live)
+        names = [f"chunk_id={i}" for i in live] if len(live) <= _FEW_CHUNKS else self._patterns(live)
+        return self.read_paths([f"{self.folder.plain_root}/{n}" for n in names])
+
+    def read_paths(self, paths: Sequence[str]) -> DataFrame:
+        """Stored rows of folders or files of the table; none without paths."""
+        if not paths:
             return self.spark.createDataFrame([], self.stored)
-        paths = [f"{self.folder.plain_root}/{p}" for p in self._patterns(live)]
-        return reader.option("basePath", self.root).parquet(*paths)
+        return self.spark.read.schema(self.stored).option("basePath", self.root).parquet(*paths)
 
-    def read_range(self, first: int | None, last: int | None) -> DataFrame:
-        """Stored rows of the chunks ``first..last``."""
-        if first is None and last is None:
-            return self.read_chunks()
-        ids = [
+    def ids_between(self, first: int | None, last: int | None) -> list[int]:
+        """The chunks ``first..last`` that are there."""
+        if first is not None and last is not None and last - first < _FEW_CHUNKS:
+            return sorted(self._live(set(range(first, last + 1))))
+        return [
             i
             for i in self.chunk_ids()
             if (first is None or i >= first) and (last is None or i <= last)
         ]
-        df = self.read_chunks(ids)
+
+    def read_range(self, first: int | None, last: int | None) -> DataFrame:
+        """Stored rows of the chunks ``first..last``."""
+        if first is None and last is None:
+            return self.read_chunks()
+        df = self._read_live(self.ids_between(first, last))
         if first is not None:
             df = df.where(F.col("chunk_id") >= first)
         if last is not None:
             df = df.where(F.col("chunk_id") <= last)
         return df
 
+    def files_read(self, rows: DataFrame) -> list[tuple[int, str, str, str]]:
+        """Chunk, load, name and path of the files of this table that a DataFrame will read."""
+        below = re.compile(r"/chunk_id=(-?\d+)/load=([^/]+)/([^/]+)$")
+        found = [(path, below.search(path)) for path in rows.inputFiles()]
+        return [(int(m[1]), m[2], m[3], path) for path, m in found if m and self.folder.holds(path)]
+
     def loads_read(self, rows: DataFrame) -> dict[int, set[str]]:
         """The loads, by chunk, of this table that a DataFrame has listed and will read."""
         out: dict[int, set[str]] = {}
-        below = re.compile(r"/chunk_id=(-?\d+)/load=([^/]+)/[^/]+$")
-        for path in rows.inputFiles():
-            found = below.search(path)
-            if found and self.folder.holds(path):
-                out.setdefault(int(found[1]), set()).add(found[2])
+        for chunk, load, *_ in self.files_read(rows):
+            out.setdefault(chunk, set()).add(load)
         return out
 
     def scan(
@@ -484,24 +506,7 @@ class ChunkedTable:
         No data column is read: the row counts come from the Parquet footers and the
         sizes from the file listing.
         """
-        live = self.chunk_ids()
-        if ids is not None:
-            live = [i for i in live if i in set(ids)]
-        if live:
-            per_file = (
-                self.read_chunks(None if ids is None else live)
-                .groupBy(
-                    "chunk_id",
-                    "load",
-                    F.col("_metadata.file_path").alias("file_path"),
-                    F.col("_metadata.file_size").alias("file_size"),
-                )
-                .agg(F.count(F.lit(1)).alias("rows"))
-            )
-        else:
-            per_file = self.spark.createDataFrame(
-                [], "chunk_id long, load string, file_path string, file_size long, rows long"
-            )
+        per_file = self.files(ids)
         is_new = ~F.col("load").startswith(COMPACTED)
         per_chunk = per_file.groupBy("chunk_id").agg(
             F.sum("rows").alias("n_rows"),
@@ -522,6 +527,18 @@ class ChunkedTable:
             F.when(F.col("is_compressed"), F.col("_appended")).otherwise(0).alias("overflow_rows"),
         )
 
+    def files(self, ids: Sequence[int] | None = None) -> DataFrame:
+        """Chunk, load, path, size and rows of every file, from the listing and the footers."""
+        live = self.chunk_ids() if ids is None else self._live(set(ids))
+        if not live:
+            return self.spark.createDataFrame(
+                [], "chunk_id long, load string, file_path string, file_size long, rows long"
+            )
+        rows = self.read_chunks() if ids is None else self._read_live(live)
+        size = F.col("_metadata.file_size").alias("file_size")
+        path = F.col("_metadata.file_path").alias("file_path")
+        return rows.groupBy("chunk_id", "load", path, size).agg(F.count(F.lit(1)).alias("rows"))
+
     def older_than(self, cutoff: Instant) -> list[int]:
         """Chunks that end before the cut-off; one that ends just then stays."""
         us = to_micros(cutoff)
@@ -576,13 +593,21 @@ class ChunkedTable:
                 self.folder.delete(name)
 
     def swap_in(
-        self, staging: str, ids: Sequence[int], kind: str, seen: Mapping[int, set[str]] | None = None
+        self,
+        staging: str,
+        ids: Sequence[int],
+        kind: str,
+        seen: Mapping[int, set[str]] | None = None,
+        kept: Mapping[int, Sequence[str]] | None = None,
+        then: Mapping[str, str] | None = None,
     ) -> None:
         """Put staged chunks in place of the live ones; ids without staged rows vanish.
 
         A chunk changes hands by folder renames, after all its rows are written. With
-        ``seen`` (the loads that were read, per chunk), loads that arrived since stay. What
-        is to be done is written down first, so that ``recover`` can carry it on.
+        ``seen`` (the loads that were read, per chunk), loads that arrived since stay. Files
+        that are ``kept`` (``load=…/name``, per chunk) move on, as they are, beside the staged
+        ones. What is to be done is written down first, so that ``recover`` can carry it on;
+        the texts of the files in ``then`` are put in place with it.
         """
         staged = set(self.folder.chunk_ids(staging))
         plan = {
@@ -591,6 +616,8 @@ class ChunkedTable:
             "staged": sorted(staged),
             "ids": sorted(staged | (set(ids) & set(self.chunk_ids()))),
             "seen": None if seen is None else {str(c): sorted(s) for c, s in seen.items()},
+            "kept": {str(c): sorted(k) for c, k in (kept or {}).items()},
+            "then": dict(then or {}),
         }
         self.folder.write_text(f"{staging}/{_COMMIT}", json.dumps(plan))
         self._carry_out(staging)
@@ -618,6 +645,11 @@ class ChunkedTable:
                         self.folder.rename(part, f"{name}/load={label}")
                     elif not label.startswith(_OWN_LABELS):
                         taken.add(label)
+                for part in plan.get("kept", {}).get(str(chunk), ()):
+                    if self.folder.exists(f"{aside}/{name}/{part}"):
+                        self.folder.rename(
+                            f"{aside}/{name}/{part}", f"{staging}/{name}/{part.rsplit('/', 1)[1]}"
+                        )
             if chunk in plan["staged"]:
                 self.folder.mkdirs(name)
                 if taken and not self.folder.exists(f"{name}/{_ABSORBED}"):
@@ -625,6 +657,10 @@ class ChunkedTable:
                 self.folder.rename(f"{staging}/{name}", f"{name}/{new}")
 
         self.folder.each(change_hands, plan["ids"])
+        for path, text in plan.get("then", {}).items():
+            if not self.folder.exists(path):
+                self.folder.mkdirs(path.rsplit("/", 1)[0])
+                self.folder.write_text(path, text)
         self.folder.delete(aside)
         self.folder.delete(staging)
 

@@ -5,12 +5,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidevault.functions.times import Instant, Width, ago, now, to_micros
 from tidevault.operators.chunks import COMPACTED, ChunkedTable
+from tidevault.operators.synopsis import (
+    first_keys,
+    forget,
+    has_place_key,
+    keep,
+    key_order,
+    of_files,
+    place_key,
+    tidy,
+)
+from tidevault.session import micros_timestamps
 from tidevault.sources.folders import fresh
 
 TARGET_FILE_BYTES = 256 << 20
@@ -62,23 +73,55 @@ def _encodings(table: ChunkedTable) -> dict[str, str]:
     return options
 
 
+class _Staging:
+    """Rows on their way into a rewrite: counted and summed in the tasks that write them."""
+
+    def __init__(self, table: ChunkedTable, verify: str):
+        self.table, self.verify = table, verify
+        self.name = fresh("staging")
+        self.options = _encodings(table)
+        self.told: list[Observation] = []
+
+    def add(self, rows: DataFrame) -> None:
+        if self.verify == "hashes":
+            self.told.append(Observation())
+            rows = rows.observe(self.told[-1], F.count(F.lit(1)).alias("n"), _hash_sum(self.table).alias("h"))
+        self.table.stage(rows, self.name, "append", self.options)
+
+    def put_in_place(
+        self, before: dict[int, int], seen: dict[int, set[str]], kept: dict[int, list[str]] | None = None
+    ) -> None:
+        """Keep the synopses, compare rows per chunk and hash sums, and swap the chunks."""
+        table, token = self.table, self.name.removeprefix("_")
+        written = table.spark.read.schema(table.stored).option(
+            "basePath", f"{table.root}/{self.name}"
+        ).parquet(f"{table.folder.plain_root}/{self.name}")
+        # The synopses read every row that was written, so they carry the comparison too.
+        hashed = [_hash_sum(table).alias("_hash")] if self.verify == "hashes" else []
+        synopses = keep(table, written, token, hashed)
+        if self.verify != "off":
+            facts = [F.sum("n").alias("n"), *([F.sum("_hash").alias("h")] if hashed else [])]
+            after = synopses.groupBy("chunk_id").agg(*facts).collect()  # one row per chunk
+            same = {r["chunk_id"]: r["n"] for r in after} == before
+            if same and hashed:
+                same = sum(t.get.get("h") or 0 for t in self.told) == sum(r["h"] or 0 for r in after)
+            if not same:
+                forget(table, token)
+                table.folder.delete(self.name)
+                raise RuntimeError("rewritten chunks differ from the live ones; nothing was changed")
+        table.swap_in(self.name, list(before), COMPACTED, seen, kept)
+        tidy(table)
+
+
 def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: int) -> None:
-    staging = fresh("staging")
-    options = _encodings(table)
+    """Rewrite whole chunks."""
+    staging = _Staging(table, verify)
     small = [i for i, size in sizes.items() if size <= target]
     large = [i for i, size in sizes.items() if size > target]
     order = _order(table)
     # One listing serves all steps: loads that arrive from now on are left alone.
     live = table.read_chunks(list(sizes))
     seen = table.loads_read(live)
-    told: list[Observation] = []
-
-    def stage(rows: DataFrame) -> None:
-        if verify == "hashes":  # counted and summed in the tasks that write
-            told.append(Observation())
-            rows = rows.observe(told[-1], F.count(F.lit(1)).alias("n"), _hash_sum(table).alias("h"))
-        table.stage(rows, staging, "append", options)
-
     if small:
         # Each of these fits one task by its measured size: one file per chunk. The place in
         # the list of chunks gives each a task of its own, however they lie in time.
@@ -86,7 +129,7 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: in
         places = table.spark.createDataFrame(places, "chunk_id long, _place int")
         rows = live.join(F.broadcast(places), "chunk_id").drop("load")
         rows = rows.repartitionById(len(small), F.col("_place"))
-        stage(rows.sortWithinPartitions("chunk_id", *order).select(*table.schema.names, "chunk_id"))
+        staging.add(rows.sortWithinPartitions("chunk_id", *order).select(*table.schema.names, "chunk_id"))
     if large:
         # Ranges of (chunk, segment, order) cut a chunk into files of the target size
         # whatever its share of the data. The row's own position breaks ties, so
@@ -96,21 +139,90 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: in
             "*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tie")
         )
         rows = rows.drop("load").repartitionByRange(n, "chunk_id", *order, "_tie")
-        stage(rows.sortWithinPartitions("chunk_id", *order).drop("_tie"))
-    if verify != "off":
-        written = table.spark.read.schema(table.stored).option(
-            "basePath", f"{table.root}/{staging}"
-        ).parquet(f"{table.folder.plain_root}/{staging}")
-        # One row per chunk comes to the driver; the counts are in the files' footers.
-        before = fingerprint(table, live, False).collect()
-        same = sorted(before) == sorted(fingerprint(table, written, False).collect())
-        if same and verify == "hashes":
-            summed = sum(t.get.get("h") or 0 for t in told)
-            same = summed == (written.agg(_hash_sum(table)).first()[0] or 0)
-        if not same:
-            table.folder.delete(staging)
-            raise RuntimeError("rewritten chunks differ from the live ones; nothing was changed")
-    table.swap_in(staging, list(sizes), COMPACTED, seen)
+        staging.add(rows.sortWithinPartitions("chunk_id", *order).drop("_tie"))
+    # One row per chunk comes to the driver; the counts are in the files' footers.
+    counts = fingerprint(table, live, False).collect() if verify != "off" else []
+    before = {r["chunk_id"]: r["n_rows"] for r in counts} or dict.fromkeys(sizes, 0)
+    staging.put_in_place(before, seen)
+
+
+def _merge_overflow(table: ChunkedTable, ids: Sequence[int], verify: str, target: int) -> list[int]:
+    """Take overflow into the files whose key ranges it meets; the other files stay.
+
+    Only chunks of several compacted files that all have synopses, none of them far above the
+    target, and with overflow of one task's size are done so; their numbers are returned.
+    """
+    files = [r.asDict() for r in table.files(ids).collect()] if has_place_key(table) else []  # a listing
+    for f in files:
+        f["file"] = f["file_path"].rsplit("/", 1)[1]
+        f["old"] = f["load"].startswith(COMPACTED)
+    _, have = of_files(table, [(f["chunk_id"], f["file"]) for f in files if f["old"]])
+    done: list[int] = []
+    for chunk in ids:
+        own = [f for f in files if f["chunk_id"] == chunk]
+        old, new = [f for f in own if f["old"]], [f for f in own if not f["old"]]
+        if (
+            len(old) > 1
+            and new
+            and sum(f["file_size"] for f in new) <= target
+            and all((chunk, f["file"]) in have and f["file_size"] <= 2 * target for f in old)
+        ):
+            done.append(chunk)
+    if not done:
+        return []
+    files = [f for f in files if f["chunk_id"] in done]
+    batch = fresh("batch")
+    try:
+        synopses, _ = of_files(table, [(f["chunk_id"], f["file"]) for f in files if f["old"]])
+        starts = first_keys(table, synopses).withColumn("_row", F.lit(None).cast(_row_type(table)))
+        arrived = table.read_paths([f["file_path"] for f in files if not f["old"]])
+        arrived = arrived.select(
+            "chunk_id",
+            F.lit(None).cast("string").alias("file"),
+            place_key(table).alias("at"),
+            F.struct(*table.schema.names).alias("_row"),
+        )
+        # A row belongs to the last file that begins at or before its key, or to the first file.
+        # Overflow of one task's size and one row per file make the window of a chunk.
+        order = Window.partitionBy("chunk_id").orderBy(*key_order(table, "at"), F.col("_row").isNotNull())
+        back = order.rowsBetween(Window.unboundedPreceding, 0)
+        ahead = order.rowsBetween(0, Window.unboundedFollowing)
+        meets = F.coalesce(F.last("file", True).over(back), F.first("file", True).over(ahead))
+        placed = starts.unionByName(arrived).withColumn("_file", meets).where("_row IS NOT NULL")
+        placed = placed.select("chunk_id", "_file", "_row.*")
+        with micros_timestamps(placed):
+            placed.write.parquet(f"{table.root}/{batch}")
+        placed = table.spark.read.parquet(f"{table.folder.plain_root}/{batch}")
+        met = {(r[0], r[1]) for r in placed.select("chunk_id", "_file").distinct().collect()}  # files
+        places = [(*m, i) for i, m in enumerate(sorted(met))]
+        places = table.spark.createDataFrame(places, "chunk_id long, _file string, _place int")
+        rewritten = [f for f in files if f["old"] and (f["chunk_id"], f["file"]) in met]
+        old = table.read_paths([f["file_path"] for f in rewritten])
+        old = old.withColumn("_file", F.col("_metadata.file_name")).drop("load")
+        rows = old.unionByName(placed).join(F.broadcast(places), ["chunk_id", "_file"])
+        rows = rows.repartitionById(len(met), F.col("_place"))
+        staging = _Staging(table, verify)
+        staging.add(
+            rows.sortWithinPartitions("chunk_id", *_order(table)).select(*table.schema.names, "chunk_id")
+        )
+        before: dict[int, int] = dict.fromkeys(done, 0)
+        kept: dict[int, list[str]] = {i: [] for i in done}
+        seen: dict[int, set[str]] = {i: set() for i in done}
+        for f in files:
+            chunk = f["chunk_id"]
+            seen[chunk].add(f["load"])
+            if f["old"] and (chunk, f["file"]) not in met:
+                kept[chunk].append(f"load={f['load']}/{f['file']}")
+            else:
+                before[chunk] += f["rows"]
+        staging.put_in_place(before, seen, kept)
+    finally:
+        table.folder.delete(batch)
+    return done
+
+
+def _row_type(table: ChunkedTable) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in table.schema])
 
 
 def compress_chunks(
@@ -121,7 +233,8 @@ def compress_chunks(
 ) -> DataFrame:
     """Rewrite the given chunks, and report their size and files before and after.
 
-    Chunks already compacted and without overflow are left as they are. Before anything
+    Chunks already compacted and without overflow are left as they are. In a chunk of several
+    files, overflow rewrites those files alone whose key ranges it meets. Before anything
     live is moved, ``verify`` compares the ``hashes`` and counts of every chunk, or the
     ``counts`` alone (from file footers), or is ``off``.
     """
@@ -131,7 +244,9 @@ def compress_chunks(
     state = table.chunks(ids).where("NOT is_compressed OR overflow_rows > 0")
     state = [r.asDict() for r in state.collect()]  # one row per chunk
     sizes = {r["chunk_id"]: r["bytes"] for r in state}
-    for group in _passes(sizes):
+    overflowing = [r["chunk_id"] for r in state if r["overflow_rows"]]
+    merged = set(_merge_overflow(table, overflowing, verify, target_file_bytes) if overflowing else [])
+    for group in _passes({i: size for i, size in sizes.items() if i not in merged}):
         _rewrite(table, {i: sizes[i] for i in group}, verify, target_file_bytes)
     before = table.spark.createDataFrame(
         [(r["chunk_id"], r["n_rows"], r["n_files"], r["bytes"]) for r in state],
