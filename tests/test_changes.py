@@ -59,9 +59,9 @@ def test_appends_during_a_refresh_and_a_replacement_stay(spark, root, monkeypatc
     extra = spark.createDataFrame(extra.collect(), extra.schema)
     swap = ChunkedTable.swap_in
 
-    def late(self, *args):
+    def late(self, *args, **more):
         self.append(extra, "late")
-        swap(self, *args)
+        swap(self, *args, **more)
 
     monkeypatch.setattr(ChunkedTable, "swap_in", late)
     rollup.refresh("2026-05-01", "2026-05-03")
@@ -88,7 +88,12 @@ def test_the_policy_follows_changes(spark, root, monkeypatch):
     rollup = hourly(table, f"{root}/r").build()
     spans = []
     refresh = Rollup._refresh
-    monkeypatch.setattr(Rollup, "_refresh", lambda self, s: (spans.append(list(s)), refresh(self, s)))
+
+    def told(self, again, rows=None, added=(), *more):
+        spans.append([*again, *added])
+        refresh(self, again, rows, added, *more)
+
+    monkeypatch.setattr(Rollup, "_refresh", told)
     files = set(rollup.table.read_chunks().inputFiles())
     rollup.refresh_due("2026-05-10")
     assert not spans and set(rollup.table.read_chunks().inputFiles()) == files

@@ -15,6 +15,7 @@ before it shows, so that rollups can follow whatever becomes of the files.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import re
 import time
@@ -45,6 +46,7 @@ _ABSORBED = "_absorbed"
 _DEFINITION = "_table.json"
 _DROPPED = "_dropped"
 _CHANGES = "_changes"
+_FOLLOWERS = "_followers"
 _COMMIT = "_commit"
 # Chunks that one path pattern names; a scan of more chunks has more patterns.
 _NAMED_CHUNKS = 400
@@ -185,9 +187,8 @@ class ChunkedTable:
                 for chunk in self.folder.chunk_ids(pattern=f"{where}/{_ABSORBED}"):
                     if label in self.absorbed(f"chunk_id={chunk}"):
                         absorbed.add(chunk)
-            told = [self._change(n) for n in self.changes(label)]
-            known = [(c["rows"], c["hash"]) for c in told]
-            if absorbed and known and (facts["rows"], facts["hash"]) != known[-1]:
+            known = [self._facts_of(label, chunk) for chunk in sorted(absorbed)[:1]]
+            if known and known[0] != (facts["rows"], facts["hash"]):
                 self.folder.delete(staging)
                 raise ValueError(
                     f"load {label!r} brings other rows than before, and a rewrite has taken those in"
@@ -230,10 +231,26 @@ class ChunkedTable:
 
     # -- what has changed -----------------------------------------------------
 
-    def _note(self, label: str, chunks: Sequence[int], facts: Mapping) -> str:
+    def _facts_of(self, label: str, chunk: int) -> tuple[int, str | None] | None:
+        """Number and hash sum of the rows a load brought that a rewrite has taken in."""
+        noted = self.changes(label)
+        if noted:
+            change = self._change(noted[-1])
+            return change["rows"], change["hash"]
+        return self._absorbed_facts(f"chunk_id={chunk}").get(label)
+
+    def _note(
+        self,
+        label: str,
+        chunks: Sequence[int],
+        facts: Mapping,
+        spans: Sequence[tuple[int, int]] | None = None,
+    ) -> str:
         """Note a change that is about to show; ``_shown`` says that it did."""
         name = f"{_CHANGES}/{label}@{time.time_ns()}-{uuid.uuid4().hex[:6]}"
         about = {k: facts.get(k) for k in ("rows", "hash", "lo", "hi")}
+        if spans is not None:
+            about["spans"] = [list(s) for s in spans]
         self.folder.mkdirs(_CHANGES)
         self.folder.write_text(name, json.dumps({"chunks": list(chunks), **about}))
         return name
@@ -260,6 +277,8 @@ class ChunkedTable:
     def change_spans(self, name: str) -> list[tuple[int, int]]:
         """First and last microsecond that a change may have touched, chunk by chunk."""
         change = self._change(name)
+        if change.get("spans") is not None:
+            return [(lo, hi) for lo, hi in change["spans"]]
         out = []
         for chunk in change["chunks"]:
             lo, hi = chunk * self.interval_us, (chunk + 1) * self.interval_us - 1
@@ -269,10 +288,72 @@ class ChunkedTable:
                 out.append((lo, hi))
         return out
 
+    def added_rows(self, name: str) -> list[str] | None:
+        """Folders of exactly the rows that a change has added; None if they cannot be told.
+
+        A load that was repeated, replaced or taken in by a rewrite cannot be.
+        """
+        label = name.split("@")[0]
+        change = self._change(name)
+        if label.startswith((f"{COMPACTED}-", f"{REPLACED}-")) or len(self.changes(label)) > 1:
+            return None
+        if change["lo"] is None and change["rows"]:
+            return None
+        folders = [f"chunk_id={chunk}/load={label}" for chunk in change["chunks"]]
+        return folders if all(map(self.folder.exists, folders)) else None
+
+    # -- notes that nobody needs any more ------------------------------------------
+
+    def followed_by(self, root: str) -> None:
+        """Remember a rollup that follows the notes of changes."""
+        name = f"{_FOLLOWERS}/{hashlib.sha256(root.encode()).hexdigest()[:16]}"
+        if not self.folder.exists(name):
+            self.folder.mkdirs(_FOLLOWERS)
+            self.folder.write_text(name, root)
+
+    def followers(self) -> list[str]:
+        """Roots of the rollups that follow the notes."""
+        names = [n for n in self.folder.names(f"{_FOLLOWERS}/*") if "." not in n.rsplit("/", 1)[1]]
+        return [self.folder.read_text(n) for n in names]
+
+    def prune_changes(self, applied: Callable[[str], set[str] | None]) -> int:
+        """Remove the notes that no rollup needs: those all followers have taken in, and those
+        whose chunks are gone. ``applied`` tells what the rollup of a root has, None if the
+        rollup is gone. Returns how many were removed.
+        """
+        shown = self.changes_shown()
+        names = [n for n in self.changes() if n in shown]
+        if not names:
+            return 0
+        have = [a for a in map(applied, self.followers()) if a is not None]
+        live = set(self.chunk_ids())
+
+        def needless(name: str) -> bool:
+            if all(name in a for a in have):
+                return True
+            return not live.intersection(self._change(name)["chunks"])
+
+        gone = [n for n in names if needless(n)]
+
+        def remove(name: str) -> None:
+            self.folder.delete(f"{_CHANGES}/{name}")
+            self.folder.delete(f"{_CHANGES}/{name}.done")
+
+        self.folder.each(remove, gone)
+        return len(gone)
+
     def absorbed(self, name: str) -> set[str]:
         """Labels whose rows a rewrite of the chunk folder has taken in."""
+        return set(self._absorbed_facts(name))
+
+    def _absorbed_facts(self, name: str) -> dict[str, tuple[int, str | None] | None]:
         path = f"{name}/{_ABSORBED}"
-        return set(self.folder.read_text(path).split()) if self.folder.exists(path) else set()
+        lines = self.folder.read_text(path).splitlines() if self.folder.exists(path) else []
+        out: dict[str, tuple[int, str | None] | None] = {}
+        for line in lines:
+            label, *facts = line.split()
+            out[label] = (int(facts[0]), facts[1] if facts[1] != "-" else None) if facts else None
+        return out
 
     def append_rows(self, rows: Iterable[tuple], columns: Sequence[str] | None = None) -> str:
         """Insert literal rows; columns that are not named become NULL."""
@@ -400,13 +481,12 @@ class ChunkedTable:
         micro-batch is found by its stream's name and its number.
         """
         own = (F.col("load") == load) | F.col("load").startswith(f"{load}.")
-        names = [n for n in self.changes() if n.split("@")[0] == load or n.startswith(f"{load}.")]
-        for label in {n.split("@")[0] for n in names}:
-            last = self._change([n for n in names if n.split("@")[0] == label][-1])
-            for chunk in last["chunks"]:
-                if label in self.absorbed(f"chunk_id={chunk}"):
+        rows = self.read_chunks().where(own)
+        for chunk in self.folder.chunk_ids(pattern=f"chunk_id=*/{_ABSORBED}"):
+            for label in self.absorbed(f"chunk_id={chunk}"):
+                if label == load or label.startswith(f"{load}."):
                     raise ValueError(f"load {label!r} has been taken in by a rewrite of chunk {chunk}")
-        return self.read_chunks().where(own).select(*self.schema.names)
+        return rows.select(*self.schema.names)
 
     def create_view(self, name: str, with_chunk_id: bool = False) -> None:
         """A temporary view for ``spark.sql``; filters on its ``chunk_id`` prune folders.
@@ -610,8 +690,12 @@ class ChunkedTable:
         the texts of the files in ``then`` are put in place with it.
         """
         staged = set(self.folder.chunk_ids(staging))
+        taking = {x for loads in (seen or self.folder.loads()).values() for x in loads}
+        noted = {n.split("@")[0]: n for n in self.changes()}
+        noted = {x: self._change(n) for x, n in noted.items() if x in taking and not x.startswith(_OWN_LABELS)}
         plan = {
             "kind": kind,
+            "facts": {x: [c["rows"], c["hash"]] for x, c in noted.items()},
             "token": uuid.uuid4().hex[:12],
             "staged": sorted(staged),
             "ids": sorted(staged | (set(ids) & set(self.chunk_ids()))),
@@ -635,16 +719,16 @@ class ChunkedTable:
                 return
             if self.folder.exists(name) and not self.folder.exists(f"{aside}/{name}"):
                 self.folder.rename(name, f"{aside}/{name}")
-            taken: set[str] = set()
+            taken: dict[str, tuple[int, str | None] | None] = {}
             if self.folder.exists(f"{aside}/{name}"):
-                taken = self.absorbed(f"{aside}/{name}")
+                taken = self._absorbed_facts(f"{aside}/{name}")
                 for part in self.folder.names(f"{aside}/{name}/load=*"):
                     label = part.rsplit("load=", 1)[1]
                     if seen is not None and label not in seen.get(str(chunk), ()):
                         self.folder.mkdirs(name)
                         self.folder.rename(part, f"{name}/load={label}")
                     elif not label.startswith(_OWN_LABELS):
-                        taken.add(label)
+                        taken[label] = plan.get("facts", {}).get(label)
                 for part in plan.get("kept", {}).get(str(chunk), ()):
                     if self.folder.exists(f"{aside}/{name}/{part}"):
                         self.folder.rename(
@@ -653,7 +737,8 @@ class ChunkedTable:
             if chunk in plan["staged"]:
                 self.folder.mkdirs(name)
                 if taken and not self.folder.exists(f"{name}/{_ABSORBED}"):
-                    self.folder.write_text(f"{name}/{_ABSORBED}", "\n".join(sorted(taken)))
+                    lines = [f"{x} {f[0]} {f[1] or '-'}" if f else x for x, f in sorted(taken.items())]
+                    self.folder.write_text(f"{name}/{_ABSORBED}", "\n".join(lines))
                 self.folder.rename(f"{staging}/{name}", f"{name}/{new}")
 
         self.folder.each(change_hands, plan["ids"])
@@ -665,13 +750,20 @@ class ChunkedTable:
         self.folder.delete(staging)
 
     def replace_chunks(
-        self, df: DataFrame, ids: Sequence[int], seen: Mapping[int, set[str]] | None = None
+        self,
+        df: DataFrame,
+        ids: Sequence[int],
+        seen: Mapping[int, set[str]] | None = None,
+        spans: Sequence[tuple[int, int]] | None = None,
+        then: Mapping[str, str] | None = None,
     ) -> None:
         """Make ``df`` the whole content of the chunks ``ids`` (and of any other it touches).
 
         ``df`` may read those very chunks: nothing live is moved before it is written. Rows
         appended meanwhile stay: only loads that ``df`` has read, or that were there when the
-        call began, are replaced, or those in ``seen``.
+        call began, are replaced, or those in ``seen``. ``spans`` (first and last
+        microsecond) tell those who follow the table where rows can differ; without them it is
+        anywhere in the chunks. Texts in ``then`` are put in place together with the chunks.
         """
         if seen is None:
             seen = {**self.folder.loads(), **self.loads_read(df)}
@@ -679,8 +771,8 @@ class ChunkedTable:
         staging = fresh("staging")
         facts = self._staged(self.routed(df).hint("rebalance", F.col("chunk_id")), staging)
         touched = sorted({*ids, *self.folder.chunk_ids(staging)})
-        note = self._note(f"{REPLACED}-{staging[-12:]}", touched, {**facts, "lo": None, "hi": None})
-        self.swap_in(staging, ids, REPLACED, seen)
+        note = self._note(f"{REPLACED}-{staging[-12:]}", touched, {**facts, "lo": None, "hi": None}, spans)
+        self.swap_in(staging, ids, REPLACED, seen, then=then)
         self._shown(note)
 
     def stage(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidevault.functions.times import Instant, Width, ago, now
 from tidevault.operators.chunks import ChunkedTable
+from tidevault.operators.rollup import applied_of
 
 
 def preview(table: ChunkedTable, older_than: Instant) -> DataFrame:
@@ -16,10 +17,14 @@ def preview(table: ChunkedTable, older_than: Instant) -> DataFrame:
 
 
 def drop_chunks(table: ChunkedTable, older_than: Instant) -> list[int]:
-    """Drop the chunks that end before the cut-off, whole, without reading a row."""
+    """Drop the chunks that end before the cut-off, whole, without reading a row.
+
+    Notes of changes that no rollup needs any more go with them.
+    """
     table.recover()
     ids = table.older_than(older_than)
     table.drop(ids)
+    table.prune_changes(lambda root: applied_of(table.spark, root))
     return ids
 
 

@@ -84,7 +84,7 @@ def upsert(
             old = existing.join(hits, ["chunk_id", "load"], "left_semi").alias("a")
             old = old.join(keys, on, "left_anti").select(*[f"a.{c}" for c in table.schema.names])
             rows = old.unionByName(rows)
-        table.replace_chunks(rows, ids, seen)
+        table.replace_chunks(rows, ids, seen, [(lo, hi)])
         return sum(rows for _, rows, *_ in touched)
     finally:
         table.folder.delete(kept)
