@@ -32,6 +32,14 @@ def files_read(df: DataFrame) -> int:
     return total
 
 
+def rows_scanned(df: DataFrame) -> int:
+    """Run ``df`` and count the rows that its scans gave out, before any filter."""
+    df.collect()
+    leaves = _leaves(df._jdf.queryExecution().executedPlan())
+    found = [leaf.metrics().apply("numOutputRows").value() for leaf in leaves if leaf.metrics().contains("numFiles")]
+    return sum(found)
+
+
 def explained(df: DataFrame) -> str:
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")

@@ -5,7 +5,12 @@ from pyspark.sql import functions as F
 
 from tidevault import TELEMETRY, ChunkedTable, KpiSpec, Rollup
 from tidevault.sources.generate import telemetry
-from tidevault.streaming.ingest import stream_into, stream_rollup, stream_upsert
+from tidevault.streaming.ingest import (
+    stream_into,
+    stream_rollup,
+    stream_upsert,
+    stream_with_late,
+)
 
 
 def tables(spark, root):
@@ -45,6 +50,49 @@ def test_late_rows_reach_the_rollup_by_refresh(spark, root):
     assert rollup.view().exceptAll(rebuilt.view()).isEmpty()
 
 
+def _closed(table, root, end, name):
+    fresh = Rollup(table, f"{root}/{name}", "1 hour", ["auto_id"], {"velocidad": "vel"}).build()
+    return sorted(map(tuple, fresh.view(end=end).collect()))
+
+
+def test_late_rows_are_kept_apart_and_count_once(spark, root):
+    import glob
+    import os
+
+    table, rollup = tables(spark, root)
+    late = ChunkedTable(spark, f"{root}/late", TELEMETRY, "ts", "1 day", ["auto_id"]).create()
+
+    def step(rows=None):
+        source = arrive(spark, root, rows) if rows is not None else spark.readStream.schema(TELEMETRY).parquet(f"{root}/in")
+        stream_with_late(source, rollup, late, "in", f"{root}/ck").awaitTermination()
+
+    def again():
+        """The sink wrote, the commit was lost."""
+        last = max(int(os.path.basename(n)) for n in glob.glob(f"{folder}/commits/[0-9]*") if n[-1].isdigit())
+        for n in [*glob.glob(f"{folder}/commits/{last}"), *glob.glob(f"{folder}/commits/.{last}.crc")]:
+            os.rename(n, f"{n}.lost")
+        step()
+
+    folder = f"{root.removeprefix('file:')}/ck"
+    step(telemetry(spark, "2026-05-01", 24))
+    # The latest reading is of 23:00, the watermark 22:00: buckets from 22:00 on are withheld.
+    assert sorted(map(tuple, rollup.view().collect())) == _closed(table, root, "2026-05-01 22:00", "a")
+    assert late.scan().count() == 0
+    again()
+    extra = telemetry(spark, "2026-05-01 03:30", 1).withColumn("auto_id", F.col("auto_id") + 100)
+    step(extra.unionByName(telemetry(spark, "2026-05-01 22:15", 1)))  # the first is late, the second is not
+    assert late.scan().count() == 10 and table.scan().count() == 260
+    assert sorted(map(tuple, rollup.view().collect())) == _closed(table, root, "2026-05-01 22:00", "b")
+    again()
+    assert late.scan().count() == 10 and table.scan().count() == 260
+    assert sorted(map(tuple, rollup.view().collect())) == _closed(table, root, "2026-05-01 22:00", "c")
+    step(telemetry(spark, "2026-05-02", 24).limit(0))  # an empty file moves no mark
+    step(telemetry(spark, "2026-05-02", 24))
+    again()
+    assert late.scan().count() == 10
+    assert sorted(map(tuple, rollup.view().collect())) == _closed(table, root, "2026-05-02 22:00", "d")
+
+
 def test_a_running_stream_takes_up_new_files(spark, root):
     table, _ = tables(spark, root)
     source = arrive(spark, root, telemetry(spark, "2026-05-01", 24))

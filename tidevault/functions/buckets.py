@@ -93,8 +93,8 @@ def gapfill(
     agg: DataFrame,
     bucket: str,
     width: WidthLike,
-    start: Instant,
-    end: Instant,
+    start: Instant | None = None,
+    end: Instant | None = None,
     keys: Sequence[str] = (),
     fill: Mapping[str, object] | None = None,
     origin: Instant | None = None,
@@ -103,6 +103,7 @@ def gapfill(
 ) -> DataFrame:
     """Every bucket of ``[start, end)`` for every key of ``agg``; absent ones are null or ``fill``.
 
+    An end that is not given is that of the data: its first bucket, or the end of its last.
     Rows of ``agg`` outside the range are left out, or with ``outside="keep"`` stay as they
     are, so that nothing is lost to a range that is too short. Keys come from ``agg`` (which is then computed for them as well) or, if given,
     from ``key_rows``, a table of the known keys.
@@ -115,6 +116,13 @@ def gapfill(
     if outside not in ("drop", "keep"):
         raise ValueError(f"outside is drop or keep, not {outside!r}")
     width = Width.parse(width)
+    if start is None or end is None:
+        us = F.unix_micros(F.col(bucket).cast("timestamp"))
+        least, most = agg.agg(F.min(us), F.max(us)).first()
+        if least is None:
+            return agg
+        start = from_micros(least) if start is None else start
+        end = from_micros(width.add(most, 1)) if end is None else end
     lo, hi = width.floor(to_micros(start), origin), to_micros(end)
     if width.months:
         first, last = from_micros(lo), from_micros(max(hi - 1, lo))

@@ -34,6 +34,8 @@ from tidevault.functions.times import (
     to_micros,
     ts_lit,
 )
+from tidevault.operators.keys import admit, bloom_options
+from tidevault.operators.keys import rejects as rejects_of
 from tidevault.schemas import conform, enforce_not_null
 from tidevault.session import micros_timestamps, require_utc
 from tidevault.sources.folders import Folder, fresh
@@ -70,6 +72,7 @@ class ChunkedTable:
         interval: str | dt.timedelta | Width = "1 day",
         segment_by: Sequence[str] = (),
         order_by: Sequence[tuple[str, str]] | None = None,
+        key: Sequence[str] = (),
     ):
         require_utc(spark)
         self.spark = spark
@@ -81,6 +84,9 @@ class ChunkedTable:
         self.interval_us = fixed_micros(interval)
         self.segment_by = tuple(segment_by)
         self.order_by = tuple(order_by) if order_by is not None else ((ts, "desc"),)
+        self.key = tuple(key)
+        if self.key and ts not in self.key:
+            raise ValueError(f"the key has to hold {ts!r}, which decides the chunk")
         self.stored = T.StructType(
             [
                 *schema.fields,
@@ -98,12 +104,13 @@ class ChunkedTable:
             "interval_us": self.interval_us,
             "segment_by": list(self.segment_by),
             "order_by": [list(o) for o in self.order_by],
+            "key": list(self.key),
         }
 
     def create(self) -> ChunkedTable:
         """Create the table unless it exists; the definition is kept beside the data.
 
-        A table that exists has to have the same columns, ``ts`` and interval: under others
+        A table that exists has to have the same columns, ``ts``, interval and key: under others
         its rows would not be found. Its stored clustering and comments hold.
         """
         if not self.folder.exists(_DEFINITION):
@@ -116,9 +123,9 @@ class ChunkedTable:
             return [(f.name, f.dataType, f.nullable) for f in schema]
 
         mine, theirs = (
-            (columns(t.schema), t.ts, t.interval_us) for t in (self, kept)
+            (columns(t.schema), t.ts, t.interval_us, t.key) for t in (self, kept)
         )
-        for name, own, stored in zip(("columns", "ts", "interval"), mine, theirs, strict=True):
+        for name, own, stored in zip(("columns", "ts", "interval", "key"), mine, theirs, strict=True):
             if own != stored:
                 raise ValueError(f"{self.root} exists with other {name}: {stored}, not {own}")
         return kept
@@ -135,6 +142,7 @@ class ChunkedTable:
             dt.timedelta(microseconds=about["interval_us"]),
             about["segment_by"],
             [tuple(o) for o in about["order_by"]],
+            about.get("key", ()),
         )
 
     # -- routing and writing ------------------------------------------------
@@ -171,13 +179,22 @@ class ChunkedTable:
         that each task already holds few chunks (files in time order), skip this shuffle.
         Where a repeat always brings the ``same_rows``, as a micro-batch does, only the
         chunks of those rows are looked at for an earlier attempt.
+
+        In a table with a ``key``, rows whose key is stored already, or repeated among them, go
+        to the ``rejects`` instead. Two appends of one key at the same time are not told apart.
         """
         if load is not None and (load.startswith(_OWN_LABELS) or not re.fullmatch(r"[\w.-]+", load)):
             raise ValueError(f"not a label for a load: {load!r}")
         label = load or f"append-{uuid.uuid4().hex[:12]}"
         staging = fresh("append")
-        rows = self.routed(df)
-        facts = self._staged(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
+        rows, batch = self.routed(df), None
+        if self.key:
+            rows, batch = admit(self, rows, label)
+        try:
+            facts = self._staged(rows if arranged else rows.hint("rebalance", F.col("chunk_id")), staging)
+        finally:
+            if batch:
+                self.folder.delete(batch)
         staged = set(self.folder.chunk_ids(staging))
         earlier: set[int] = set()
         absorbed: set[int] = set()
@@ -355,6 +372,10 @@ class ChunkedTable:
             out[label] = (int(facts[0]), facts[1] if facts[1] != "-" else None) if facts else None
         return out
 
+    def rejects(self, load: str | None = None) -> DataFrame:
+        """Rows that appends, or that of a load, left out for the key's sake, with the reason."""
+        return rejects_of(self, load)
+
     def append_rows(self, rows: Iterable[tuple], columns: Sequence[str] | None = None) -> str:
         """Insert literal rows; columns that are not named become NULL."""
         names = list(columns or self.schema.names)
@@ -782,7 +803,8 @@ class ChunkedTable:
         mode: str = "errorifexists",
         options: Mapping[str, str] | None = None,
     ) -> None:
-        writer = routed.write.mode(mode).options(**(options or {}))
+        options = {**bloom_options(self.key, self.ts), **(options or {})}
+        writer = routed.write.mode(mode).options(**options)
         with micros_timestamps(routed):
             writer.partitionBy("chunk_id").parquet(f"{self.root}/{staging}")
 

@@ -25,7 +25,7 @@ from tidevault.plans.registry import (
     shared_table,
     table,
 )
-from tidevault.sources.generate import SENSOR_NUMBER, SENSORS, telemetry_for, time_series
+from tidevault.sources.generate import time_series
 
 
 
@@ -157,17 +157,15 @@ def hourly_by_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM tele GROUP BY 1, 2),
         grid AS (
           SELECT h.hora, k.auto_id
-          FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-                  TIMESTAMP '2024-01-30 23:00:00', INTERVAL '1 hour')) AS hora) h,
+          FROM (SELECT unnest(generate_series((SELECT min(hora) FROM agg),
+                  (SELECT max(hora) FROM agg), INTERVAL '1 hour')) AS hora) h,
                (SELECT DISTINCT auto_id FROM agg) k)
         SELECT g.hora, g.auto_id, coalesce(a.lecturas, 0) AS lecturas, a.vel_media
         FROM grid g LEFT JOIN agg a ON a.hora = g.hora AND a.auto_id = g.auto_id"""
 )
 def gapfill_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = hourly_by_vehicle(spark, sf_dir)
-    return gapfill(
-        agg, "hora", "1 hour", "2024-01-01", "2024-01-31", ["auto_id"], {"lecturas": 0}, outside="keep"
-    )
+    return gapfill(agg, "hora", "1 hour", keys=["auto_id"], fill={"lecturas": 0})
 
 
 @query(
@@ -175,17 +173,15 @@ def gapfill_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
           SELECT time_bucket(INTERVAL '5 minutes', ts) AS franja, count(*) AS lecturas
           FROM tele GROUP BY 1)
         SELECT g.franja, coalesce(a.lecturas, 0) AS lecturas
-        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-                TIMESTAMP '2024-01-30 23:55:00', INTERVAL '5 minutes')) AS franja) g
+        FROM (SELECT unnest(generate_series((SELECT min(franja) FROM agg),
+                (SELECT max(franja) FROM agg), INTERVAL '5 minutes')) AS franja) g
         LEFT JOIN agg a ON a.franja = g.franja"""
 )
 def gapfill_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = downsample(
         readings(spark, sf_dir), "5 minutes", {"lecturas": _lecturas()}, "franja"
     )
-    return gapfill(
-        agg, "franja", "5 minutes", "2024-01-01", "2024-01-31", fill={"lecturas": 0}, outside="keep"
-    )
+    return gapfill(agg, "franja", "5 minutes", fill={"lecturas": 0})
 
 
 @query(
@@ -329,50 +325,35 @@ def readable_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pretty_bytes(size).alias("size"))
 
 
-# -- generated telemetry: one vehicle per customer ----------------------------------
-
-
-def _sensor_sql(name: str, car: str, step: str) -> str:
-    lo, n, _ = SENSORS[name]
-    k = SENSOR_NUMBER[name]
-    h = f"((({car}) * 73856093 + ({step}) * 19349663 + {k * 83492791}) % 1000003)"
-    return f"({lo} + ((({h} * {h} + {k}) % 1000003) * {n}) // 1000003)"
-
-
-def _fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("auto_id"))
-
-
-def _totals() -> list:
-    return [
-        F.sum((F.col(name) * F.lit(scale)).cast("long")).alias(name)
-        for name, (_, _, scale) in SENSORS.items()
-    ]
+# -- telemetry in the lab's two grains: hourly, and 5-second steps in small chunks ---------------
 
 
 @query(
-    "SELECT TIMESTAMP '2026-01-01 00:00:00' + s * INTERVAL '1 hour' AS ts, count(*) AS lecturas, "
-    + ", ".join(
-        f"CAST(sum({_sensor_sql(n, 'c_custkey', 's')}) AS BIGINT) AS {n}" for n in SENSORS
-    )
-    + " FROM customer, (SELECT unnest(generate_series(0, 47)) AS s) GROUP BY 1"
+    f"""WITH {TELE} SELECT time_bucket(INTERVAL '1 hour', ts) AS ts, count(*) AS lecturas,
+          CAST(sum(CAST(velocidad * 100 AS BIGINT)) AS BIGINT) AS velocidad,
+          CAST(sum(revoluciones) AS BIGINT) AS revoluciones
+        FROM tele GROUP BY 1"""
 )
 def telemetry_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = telemetry_for(_fleet(spark, sf_dir), "2026-01-01", 48, "1 hour")
-    out = rows.groupBy(F.col("ts").cast("timestamp_ntz").alias("ts"))
-    return out.agg(_lecturas().alias("lecturas"), *_totals())
+    totals = {
+        "lecturas": _lecturas(),
+        "velocidad": F.sum((F.col("velocidad") * 100).cast("long")),
+        "revoluciones": F.sum("revoluciones"),
+    }
+    rows = readings(spark, sf_dir).withColumnRenamed("ts", "at")
+    return downsample(rows, "1 hour", totals, "ts", ts="at")
 
 
 @query(
-    f"""SELECT (epoch_us(TIMESTAMP '2026-09-13 00:00:00') + s * 5000000) // 900000000 AS chunk_id,
-          count(*) AS lecturas,
-          CAST(sum({_sensor_sql('velocidad', 'c_custkey', 's')}) AS BIGINT) AS velocidad
-        FROM customer, (SELECT unnest(generate_series(0, 719)) AS s) GROUP BY 1"""
+    f"""WITH {TELE} SELECT epoch_us(ts) // 900000000 AS chunk_id, count(*) AS lecturas,
+          count(DISTINCT epoch_us(ts) // 5000000) AS pasos,
+          CAST(sum(CAST(velocidad * 100 AS BIGINT)) AS BIGINT) AS velocidad
+        FROM tele GROUP BY 1"""
 )
 def telemetry_5s_by_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = telemetry_for(_fleet(spark, sf_dir), "2026-09-13", 720, "5 seconds")
-    chunk = F.call_function("div", F.unix_micros("ts"), F.lit(900_000_000))
-    return rows.groupBy(chunk.alias("chunk_id")).agg(
-        _lecturas().alias("lecturas"),
-        F.sum((F.col("velocidad") * 10).cast("long")).alias("velocidad"),
+    each = {"n": _lecturas(), "v": F.sum((F.col("velocidad") * 100).cast("long"))}
+    steps = downsample(readings(spark, sf_dir), "5 seconds", each, "paso")
+    chunk = F.call_function("div", F.unix_micros(F.col("paso").cast("timestamp")), F.lit(900_000_000))
+    return steps.groupBy(chunk.alias("chunk_id")).agg(
+        F.sum("n").alias("lecturas"), _lecturas().alias("pasos"), F.sum("v").alias("velocidad")
     )

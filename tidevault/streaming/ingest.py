@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidevault.functions.times import Instant, Width
+from tidevault.functions.times import Instant, Width, fixed_micros, from_micros, ts_lit
 from tidevault.operators.chunks import ChunkedTable
 from tidevault.operators.rollup import Rollup
 from tidevault.operators.upsert import upsert
@@ -33,6 +33,19 @@ def _start(
     return writer.queryName(name).foreachBatch(each).start()
 
 
+def _labels(table: ChunkedTable, name: str, checkpoint: str) -> Callable[[int], str]:
+    """Labels of micro-batches, which hold the identity that a stream's checkpoint keeps."""
+    identity: list[str] = []
+
+    def label(batch_id: int) -> str:
+        if not identity:
+            about = Folder(table.spark, checkpoint).read_text("metadata")
+            identity.append(json.loads(about)["id"].replace("-", "")[:16])
+        return f"{name}-{batch_id}.{identity[0]}"
+
+    return label
+
+
 def stream_into(
     rows: DataFrame, table: ChunkedTable, name: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
@@ -42,17 +55,66 @@ def stream_into(
     replaces its first attempt. The label holds the stream's identity, which its checkpoint
     keeps: another checkpoint counts from 0 again, but is another stream.
     """
-    identity: list[str] = []
+    label_of = _labels(table, name, checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not identity:
-            about = Folder(table.spark, checkpoint).read_text("metadata")
-            identity.append(json.loads(about)["id"].replace("-", "")[:16])
-        table.append(batch, f"{name}-{batch_id}.{identity[0]}", same_rows=True)
+        table.append(batch, label_of(batch_id), same_rows=True)
+
+    return _start(rows, "append", each, name, checkpoint, interval)
+
+
+def stream_with_late(
+    rows: DataFrame,
+    rollup: Rollup,
+    late: ChunkedTable,
+    name: str,
+    checkpoint: str,
+    delay: str = "1 hour",
+    start_offset: str = "1200 months",
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Feed a rollup's source, the rollup, and a table of the rows that came too late.
+
+    The watermark of a micro-batch is the latest instant of all batches before it, less the
+    ``delay``; it is written beside the checkpoint before the batch, so that a batch that
+    is run again has the same one. Rows whose bucket had closed by then are late: they go to
+    ``late`` as well as to the source. After each batch the rollup takes in, once, what has
+    been added to buckets that are closed: for late rows it adds to figures that are there. So
+    no row is lost to the watermark and none counts twice; the bucket in progress is withheld.
+    """
+    source, width = rollup.source, rollup.width
+    us = F.unix_micros(F.col(source.ts).cast("timestamp"))
+    marks = Folder(source.spark, f"{checkpoint}/marks")
+    label_of = _labels(source, name, checkpoint)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        label = label_of(batch_id)
+        source.append(batch, label, same_rows=True)
+        # Read back what was stored: the batch itself is not computed again.
+        stored = source.read_chunks(c for c, loads in source.folder.loads().items() if label in loads)
+        stored = stored.where(F.col("load") == label).select(*source.schema.names)
+        mark = _mark(marks, batch_id)
+        newest = stored.agg(F.max(us)).first()[0]
+        if mark is not None:
+            closed = width.floor(mark - fixed_micros(delay), rollup.origin)
+            behind = stored.where(F.col(source.ts) < ts_lit(closed, source.ts_type))
+            late.append(behind, label, same_rows=True)
+        after = max((m for m in (mark, newest) if m is not None), default=None)
+        if after is not None:
+            if not marks.exists(str(batch_id + 1)):
+                marks.mkdirs()
+                marks.write_text(str(batch_id + 1), str(after))
+            rollup.refresh_due(from_micros(after), start_offset, delay)
 
     return _start(rows, "append", each, name, checkpoint, interval)
 
 
+def _mark(marks: Folder, batch_id: int) -> int | None:
+    """The latest instant before a batch, in microseconds; a batch without rows hands it on."""
+    known = [int(n) for n in marks.names("*") if n.isdigit() and int(n) <= batch_id]
+    return int(marks.read_text(str(max(known)))) if known else None
+
+
 def windowed(
     rows: DataFrame,
     ts: str,
