@@ -6,7 +6,16 @@ from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
 from tidevault.llm.quality import descend, quality
-from tidevault.llm.batches import ENTRIES, fetch, fetched, packed_keys, packed_values, unpacked_keys, unpacked_values
+from tidevault.llm.batches import (
+    ENTRIES,
+    fetch,
+    fetched,
+    numbered,
+    packed_keys,
+    packed_values,
+    unpacked_keys,
+    unpacked_values,
+)
 from tidevault.llm.toxicity import count_pairs, decent, events, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -117,6 +126,6 @@ def test_entries_are_told_apart_by_all_bits(spark):
     )
     keys = np.array([4, 6, 1 << 40, (1 << 40) + 8, 1 << 62, 1 << 63], np.uint64)
     docs = spark.createDataFrame([("a",)], "text string").coalesce(1)
-    answers = [(r.part, r["keys"], r.vals) for r in fetch(docs, known, lambda t: [keys], [1]).collect()]
+    answers = [(r.part, r["keys"], r.vals) for r in fetch(numbered(docs), known, lambda t: [keys], [1]).collect()]
     (got,) = fetched(answers, [keys], [1], [2])
     assert got.tolist() == [[0, 1, 2, 0, 0, 4], [0, 6, 7, 0, 0, 9]]

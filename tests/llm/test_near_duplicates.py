@@ -197,3 +197,12 @@ def test_rows_of_one_id_or_none_link_by_their_own_texts(spark):
     kept = Counter(x.doc_id for x in representatives(docs, 2, 88).collect())
     # Of 5: three texts that are not alike and two without words.
     assert kept == Counter({5: 5, 20: 1, None: 3, 30: 2})
+
+
+def test_very_small_and_very_large_vectors_link(spark):
+    vectors = [[1e-200, 2e-200], [2e-200, 4e-200], [1e200, 2e200], [1.0, 2.0], [5e-324, 5e-324], [1e308, 1e308]]
+    rows = [(i, 1, v) for i, v in enumerate(vectors)] + [(9, 1, [0.0, 0.0]), (10, 1, [1.0, float("inf")])]
+    docs = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(docs, 0.93).collect()}
+    # (1, 2) and (1, 1) have a cosine of 0.949.
+    assert got == {**{i: (5, 0) for i in range(6)}, 9: (0, 9), 10: (0, 10)}

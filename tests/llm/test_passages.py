@@ -7,6 +7,7 @@ import pytest
 from conftest import *  # noqa: F403
 
 from tidevault.llm import substring_dedup, suffix_dedup
+from tidevault.llm.batches import numbered
 from tidevault.llm.decontaminate import Index, clean, find, leaks
 from tidevault.llm.substring_dedup import groups_for, without_repeated_windows
 from tidevault.llm.suffix_dedup import repeat_report, without_repeats
@@ -223,7 +224,7 @@ def test_strings_of_a_common_gram_part(spark, odd_docs, short_rows, monkeypatch)
     rows += [(1000 + i, f"{text(50)}{around[i % 4]}{line}{around[i % 3]}{text(50)}") for i in range(60)]
     rows += [(2000 + i, text(100 * i)) for i in range(8)] + [(3000, line * 9), (3001, line * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    sent, merges = suffix_dedup.entries(docs, 150)
+    sent, merges = suffix_dedup.entries(numbered(docs), 100_000, 150)
     met, apart = Counter(), Counter()
     for row in sent.collect():
         grams = np.frombuffer(row.grams, np.uint64)

@@ -7,9 +7,9 @@ keys that matter to it. Then each batch meets its documents again, together with
 answers. A key that is common to many documents costs one entry per batch, so no key, source
 or group of copies can fill a task; parts grow in number with the input.
 
-Batches are numbered by input partition and place in it. The documents are read twice, so
-they have to come from a table or file, whose partitions are the same each time; a lost task
-is then repeated with the same result.
+The documents are read once: ``numbered`` cuts them into batches by input partition and place in
+it, and writes these, compressed, to the working folder. All further steps read them there, so a
+batch keeps its number and its documents whatever happens to the cluster in between.
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidevault.llm.components import written
+
 BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4096
-_PART = "__partition"
 
 
 def _sized(table: pa.Table | pa.RecordBatch) -> np.ndarray:
@@ -33,19 +34,20 @@ def _sized(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     return np.asarray(pc.fill_null(lengths, 0)) + 64
 
 
-def batched(tables: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+def batched(
+    tables: Iterable[pa.RecordBatch], most: int = BATCH_BYTES
+) -> Iterator[tuple[int, pa.Table]]:
     """Number and cut a partition's rows into batches of bounded bytes and rows."""
     held: list[pa.Table] = []
     size, rows, number, place = 0, 0, 0, None
     for record in tables:
-        table = pa.Table.from_batches([record])
-        if not table.num_rows:
+        if not record.num_rows:
             continue
-        place = table[_PART][0].as_py()
-        table = table.drop_columns([_PART])
+        place = record["place"][0].as_py()
+        table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(record["doc"])])
         begin = 0
         for i, length in enumerate(_sized(table)):
-            if rows and (size + length > BATCH_BYTES or rows == BATCH_ROWS):
+            if rows and (size + length > most or rows == BATCH_ROWS):
                 held.append(table.slice(begin, i - begin))
                 yield (place << 32) + number, pa.concat_tables(held).combine_chunks()
                 held, size, rows, begin, number = [], 0, 0, i, number + 1
@@ -76,7 +78,8 @@ def texts_of(table: pa.Table | pa.RecordBatch) -> list[bytes]:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_PART, F.spark_partition_id().cast("long"))
+    """The documents, whatever their columns are called, with their partition."""
+    return docs.select(F.struct("*").alias("doc"), F.spark_partition_id().cast("long").alias("place"))
 
 
 def _to_ipc(table: pa.Table) -> bytes:
@@ -87,7 +90,7 @@ def _to_ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _from_ipc(data: bytes) -> pa.Table:
+def _from_ipc(data: bytes | pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
@@ -100,26 +103,24 @@ ROW_SCHEMA = pa.schema(
         ("vals", pa.binary()),
     ]
 )
+BATCH_SCHEMA = pa.schema([("batch", pa.int64()), ("docs", pa.binary())])
 ROW = "batch long, docs binary, part long, keys binary, vals binary"
 
 
-def rows_of(docs: DataFrame) -> DataFrame:
-    """One row per batch with its documents, compressed."""
+def numbered(docs: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
+    """``batch, docs``: the documents in numbered batches, compressed and written."""
 
     def pack(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, table in batched(tables):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "batch": [batch],
-                    "docs": [_to_ipc(table)],
-                    "part": [None],
-                    "keys": [None],
-                    "vals": [None],
-                },
-                ROW_SCHEMA,
-            )
+        for batch, table in batched(tables, most):
+            yield pa.RecordBatch.from_pydict({"batch": [batch], "docs": [_to_ipc(table)]}, BATCH_SCHEMA)
+
+    return written(located(docs).mapInArrow(pack, "batch long, docs binary"), "batches")
 
-    return located(docs).mapInArrow(pack, ROW)
+
+def _each_batch(records: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    for record in records:
+        for batch, docs in zip(record["batch"], record["docs"], strict=True):
+            yield batch.as_py(), _from_ipc(docs.as_buffer())
 
 
 def text_bytes(docs: DataFrame) -> int:
@@ -131,12 +132,12 @@ def parts_for(n_keys: float, per_part: int = 2_000_000) -> int:
 
 
 def ask(
-    docs: DataFrame,
+    batches: DataFrame,
     keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]],
     answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
     kinds: tuple[type, type],
 ) -> DataFrame:
-    """Send each batch's (part, key, value) to the parts; rows of answers per batch.
+    """Send the (part, key, value) of each ``numbered`` batch to the parts; rows of answers per batch.
 
     ``keys_of`` gets a batch and gives the part, key and value of its distinct keys, of the
     number types ``kinds``. ``answer`` gets the keys and values of a part and gives the
@@ -146,8 +147,8 @@ def ask(
         [("part", pa.int64()), ("batch", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())]
     )
 
-    def send(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, table in batched(tables):
+    def send(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, table in _each_batch(records):
             part, keys, vals = keys_of(table)
             order = np.argsort(part, kind="stable")
             part = part[order]
@@ -183,15 +184,14 @@ def ask(
         return pa.Table.from_pydict(out, ROW_SCHEMA)
 
     return (
-        located(docs)
-        .mapInArrow(send, "part long, batch long, keys binary, vals binary")
+        batches.mapInArrow(send, "part long, batch long, keys binary, vals binary")
         .groupBy("part")
         .applyInArrow(reply, ROW)
     )
 
 
 def meet(
-    docs: DataFrame,
+    batches: DataFrame,
     answers: DataFrame,
     each: Callable[[int, pa.Table, list[tuple[int, bytes, bytes]]], pa.Table],
     schema: str,
@@ -200,11 +200,12 @@ def meet(
 
     def join(rows: pa.Table) -> pa.Table:
         is_docs = rows["docs"].is_valid().to_pylist()
-        table = _from_ipc(rows["docs"][is_docs.index(True)].as_py())
+        table = _from_ipc(rows["docs"][is_docs.index(True)].as_buffer())
         answers = zip(*(rows[c].to_pylist() for c in ("part", "keys", "vals")), strict=True)
         return each(rows["batch"][0].as_py(), table, [a for a in answers if a[1] is not None])
 
-    return rows_of(docs).unionByName(answers).groupBy("batch").applyInArrow(join, schema)
+    own = batches.withColumns({c: F.lit(None).cast(k) for c, k in (("part", "long"), ("keys", "binary"), ("vals", "binary"))})
+    return own.unionByName(answers).groupBy("batch").applyInArrow(join, schema)
 
 
 def planes(numbers: np.ndarray) -> bytes:
@@ -255,7 +256,7 @@ ENTRIES_SCHEMA = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("keys"
 
 
 def fetch(
-    docs: DataFrame, known: DataFrame, keys_of: Callable[[pa.Table], list[np.ndarray]], parts: list[int]
+    batches: DataFrame, known: DataFrame, keys_of: Callable[[pa.Table], list[np.ndarray]], parts: list[int]
 ) -> DataFrame:
     """Let each batch fetch its own entries of tables that grow with the corpus.
 
@@ -266,8 +267,8 @@ def fetch(
     those asked for, with the lower bits, by which ``fetched`` tells them apart.
     """
 
-    def send(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, table in batched(tables):
+    def send(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, table in _each_batch(records):
             out, first = {"part": [], "batch": [], "keys": [], "vals": []}, 0
             for keys, n in zip(keys_of(table), parts, strict=True):
                 for part, a, b in cut(keys, n):
@@ -301,7 +302,7 @@ def fetch(
                 out["vals"].append(planes(lower[place]) + packed_values(values[:, place]))
         return pa.Table.from_pydict(out, ROW_SCHEMA)
 
-    asked = located(docs).mapInArrow(send, ENTRIES)
+    asked = batches.mapInArrow(send, ENTRIES)
     return asked.unionByName(known).groupBy("part").applyInArrow(reply, ROW)
 
 
@@ -327,29 +328,22 @@ def fetched(
     return out
 
 
-SLICES = 64
-
-
 def tally(rows: DataFrame, count: Callable[[pa.RecordBatch], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
-    """Sum the counts, an array of the given (bounded) shape, of all batches of rows."""
+    """Sum the counts, an array of the given (bounded) shape, of all batches of rows.
+
+    Tasks send the counts that are not 0, which Spark adds up; the driver gets one number for
+    each place of the array.
+    """
+    kinds = pa.schema([("place", pa.int32()), ("n", pa.int64())])
 
     def partial(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape, np.int64)
         for record in sliced(records):
             total += count(record)
-        if total.any():
-            pieces = [p.tobytes() for p in np.split(total, SLICES, axis=1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int64()), pa.array(pieces)], ["slice", "counts"]
-            )
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in table["counts"].to_pylist())
-        return pa.table({"slice": table["slice"][:1], "counts": pa.array([total.tobytes()])})
-
-    kinds = "slice long, counts binary"
-    sums = rows.mapInArrow(partial, kinds).groupBy("slice").applyInArrow(add, kinds).collect()
-    if not sums:
-        return np.zeros(shape, np.int64)
-    sums.sort(key=lambda r: r["slice"])
-    return np.concatenate([np.frombuffer(r["counts"], np.int64).reshape(shape[0], -1) for r in sums], axis=1)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(total.ravel()[place])], schema=kinds)
+
+    sums = rows.mapInArrow(partial, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(shape, np.int64)
+    out.reshape(-1)[sums["place"].to_numpy()] = sums["n"].to_numpy()
+    return out

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidevault.llm.components import components, written
@@ -96,6 +96,12 @@ def _tile(rows: pa.Table, threshold: float) -> pa.Table:
     )
 
 
+def _power(x: Column) -> Column:
+    """The power of two below a number where the number is far from 1, else 1: dividing by it is exact."""
+    far = (x < 1e-100) | (x > 1e100)
+    return F.when(far, F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(x)), F.lit(-1022)))).otherwise(F.lit(1.0))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
@@ -110,19 +116,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     tiles and each pair of tiles is a group of its own, so no label fills a task.
     """
     v = F.col("embedding")
-    square = F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    # Scaled by the largest component, no square is lost to the range of a double.
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
     fit = (
         F.col("label").isNotNull()
         & F.col("vec_id").isNotNull()
         & (F.size(v) > 0)
         & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-        & (square > 0)
-        & (square < float("inf"))
+        & (largest > 0)
     )
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("label"),
-        F.when(fit, F.transform(v, lambda x: x.cast("double"))).alias("vector"),
+        F.when(fit, F.transform(v, lambda x: x.cast("double") / _power(largest))).alias("vector"),
     )
     classes = written(
         rows.where("vector is not null")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidevault.llm.batches import ask, meet, parts_for, sliced, text_bytes, texts_of
+from tidevault.llm.batches import ask, meet, numbered, parts_for, sliced, text_bytes, texts_of
 from tidevault.llm.components import components, written
 from tidevault.llm.words import mix, runs_in_texts, shingles, words_of
 
@@ -269,10 +269,10 @@ def frequency_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             schema=schema,
         )
 
-    docs = docs.select("doc_id", "text")
-    answers = ask(docs, keys_of, answer, (np.uint32, np.uint16))
+    batches = numbered(docs.select("doc_id", "text"))
+    answers = ask(batches, keys_of, answer, (np.uint32, np.uint16))
     columns = "doc_id long, n long, s1 long, s2 long, prefix array<long>, tokens binary"
-    return meet(docs, answers, each, columns)
+    return meet(batches, answers, each, columns)
 
 
 def _star_round(reps: DataFrame, routes: DataFrame, percent: int) -> DataFrame:
@@ -399,25 +399,24 @@ def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     twice = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
     once = docs.join(twice, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
     again = _signed(docs.join(twice, "doc_id", "left_semi").select(*docs.columns), k)
-    again = again.join(groups.toDF("__s1", "__s2", "__group", "__component"), ["__s1", "__s2"], "left")
-    empty = again.where("__group is null")
-    alike = again.where("doc_id = __component").dropDuplicates(["doc_id", "__group"])
-    return once.select(*docs.columns).unionByName(empty.unionByName(alike).select(*docs.columns))
+    again = again.join(groups, ["s1", "s2"], "left")
+    empty = again.where("group is null")
+    alike = again.where("doc.doc_id = component_id").groupBy("doc.doc_id", "group").agg(F.first("doc").alias("doc"))
+    return once.select(*docs.columns).unionByName(empty.select("doc").unionByName(alike.select("doc")).select("doc.*"))
 
 
 def _signed(docs: DataFrame, k: int) -> DataFrame:
-    """The documents with the signatures of their sets, null for texts without words."""
-    schema = T.StructType([*docs.schema, T.StructField("__s1", T.LongType()), T.StructField("__s2", T.LongType())])
+    """``doc, s1, s2``: the documents and the signatures of their sets, null for texts without words."""
+    kind = T.StructType([T.StructField("doc", docs.schema), *(T.StructField(s, T.LongType()) for s in ("s1", "s2"))])
 
     def sign(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for record in sliced(records):
-            texts = texts_of(record)
-            grams, text = sets_of(texts, k)
-            edges = np.searchsorted(text, np.arange(len(texts) + 1))
-            none = np.diff(edges) == 0
-            both = [pa.array(s.astype(np.int64), mask=none) for s in signatures(grams, edges)]
-            yield pa.RecordBatch.from_arrays(
-                [*record.columns, *both], [*record.schema.names, "__s1", "__s2"]
-            )
-
-    return docs.mapInArrow(sign, schema)
+        for record in records:
+            for own in sliced([pa.RecordBatch.from_struct_array(record["doc"])]):
+                texts = texts_of(own)
+                grams, text = sets_of(texts, k)
+                edges = np.searchsorted(text, np.arange(len(texts) + 1))
+                none = np.diff(edges) == 0
+                both = [pa.array(s.astype(np.int64), mask=none) for s in signatures(grams, edges)]
+                yield pa.RecordBatch.from_arrays([own.to_struct_array(), *both], ["doc", "s1", "s2"])
+
+    return docs.select(F.struct("*").alias("doc")).mapInArrow(sign, kind)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidevault.llm.batches import ask, meet, tally, texts_of
+from tidevault.llm.batches import ask, meet, numbered, tally, texts_of
 from tidevault.llm.words import shingles, words_of
 
 SHORT, LONG = 2, 7  # words of the prefixes
@@ -146,6 +146,7 @@ def without_repeated_windows(docs: DataFrame, window: int = 13, with_text: bool
         out["doc_id"] = table["doc_id"].cast(pa.int64())
         return pa.table(out, schema)
 
-    answers = ask(docs, keys_of, answer, (np.uint64, np.int64))
+    batches = numbered(docs)
+    answers = ask(batches, keys_of, answer, (np.uint64, np.int64))
     kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return meet(docs, answers, each, kinds + ", kept string" * with_text)
+    return meet(batches, answers, each, kinds + ", kept string" * with_text)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidevault.llm.batches import ROW, ROW_SCHEMA, ask, cut, meet, parts_for, text_bytes, texts_of
+from tidevault.llm.batches import ROW, ROW_SCHEMA, ask, cut, meet, numbered, parts_for, text_bytes, texts_of
 from tidevault.llm.words import FACTOR, mix, powers
 
 GRAM = 32
@@ -292,9 +292,10 @@ def _merge(length: int, merges: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def entries(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
-    """What batches send to the parts, and how many parts merge; those that follow get digests."""
-    size, hot = text_bytes(docs), HOT
+def entries(batches: DataFrame, size: int, length: int) -> tuple[DataFrame, int]:
+    """What batches of so many bytes in all send to the parts, and how many parts merge; those
+    that follow get digests."""
+    hot = HOT
     parts = parts_for(size / 150, 200_000)
     merges = parts_for(size / 150, 20_000)
 
@@ -354,14 +355,16 @@ def entries(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
                 out[name].append(None)
         return pa.table(out, _PARTS)
 
-    asked = ask(docs, keys_of, answer, (np.uint64, np.uint32))
+    asked = ask(batches, keys_of, answer, (np.uint64, np.uint32))
     kinds = "part long, batch long, " + ", ".join(f"{f.name} binary" for f in list(_PARTS)[2:])
-    return meet(docs, asked, contexts, kinds), merges
+    return meet(batches, asked, contexts, kinds), merges
 
 
-def repeats(docs: DataFrame, length: int) -> DataFrame:
+def repeats(batches: DataFrame, size: int, length: int) -> DataFrame:
     """Rows of answers for each batch: begin and end of repeated places in its joined bytes."""
-    sent, merges = entries(docs, length)
+    if length < GRAM:
+        raise ValueError(f"repeated strings have {GRAM} bytes at least, not {length}")
+    sent, merges = entries(batches, size, length)
     return sent.groupBy("part").applyInArrow(_merge(length, merges), ROW)
 
 
@@ -407,7 +410,8 @@ def repeat_report(docs: DataFrame, length: int = 400) -> DataFrame:
         )
 
     kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return meet(docs, repeats(docs, length), each, kinds)
+    batches = numbered(docs)
+    return meet(batches, repeats(batches, text_bytes(docs), length), each, kinds)
 
 
 def without_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -438,4 +442,5 @@ def without_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             table = table.set_column(at, "n_chars", pa.array(n, table.schema.field(at).type))
         return table
 
-    return meet(docs, repeats(docs, length), each, schema)
+    batches = numbered(docs)
+    return meet(batches, repeats(batches, text_bytes(docs), length), each, schema)

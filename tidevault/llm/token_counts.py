@@ -62,14 +62,15 @@ class Known(dict):
 
 
 def byte_batches(texts: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Consecutive texts of about equal bytes together; a longer text is a batch of its own."""
+    """Consecutive texts of about equal bytes in UTF-8 together; a longer text is a batch of its own."""
     batch, size = [], 0
     for t in texts:
-        if batch and size + len(t) > limit:
+        n = len(t) if t.isascii() else len(t.encode())
+        if batch and size + n > limit:
             yield batch
             batch, size = [], 0
         batch.append(t)
-        size += len(t)
+        size += n
     if batch:
         yield batch
 

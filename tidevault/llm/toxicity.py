@@ -26,6 +26,7 @@ from tidevault.llm.batches import (
     fetch,
     fetched,
     meet,
+    numbered,
     packed_keys,
     packed_values,
     part_of,
@@ -330,8 +331,9 @@ def _per_word(d: np.ndarray, e: Events, run: int) -> np.ndarray:
 
 def _measured(docs: DataFrame, known: DataFrame, models: Models, each, schema) -> DataFrame:
     """``each`` of every batch with its answers from the models' tables."""
-    asked = fetch(docs, known, lambda table: sought(texts_of(table)).keys, models.parts)
-    return meet(docs, asked, lambda batch, table, answers: each(table, answers), schema)
+    batches = numbered(docs)
+    asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts)
+    return meet(batches, asked, lambda batch, table, answers: each(table, answers), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000):
@@ -356,7 +358,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     fit = _measured(chosen, known, models, measure, "x array<double>, y int").toPandas()
     if not len(fit):
-        return known, models, np.array([0.0] * (len(RUNS) + 3) + [-1.0])
+        return known, models, np.zeros(len(RUNS) + 4)
     x, y = np.stack(fit["x"].to_list()), fit["y"].to_numpy()
     order = np.lexsort((*x.T, y))  # sums do not depend on where batches were measured
     return known, models, logistic(x[order], y[order])
@@ -377,7 +379,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     Labels teach only through rows whose crc32(doc_id as text) is not divisible by 5; scores
     depend on the text alone. A null or empty text, or one of marks only, has no words and
     gets the score of no evidence. Repeated rows repeat, a null doc_id stays null and counts
-    as the empty text in ``held_out``; without any label all scores are the prior 0.27.
+    as the empty text in ``held_out``; without any label all scores are 0.5.
     Other columns are not read.
     """
     trained = train(docs, labels)
