@@ -58,6 +58,13 @@ def test_whole_texts_for_piece_models(odd_docs, odd_rows):
 def test_batches_are_balanced():
     texts = ["x" * n for n in (10, 50, 50, 200, 5, 5)]
     assert [len("".join(b)) for b in token_counts.byte_batches(texts, 100)] == [60, 50, 200, 10]
+    wide = ["é" * 30, "日" * 15, "x" * 10]  # 60, 45 and 10 bytes
+    assert [len(b) for b in token_counts.byte_batches(wide, 100)] == [1, 2]
+
+
+def test_pairs_need_ranks_of_20_bits():
+    with pytest.raises(ValueError, match="20 bits"):
+        bpe.Encoder({b"a": 0, b"b": 1 << 20}, ".")
 
 
 def test_ids_are_the_library_s(texts, library):

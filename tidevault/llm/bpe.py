@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from tidevault.llm.token_counts import Known, byte_batches, loose, pieces, safe_pieces
 
-KEPT = 150_000  # pieces that each of a worker's two generations remembers
-KEPT_PAIRS = 500_000
+KEPT = 400_000  # pieces that each of a worker's two generations remembers
+KEPT_PAIRS = 1_500_000
 GROUP_BYTES = 2 << 20  # text whose new pieces are encoded together
 
 
@@ -34,8 +34,10 @@ def ranks_from(path: str) -> dict[bytes, int]:
 class Encoder:
     """Encodes pieces (matches of a pattern) with a vocabulary of ranks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept_pairs: int = KEPT_PAIRS):
+        if max(ranks.values(), default=0) >= 1 << 20:
+            raise ValueError("ranks have 20 bits at most: pairs are remembered by both")
+        self.ranks, self.kept_pairs = ranks, kept_pairs
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.tails: dict[bytes, int] = {}  # the longest token with these last three bytes
         for token in ranks:
@@ -87,7 +89,7 @@ class Encoder:
         """
         known = self._pairs.get(a << 20 | b)
         if known is None:
-            if len(self._pairs) > KEPT_PAIRS:
+            if len(self._pairs) > self.kept_pairs:
                 self._pairs.clear()
             known = self._pairs[a << 20 | b] = self._apart(self._spine(a)[0], self._spine(b)[1])
         return known
@@ -194,7 +196,8 @@ _workers: dict[tuple[str, str, int], tuple[Encoder, Known]] = {}
 def _encoded(texts: list[str], path: str, pattern: str, kept: int = KEPT) -> Iterator[list[Encoded]]:
     """Of each text, piece by piece: number of ids, the ids as text, the decoded bytes."""
     if (path, pattern, kept) not in _workers:
-        _workers[path, pattern, kept] = Encoder(ranks_from(path), pattern), Known(kept)
+        encoder = Encoder(ranks_from(path), pattern, min(KEPT_PAIRS, 10 * kept))
+        _workers[path, pattern, kept] = encoder, Known(kept)
     encoder, known = _workers[path, pattern, kept]
 
     def learn(new: list[str]) -> dict[str, Encoded]:
