@@ -14,6 +14,7 @@ batch keeps its number and its documents whatever happens to the cluster in betw
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -29,6 +30,15 @@ BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4096
 
 
+def give_back() -> None:
+    """Return to the system what a worker has freed: its next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; it keeps what it has
+        pass
+
+
 def _sized(table: pa.Table | pa.RecordBatch) -> np.ndarray:
     lengths = pc.binary_length(table["text"].cast(pa.large_binary()))
     return np.asarray(pc.fill_null(lengths, 0)) + 64
@@ -113,6 +123,7 @@ def numbered(docs: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     def pack(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, table in batched(tables, most):
             yield pa.RecordBatch.from_pydict({"batch": [batch], "docs": [_to_ipc(table)]}, BATCH_SCHEMA)
+        give_back()
 
     return written(located(docs).mapInArrow(pack, "batch long, docs binary"), "batches")
 
@@ -162,8 +173,10 @@ def ask(
                 out["vals"].append(vals[a:b].tobytes())
             if out["part"]:
                 yield pa.RecordBatch.from_pydict(out, sent)
+        give_back()
 
     def reply(rows: pa.Table) -> pa.Table:
+        give_back()
         batch = rows["batch"].to_numpy()
         order = np.argsort(batch, kind="stable")
         blobs = rows["keys"].take(order).to_pylist()
@@ -199,6 +212,7 @@ def meet(
     """Give each batch its documents and its answers: (part, keys, values), by ``each``."""
 
     def join(rows: pa.Table) -> pa.Table:
+        give_back()
         is_docs = rows["docs"].is_valid().to_pylist()
         table = _from_ipc(rows["docs"][is_docs.index(True)].as_buffer())
         answers = zip(*(rows[c].to_pylist() for c in ("part", "keys", "vals")), strict=True)
@@ -279,8 +293,10 @@ def fetch(
                 first += n
             if out["part"]:
                 yield pa.RecordBatch.from_pydict(out, ENTRIES_SCHEMA)
+        give_back()
 
     def reply(rows: pa.Table) -> pa.Table:
+        give_back()
         out = {"batch": [], "docs": [], "part": [], "keys": [], "vals": []}
         batches = rows["batch"].to_pylist()
         if None in batches:

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from tidevault.llm.batches import give_back
 from tidevault.llm.token_counts import Known, byte_batches, loose, pieces, safe_pieces
 
 KEPT = 400_000  # pieces that each of a worker's two generations remembers
@@ -256,6 +257,7 @@ def round_trip(
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if kept < KEPT:
             _workers.pop((path, pattern, kept), None)
+            give_back()
 
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, kinds + ", ids array<int>" * with_ids)

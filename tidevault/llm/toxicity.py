@@ -25,6 +25,7 @@ from tidevault.llm.batches import (
     cut,
     fetch,
     fetched,
+    give_back,
     meet,
     numbered,
     packed_keys,
@@ -45,8 +46,10 @@ DISCOUNT = 0.75
 RUNS = (1, 4, 16)  # words of a run
 PAIR_BYTES, WORD_BYTES = 8, 50  # text for each different pair and word of a batch, about
 LEAST_PARTS = 16
+PART_ENTRIES = 1_000_000  # at most about so many pairs or words of a part
 SLICE_BYTES = 1 << 20  # text that is counted at a time
-HELD_PAIRS = 800_000  # counted pairs that a task gathers before it sends them
+SCORED_BYTES = 2 << 20  # text that is scored at a time
+HELD_PAIRS = 500_000  # counted pairs that a task gathers before it sends them
 #: Marks end words: ASCII punctuation becomes blanks.
 _PLAIN = bytes(
     32 if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256)
@@ -118,6 +121,7 @@ def _tallied(parts: list[int]):
     """The pairs of a part, summed, and what they add to their words' counts."""
 
     def run(rows: pa.Table) -> pa.Table:
+        give_back()
         prior, word = [], []
         for words, places in zip(rows["words"].to_pylist(), rows["places"].to_pylist(), strict=True):
             words, places = unpacked_keys(words), unpacked_values(places, len(places) // 8)
@@ -189,6 +193,8 @@ def count_pairs(rows: DataFrame, parts: list[int]) -> tuple[DataFrame, np.ndarra
                 held, size = [], 0
         if size:
             yield packed()
+        held.clear()
+        give_back()
 
     counted = (
         rows.mapInArrow(send, "part long, words binary, places binary, counts binary")
@@ -331,7 +337,7 @@ def _per_word(d: np.ndarray, e: Events, run: int) -> np.ndarray:
 
 def _measured(docs: DataFrame, known: DataFrame, models: Models, each, schema) -> DataFrame:
     """``each`` of every batch with its answers from the models' tables."""
-    batches = numbered(docs)
+    batches = numbered(docs, SCORED_BYTES)
     asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts)
     return meet(batches, asked, lambda batch, table, answers: each(table, answers), schema)
 
@@ -344,7 +350,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     """
     rows = taught(docs, labels, label)
     size = text_bytes(docs)
-    parts = [max(LEAST_PARTS, parts_for(size / n)) for n in (PAIR_BYTES, WORD_BYTES)]
+    parts = [max(LEAST_PARTS, parts_for(size / n, PART_ENTRIES)) for n in (PAIR_BYTES, WORD_BYTES)]
     known, sums = count_pairs(rows, parts)
     models = Models(sums, parts)
     share = min(1.0, sample / max(1, labels.count()))
