@@ -105,7 +105,7 @@ def test_no_pairs_or_words_share_an_entry(spark):
     for row in known.collect():
         keys = unpacked_keys(row.keys)
         kind = "pair" if row.part < 5 else "word"
-        values = unpacked_values(row.vals, len(keys)).T
+        values = unpacked_values(row.vals, 2 if kind == "pair" else 7).T
         got[kind].update(zip(keys.tolist(), values.tolist(), strict=True))
     assert len(got["pair"]) == len(pairs) > 1 << 20 and len(words) > 1 << 18
     assert sums[0] == len(words) and sums[1] == len(pairs)
@@ -126,6 +126,6 @@ def test_entries_are_told_apart_by_all_bits(spark):
     )
     keys = np.array([4, 6, 1 << 40, (1 << 40) + 8, 1 << 62, 1 << 63], np.uint64)
     docs = spark.createDataFrame([("a",)], "text string").coalesce(1)
-    answers = [(r.part, r["keys"], r.vals) for r in fetch(numbered(docs), known, lambda t: [keys], [1]).collect()]
+    answers = [(r.part, r["keys"], r.vals) for r in fetch(numbered(docs), known, lambda t: [keys], [1], [2]).collect()]
     (got,) = fetched(answers, [keys], [1], [2])
     assert got.tolist() == [[0, 1, 2, 0, 0, 4], [0, 6, 7, 0, 0, 9]]

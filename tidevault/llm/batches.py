@@ -233,22 +233,38 @@ def unplaned(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
+_CODEC = pa.Codec("zstd", 1)
+
+
+def squeezed(data: bytes) -> bytes:
+    """Compressed bytes, which know how long they were."""
+    return len(data).to_bytes(8, "little") + _CODEC.compress(data, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return _CODEC.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Ascending 64-bit keys by their differences, whose high bytes are mostly 0."""
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return squeezed(planes(np.diff(keys, prepend=np.uint64(0))))
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unplaned(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(unplaned(unsqueezed(data), np.uint64), dtype=np.uint64)
+
+
+def _value_planes(values: np.ndarray) -> bytes:
+    return planes(np.ascontiguousarray(values, np.uint32).reshape(-1))
 
 
 def packed_values(values: np.ndarray) -> bytes:
     """Columns of counts, an array of (columns, entries)."""
-    return planes(np.ascontiguousarray(values, np.uint32).reshape(-1))
+    return squeezed(_value_planes(values))
 
 
-def unpacked_values(data: bytes, n: int) -> np.ndarray:
-    return unplaned(data, np.uint32).reshape(-1, n)
+def unpacked_values(data: bytes, columns: int) -> np.ndarray:
+    return unplaned(unsqueezed(data), np.uint32).reshape(columns, -1)
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -270,16 +286,22 @@ ENTRIES_SCHEMA = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("keys"
 
 
 def fetch(
-    batches: DataFrame, known: DataFrame, keys_of: Callable[[pa.Table], list[np.ndarray]], parts: list[int]
+    batches: DataFrame,
+    known: DataFrame,
+    keys_of: Callable[[pa.Table], list[np.ndarray]],
+    parts: list[int],
+    columns: list[int],
 ) -> DataFrame:
     """Let each batch fetch its own entries of tables that grow with the corpus.
 
     ``known`` holds the tables as ``ENTRIES``: one row a part, without batch, with its
-    ascending keys and packed values. The parts of several tables follow each other.
+    ascending keys and packed values, so many ``columns`` in each table. The parts of several
+    tables follow each other.
     ``keys_of`` gives a batch's ascending distinct keys of each table. An answer holds all
     entries that agree with one of the batch's keys in the upper 40 bits, which are few besides
     those asked for, with the lower bits, by which ``fetched`` tells them apart.
     """
+    firsts = np.cumsum([0, *parts[:-1]])
 
     def send(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, table in _each_batch(records):
@@ -298,11 +320,12 @@ def fetch(
     def reply(rows: pa.Table) -> pa.Table:
         give_back()
         out = {"batch": [], "docs": [], "part": [], "keys": [], "vals": []}
+        part = rows["part"][0].as_py()
         batches = rows["batch"].to_pylist()
         if None in batches:
             at = batches.index(None)
             table = unpacked_keys(rows["keys"][at].as_py())
-            values = unpacked_values(rows["vals"][at].as_py(), len(table))
+            values = unpacked_values(rows["vals"][at].as_py(), columns[np.searchsorted(firsts, part, "right") - 1])
             upper, lower = table >> _LOW, (table & ((np.uint64(1) << _LOW) - np.uint64(1))).astype(np.uint32)
             for i, batch in enumerate(batches):
                 if batch is None:
@@ -313,9 +336,9 @@ def fetch(
                 place = np.repeat(begin - np.cumsum(found) + found, found) + np.arange(found.sum())
                 out["batch"].append(batch)
                 out["docs"].append(None)
-                out["part"].append(rows["part"][0].as_py())
-                out["keys"].append(planes(found.astype(np.uint32)))
-                out["vals"].append(planes(lower[place]) + packed_values(values[:, place]))
+                out["part"].append(part)
+                out["keys"].append(squeezed(planes(found.astype(np.uint32))))
+                out["vals"].append(squeezed(planes(lower[place]) + _value_planes(values[:, place])))
         return pa.Table.from_pydict(out, ROW_SCHEMA)
 
     asked = batches.mapInArrow(send, ENTRIES)
@@ -331,14 +354,14 @@ def fetched(
         values = np.zeros((width, len(own)))
         for part, a, b in cut(own, n):
             if first + part in blobs:
-                found, entries = blobs[first + part]
+                found, entries = map(unsqueezed, blobs[first + part])
                 upper = np.repeat(np.unique(own[a:b] >> _LOW), unplaned(found, np.uint32))
                 if len(upper):
                     size = 4 * len(upper)
                     table = upper << _LOW | unplaned(entries[:size], np.uint32)
                     place = np.minimum(np.searchsorted(table, own[a:b]), len(table) - 1)
                     known = table[place] == own[a:b]
-                    values[:, a:b] = unpacked_values(entries[size:], len(upper))[:, place] * known
+                    values[:, a:b] = unplaned(entries[size:], np.uint32).reshape(width, -1)[:, place] * known
         out.append(values)
         first += n
     return out

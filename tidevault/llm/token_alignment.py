@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from tidevault.llm.batches import (
     batched,
     located,
-    packed_keys,
     planes,
-    unpacked_keys,
+    squeezed,
     unplaned,
+    unsqueezed,
 )
 from tidevault.llm.components import written
 from tidevault.llm.token_counts import _WHITE, loose, pieces
@@ -193,19 +193,16 @@ def postings(parts: Aligned, owner: np.ndarray, part: np.ndarray) -> tuple[np.nd
     return pairs[key // wide], (key % wide).astype(np.uint16), word
 
 
-_CODEC = pa.Codec("zstd")
-
-
 def packed(pair: np.ndarray, place: np.ndarray, word: np.ndarray) -> bytes:
     """Bitmaps as compressed bytes, equal bytes of their numbers together."""
-    raw = packed_keys(pair) + planes(place) + planes(word)
-    return len(pair).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+    return squeezed(planes(np.diff(pair, prepend=np.uint64(0))) + planes(place) + planes(word))
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    raw = _CODEC.decompress(data[8:], 18 * n, asbytes=True)
-    return unpacked_keys(raw[: 8 * n]), unplaned(raw[8 * n : 10 * n], np.uint16), unplaned(raw[10 * n :], np.uint64)
+    raw = unsqueezed(data)
+    n = len(raw) // 18
+    pair = np.cumsum(unplaned(raw[: 8 * n], np.uint64), dtype=np.uint64)
+    return pair, unplaned(raw[8 * n : 10 * n], np.uint16), unplaned(raw[10 * n :], np.uint64)
 
 
 def documents(pair: np.ndarray, place: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

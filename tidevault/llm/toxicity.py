@@ -106,6 +106,7 @@ def _counted(texts: list[bytes], y: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 _SENT = pa.schema([("part", pa.int64())] + [(c, pa.binary()) for c in ("words", "places", "counts")])
 _ENTRIES = ENTRIES + ", sums array<double>"
 _WORD = ("word0", "word1", "prior0", "prior1", "next0", "next1", "before")
+_COLUMNS = [2, len(_WORD)]  # of the pairs' table and of the words'
 
 
 def _entry(part: int, keys: np.ndarray, values: np.ndarray, sums: list[float] | None = None) -> dict:
@@ -124,11 +125,11 @@ def _tallied(parts: list[int]):
         give_back()
         prior, word = [], []
         for words, places in zip(rows["words"].to_pylist(), rows["places"].to_pylist(), strict=True):
-            words, places = unpacked_keys(words), unpacked_values(places, len(places) // 8)
+            words, places = unpacked_keys(words), unpacked_values(places, 2)
             prior.append(words[np.cumsum(places[0])])
             word.append(words[places[1]])
         prior, word = np.concatenate(prior), np.concatenate(word)
-        counts = [unpacked_values(b, len(b) // 8) for b in rows["counts"].to_pylist()]
+        counts = [unpacked_values(b, 2) for b in rows["counts"].to_pylist()]
         pair, prior, word, counts = _summed(prior, word, np.concatenate(counts, axis=1))
         out = [_entry(rows["part"][0].as_py(), pair, counts)]
         keys, which = np.unique(np.concatenate((word, prior)), return_inverse=True)
@@ -145,7 +146,7 @@ def _tallied(parts: list[int]):
 def _of_words(rows: pa.Table) -> pa.Table:
     """The words of a part with their counts from all pairs, and figures of the part."""
     blobs = [unpacked_keys(b) for b in rows["keys"].to_pylist()]
-    values = [unpacked_values(b, len(k)) for b, k in zip(rows["vals"].to_pylist(), blobs, strict=True)]
+    values = [unpacked_values(b, len(_WORD)) for b in rows["vals"].to_pylist()]
     keys, which = np.unique(np.concatenate(blobs), return_inverse=True)
     values = np.concatenate(values, axis=1)
     values = np.stack([np.bincount(which, v, len(keys)) for v in values])
@@ -307,7 +308,7 @@ class Models:
     def features(self, texts: list[bytes], answers: list, own: np.ndarray | None = None) -> np.ndarray:
         """Per text: differences per word of the whole and of its worst runs of words."""
         f = sought(texts)
-        f.of_pair, words = fetched(answers, f.keys, self.parts, [2, len(_WORD)])
+        f.of_pair, words = fetched(answers, f.keys, self.parts, _COLUMNS)
         f.of_word = dict(zip(_WORD, words, strict=True))
         alone, after = self.differences(f, own)
         return np.column_stack(
@@ -338,7 +339,7 @@ def _per_word(d: np.ndarray, e: Events, run: int) -> np.ndarray:
 def _measured(docs: DataFrame, known: DataFrame, models: Models, each, schema) -> DataFrame:
     """``each`` of every batch with its answers from the models' tables."""
     batches = numbered(docs, SCORED_BYTES)
-    asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts)
+    asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts, _COLUMNS)
     return meet(batches, asked, lambda batch, table, answers: each(table, answers), schema)
 
 
