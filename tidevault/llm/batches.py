@@ -94,7 +94,7 @@ def located(docs: DataFrame) -> DataFrame:
 
 def _to_ipc(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
     with pa.ipc.new_stream(sink, table.schema, options=options) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
