@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tidevault.llm.batches import give_back
+from tidevault.llm.batches import give_back, sliced
 from tidevault.llm.token_counts import Known, byte_batches, loose, pieces, safe_pieces
 
 KEPT = 400_000  # pieces that each of a worker's two generations remembers
@@ -240,7 +240,7 @@ def round_trip(
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, GROUP_BYTES):
             text = pc.fill_null(b["text"].cast(pa.large_string()), "").to_pylist()
             n, ids, decoded, lists = [], [], [], []
             for parts in _encoded(text, path, pattern, kept):
