@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_named():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert [s for s, _ in corpus_pipeline.STAGES] == [
         "toxicity", "ngram_join", "suffix_dedup", "decontamination", "byte_bpe"
     ]

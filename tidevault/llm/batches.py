@@ -233,7 +233,7 @@ def unplaned(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
-_CODEC = pa.Codec("zstd", 1)
+_CODEC = pa.Codec("zstd", 3)
 
 
 def squeezed(data: bytes) -> bytes:

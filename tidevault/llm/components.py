@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidevault.session import work_dir
+from tidevault.sources.folders import Folder
+
+_noted = threading.local()
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The paths of the tables that are written meanwhile by this thread."""
+    before = getattr(_noted, "paths", None)
+    _noted.paths = []
+    try:
+        yield _noted.paths
+    finally:
+        _noted.paths = before
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove written tables that nothing reads any more."""
+    for path in paths:
+        Folder(spark, path).delete("")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again, which cuts the lineage."""
     path = work_dir(df.sparkSession, name)
+    if getattr(_noted, "paths", None) is not None:
+        _noted.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
