@@ -1,13 +1,14 @@
-"""Removal of repeated word windows, by suffix trees partitioned by prefixes.
+"""Removal of repeated word windows, by hashes partitioned by prefixes.
+
+No suffix tree is built (see the README): a group sorts the hashes of its windows.
 
 Every run of ``window`` words of a document is the beginning of a suffix. Suffixes are split
 by prefixes of variable length into groups that fit a task's memory: a first pass over the
 corpus counts the prefixes of two words (in 65,536 buckets); rare ones share a group, a
 frequent one is split by its prefixes of seven words. All suffixes with the same first
-``window`` words are in the same group. Of each group's tree only the nodes of that depth
-matter: the group sorts its suffixes by it, and every node that has more than one document
-answers with the least of them. Batches (``batches``) send each node once, however many
-documents have it.
+``window`` words are in the same group. The group sorts the
+windows' hashes, and every window that more than one document has is answered with the least
+of them. Batches (``batches``) send each window once, however many documents have it.
 
 Windows are known by 64-bit hashes: n different windows take each other for equal about
 n * n / 2**65 times, once in 6 billion windows.

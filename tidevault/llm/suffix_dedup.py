@@ -1,4 +1,6 @@
-"""Removal of long repeated byte strings, by merging shards' sorted suffixes.
+"""Removal of long repeated byte strings, by sorting suffixes at anchors anew in each part.
+
+No shard builds a Burrows-Wheeler transform and none are merged (see the README).
 
 Sorting every suffix of a corpus is not needed to find strings of 400 bytes that repeat.
 Each such string has one anchor: the least of its 32-byte grams, by hash. Only suffixes that
@@ -8,10 +10,10 @@ for about 185 of them.
 
 1. Batches count the anchors' grams over the corpus (``batches``); a gram that occurs once
    anchors nothing that repeats and goes no further.
-2. Each batch is a shard: it sorts its suffixes at the other anchors, with the bytes before
-   them, and sends them to the part of the gram. Equal ones of a batch go as one.
-3. A part merges the shards' sorted runs: all suffixes of a gram begin interleaved as one
-   bucket, and each iteration refines the interleave by the next eight bytes, until suffixes
+2. Each batch sends its suffixes at the other anchors, with the bytes before them, to the part
+   of the gram. Equal ones of a batch go as one.
+3. A part sorts them: all suffixes of a gram begin as one bucket, and each iteration parts the
+   buckets by the next eight bytes, until suffixes
    stand alone or end. Where a bucket breaks, the depth is the length of the common prefix of
    two neighbours. The same is done with the bytes before. A string with its anchor at
    offset o repeats if another suffix shares the o bytes before and the 400 - o bytes from the
@@ -140,10 +142,10 @@ class Anchored:
 
 
 def refine(start: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Merge sorted runs of strings by refining their interleave.
+    """Sort strings, bucket by bucket and eight bytes at a time.
 
     ``start`` gives each string's bucket, ``columns`` its bytes as big-endian numbers of eight.
-    Returns the merged order and, for each place, the bytes that the string there has in
+    Returns their order and, for each place, the bytes that the string there has in
     common with the one before it; -1 where a bucket of ``start`` begins.
     """
     order = np.argsort(start, kind="stable")
@@ -159,7 +161,7 @@ def refine(start: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if not len(active):
             break
         symbol = columns[order[active], d]
-        turn = np.lexsort((symbol, bucket))  # stable: what a shard has sorted stays so
+        turn = np.lexsort((symbol, bucket))  # stable
         order[active], symbol = order[active][turn], symbol[turn]
         apart = np.zeros(len(active), bool)
         apart[1:] = (bucket[1:] == bucket[:-1]) & (symbol[1:] != symbol[:-1])
