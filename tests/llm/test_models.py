@@ -5,7 +5,8 @@ import pytest
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
-from tidevault.llm.quality import descend, quality
+from tidevault.llm import quality as quality_module
+from tidevault.llm.quality import COST, descend, log_ratios, quality, train, vocabulary
 from tidevault.llm.batches import (
     ENTRIES,
     fetch,
@@ -86,6 +87,61 @@ def test_descent_separates():
     assert np.mean((np.array(margin) > 0) == (y == 1)) == 1
 
 
+def test_descent_ends_at_the_least_loss(monkeypatch):
+    """Where the loss is least its slope is 0: the weights are what the violated margins pull."""
+    monkeypatch.setattr(quality_module, "EPOCHS", 2000)
+    r = np.random.default_rng(9)
+    y = r.integers(0, 2, 40)
+    rows = [np.unique(r.integers(0, 30, 8)).astype(np.int32) for _ in y]
+    ratio = r.normal(size=30)
+    w = descend(rows, y, ratio)
+    x = np.zeros((40, 31))
+    for i, f in enumerate(rows):
+        x[i, f], x[i, -1] = ratio[f], 1
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    sign = np.where(y == 1, 1.0, -1.0)
+    cost = COST / np.where(y == 1, y.mean(), 1 - y.mean())
+    slack = np.maximum(0, 1 - sign * (x @ w))
+    assert np.abs(w - (2 * cost * sign * slack) @ x).max() < 0.02
+
+
+def plain_features(text):
+    """Words, word pairs and byte trigrams as they are, without hashes."""
+    t = (text or "").encode()
+    words = t.translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))).split()
+    pairs = set(zip(words, words[1:], strict=False))
+    return set(words) | pairs | {(t[i : i + 3],) for i in range(len(t) - 2)}
+
+
+def test_log_ratios_against_brute_force(spark, docs, odd_rows):
+    """More than 2^18 features, counted over all rows though the sample has a part of them."""
+    texts = [r.text for r in docs.select("text").collect()] + [t for _, t in odd_rows]
+    rows = [(0, i, t, i % 3 % 2) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "one int, doc_id long, text string, y int").repartition(5)
+    known = spark.sparkContext.broadcast(vocabulary(frame.where("doc_id % 4 <> 3")))
+    ratio = log_ratios(frame, known)
+    own = [plain_features(t) for t in texts]
+    sampled = set().union(*(f for i, f in enumerate(own) if i % 4 != 3))
+    assert len(known.value) == len(ratio) == len(sampled) > 1 << 18
+    counts = {f: [1, 1] for f in sampled}
+    for f, (*_, y) in zip(own, rows, strict=True):
+        for x in f & sampled:
+            counts[x][y] += 1
+    total = np.array(list(counts.values())).sum(axis=0)
+    want = {f: np.log(n[1] / total[1] * total[0] / n[0]) for f, n in counts.items()}
+    for t, f in list(zip(texts, own, strict=True))[::25]:
+        found, edges = known.value.features([b"", (t or "").encode()])
+        assert edges[1] == 0 and len(set(found.tolist())) == len(found)
+        np.testing.assert_allclose(np.sort(ratio[found]), np.sort([want[x] for x in f & sampled]), rtol=1e-4, atol=1e-5)
+
+
+def test_a_sample_of_long_texts_is_smaller(spark, docs, labels, monkeypatch):
+    monkeypatch.setattr(quality_module, "SAMPLE_BYTES", 60_000)
+    known, ratio, w, _ = train(docs, labels)
+    assert 0 < len(known) < 60_000 * 2 and len(ratio) == len(known) == len(w) - 1
+    assert quality(docs, labels).count() == docs.count()
+
+
 def test_no_pairs_or_words_share_an_entry(spark):
     """More words and pairs than 2^18 and 2^20, each with the counts that it has by itself."""
     r = np.random.default_rng(5)

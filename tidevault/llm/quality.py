@@ -1,10 +1,11 @@
 """Text quality by naive Bayes support vectors.
 
-Features are indicators of word n-grams (one and two words) and of byte trigrams, hashed
-into a table of fixed size. Each is scaled by the log ratio of its smoothed counts in the two
-classes, counted over all labelled rows that may teach. On a bounded sample of them a linear
-model with squared hinge loss is fitted by dual coordinate descent; the sample also gives
-the margins' scale as a probability.
+Features are indicators of word n-grams (one and two words, by their 64-bit hashes) and of byte
+trigrams. The vocabulary is all that a bounded sample of the labelled rows has: the linear model
+is fitted on that sample, and features that it lacks would have no weight. No feature shares a
+place with another. Each is scaled by the log ratio of its smoothed counts in the two classes,
+counted over all labelled rows that may teach. The model has squared hinge loss and is fitted
+by dual coordinate descent; the sample also gives the margins' scale as a probability.
 """
 
 from __future__ import annotations
@@ -13,45 +14,118 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidevault.llm.batches import sliced, tally, texts_of
+from tidevault.llm.components import written
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, runs_in_texts, words_of
 
-BITS = 18
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
-MAX_FEATURES = 20_000_000  # of all sampled rows together
+SAMPLE_BYTES = 32 << 20  # text of all sampled rows together
+_SLICE = 1 << 20  # entries of the vocabulary in one row
+_TEXT_BYTES = 4 << 20
 
 
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct features of all texts in a row, and where each text's begin and end."""
+def grams(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Words, word pairs and byte trigrams of the texts, and where each text's begin and end."""
     words, edges = words_of([t.lower() for t in texts])
-    one = np.repeat(np.arange(len(texts)), np.diff(edges))
-    two, two_text = runs_in_texts(words, edges, 2)
-    joined = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint32)
-    ends = np.cumsum([0] + [len(t) for t in texts])
-    owner = np.repeat(np.arange(len(texts)), np.diff(ends))
-    tri = (joined[:-2] << 16 | joined[1:-1] << 8 | joined[2:])[owner[:-2] == owner[2:]] if len(joined) > 2 else joined[:0]
-    tri_text = owner[:-2][owner[:-2] == owner[2:]] if len(joined) > 2 else owner[:0]
-    hashes = np.concatenate((mix(words), two, mix(tri.astype(np.uint64) + np.uint64(1 << 40))))
-    text = np.concatenate((one, two_text, tri_text))
-    keys = np.unique((text.astype(np.int64) << BITS) + (hashes >> np.uint64(64 - BITS)).astype(np.int64))
-    return (keys & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(keys, np.arange(len(texts) + 1) << BITS)
-
-
-def log_ratios(rows: DataFrame) -> np.ndarray:
+    two, owner = runs_in_texts(words, edges, 2)
+    every = np.arange(len(texts) + 1)
+    joined = np.frombuffer(b"".join(texts), np.uint8).astype(np.int32)
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    at = np.flatnonzero(text[:-2] == text[2:])
+    tri = joined[at] << 16 | joined[at + 1] << 8 | joined[at + 2]
+    return [(mix(words), edges), (two, np.searchsorted(owner, every)), (tri, np.searchsorted(text[at], every))]
+
+
+class Vocabulary:
+    """Numbers of the features: first words and pairs by their hashes, then trigrams."""
+
+    def __init__(self, hashes: np.ndarray, trigrams: np.ndarray):
+        self.hashes, self.trigrams = hashes, trigrams
+        self._trigram = None  # made in the worker, not sent
+
+    def __len__(self) -> int:
+        return len(self.hashes) + len(self.trigrams)
+
+    def _hashed(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(keys), -1, np.int32)
+        own, which = np.unique(keys, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == own, at, -1).astype(np.int32)[which]
+
+    def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct known features of all texts in a row, and where each text's begin and end."""
+        if self._trigram is None:
+            self._trigram = np.full(1 << 24, -1, np.int32)
+            self._trigram[self.trigrams] = np.arange(len(self.hashes), len(self), dtype=np.int32)
+        (one, one_edges), (two, two_edges), (tri, tri_edges) = grams(texts)
+        both = self._hashed(np.concatenate((one, two)))
+        one, two, tri = both[: len(one)], both[len(one) :], self._trigram[tri]
+        place = np.empty(len(self), np.int32)
+        out = [np.empty(0, np.int32)]
+        for i in range(len(texts)):
+            found = np.concatenate([x[e[i] : e[i + 1]] for x, e in ((one, one_edges), (two, two_edges), (tri, tri_edges))])
+            found = found[found >= 0]
+            order = np.arange(len(found), dtype=np.int32)
+            place[found] = order  # of equal ones the last stays
+            out.append(found[place[found] == order])
+        return np.concatenate(out), np.cumsum([len(f) for f in out])
+
+    def __getstate__(self):
+        return {"hashes": self.hashes, "trigrams": self.trigrams, "_trigram": None}
+
+
+def _chunked(texts: list[bytes]) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t) > _TEXT_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
+def vocabulary(chosen: DataFrame) -> Vocabulary:
+    """All features of the sampled texts, gathered in one task."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        hashes, trigrams = np.empty(0, np.uint64), np.empty(0, np.int32)
+        for texts in _chunked(texts_of(table)):
+            (one, _), (two, _), (tri, _) = grams(texts)
+            hashes = np.union1d(hashes, np.concatenate((np.unique(one), np.unique(two))))
+            trigrams = np.union1d(trigrams, tri)
+        rows = [(kind, x[i : i + _SLICE].tobytes()) for kind, x in enumerate((hashes, trigrams)) for i in range(0, len(x), _SLICE)]
+        number = pa.array(range(len(rows)), pa.int32())
+        kinds, data = zip(*rows, strict=True) if rows else ((), ())
+        return pa.table({"number": number, "kind": pa.array(kinds, pa.int32()), "data": pa.array(data, pa.binary())})
+
+    rows = chosen.groupBy("one").applyInArrow(gather, "number int, kind int, data binary").collect()
+    rows.sort(key=lambda r: r["number"])
+    joined = (b"".join(r["data"] for r in rows if r["kind"] == kind) for kind in (0, 1))
+    return Vocabulary(*(np.frombuffer(x, t) for x, t in zip(joined, (np.uint64, np.int32), strict=True)))
+
+
+def log_ratios(rows: DataFrame, known: Broadcast) -> np.ndarray:
     """Log ratio of each feature's smoothed counts in class 1 and class 0, over all rows."""
+    size = len(known.value)
 
     def count(b: pa.RecordBatch) -> np.ndarray:
-        found, edges = features(texts_of(b))
+        found, edges = known.value.features(texts_of(b))
         y = np.repeat(b["y"].to_numpy(), np.diff(edges))
-        return np.stack([np.bincount(found[y == c], minlength=1 << BITS) for c in (0, 1)])
+        return np.stack([np.bincount(found[y == c], minlength=size) for c in (0, 1)])
 
-    counts = tally(rows, count, (2, 1 << BITS)) + SMOOTHING
+    if not size:
+        return np.empty(0, np.float32)
+    counts = tally(rows, count, (2, size)) + SMOOTHING
     share = counts / counts.sum(axis=1, keepdims=True)
     return np.log(share[1] / share[0]).astype(np.float32)
 
@@ -88,71 +162,79 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> np.ndar
 def margins(found: np.ndarray, edges: np.ndarray, ratio: np.ndarray, w: np.ndarray) -> np.ndarray:
     """What the model gives each row; a row without features gets the constant alone."""
     r = ratio[found].astype(np.float64)
-    both = np.concatenate(([0.0], np.cumsum(r * w[found]))), np.concatenate(([0.0], np.cumsum(r * r)))
-    dot, square = (t[edges[1:]] - t[edges[:-1]] for t in both)
+    n = len(edges) - 1
+    row = np.repeat(np.arange(n), np.diff(edges))
+    dot, square = np.bincount(row, r * w[found], n), np.bincount(row, r * r, n)
     return (dot + w[-1]) / np.sqrt(square + 1)
 
 
+def _sample(rows: DataFrame, labelled: int, sample: int) -> DataFrame:
+    """``one, doc_id, text, y`` of about ``sample`` rows by a hash of doc_id, fewer where texts are long."""
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    most = int(min(1.0, sample / max(1, labelled)) * (1 << 30))
+    chosen = rows.where(hashed < most)
+    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    while size > SAMPLE_BYTES:
+        most = min(most - 1, int(most * SAMPLE_BYTES / size))
+        chosen = rows.where(hashed < most)
+        size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return written(chosen.select(F.lit(0).alias("one"), "doc_id", "text", "y"), "quality-sample")
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 8192):
-    """Log ratios, weights and the probability's scale.
+    """Vocabulary, log ratios, weights (the constant last) and the probability's scale.
 
-    Ratios are counted over all rows that may teach; the model is fitted in one task on about
-    ``sample`` of them, chosen by a hash of doc_id, and on no more than ``MAX_FEATURES``.
+    Ratios are counted over all rows that may teach; the vocabulary and the model come from about
+    ``sample`` of them, chosen by a hash of doc_id, with no more than ``SAMPLE_BYTES`` of text, and are
+    made in one task.
     """
     rows = taught(docs, labels, label)
-    ratio = log_ratios(rows)
-    share = min(1.0, sample / max(1, labels.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
-            found, edges = features(texts_of(b))
-            packed = [found[x:z].tobytes() for x, z in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * b.num_rows, pa.int32()), b["doc_id"].cast(pa.int64()), b["y"], pa.array(packed, pa.binary())],
-                ["one", "doc_id", "y", "found"],
-            )
+    chosen = _sample(rows, labels.count(), sample)
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary(chosen))  # of bounded size
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(rows, known))
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        found = [np.frombuffer(x, np.int32) for x in table["found"].to_pylist()]
-        kept = np.cumsum([len(f) for f in found]) <= MAX_FEATURES
-        kept[0] = True
-        found, y = [f for f, k in zip(found, kept, strict=True) if k], table["y"].to_numpy()[kept]
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        ratio, y, found = ratios.value, table["y"].to_numpy(), []
+        for texts in _chunked(texts_of(table)):
+            all_found, edges = known.value.features(texts)
+            found += [all_found[x:z] for x, z in zip(edges[:-1], edges[1:], strict=True)]
         half = np.arange(len(y)) % 2 == 0
-        # The scale comes from margins of rows that the model at hand has not seen.
+        # The scale comes from margins of rows that the model at hand has not seen, by its features.
         seen = np.empty(len(y))
         for part in (half, ~half):
-            w = descend([f for f, p in zip(found, part, strict=True) if p], y[part], ratio) if part.any() else None
+            mine = [f for f, p in zip(found, part, strict=True) if p]
             rest = [f for f, p in zip(found, part, strict=True) if not p]
-            if w is not None and rest:
-                edges = np.cumsum([0] + [len(f) for f in rest])
-                seen[~part] = margins(np.concatenate(rest), edges, ratio, w)
+            if mine and rest:
+                w = descend(mine, y[part], ratio)
+                has = np.zeros(len(ratio), bool)
+                has[np.concatenate(mine)] = True
+                rest = [f[has[f]] for f in rest]
+                seen[~part] = margins(np.concatenate(rest), np.cumsum([0] + [len(f) for f in rest]), ratio, w)
         scale = logistic(seen[:, None], y, 1e-3) if len(y) > 1 else np.array([1.0, 0.0])
         w = descend(found, y, ratio)
         return pa.table({"w": pa.array([w.tobytes()]), "scale": pa.array([scale.tobytes()])})
 
-    kinds = "one int, doc_id long, y int, found binary"
-    model = chosen.mapInArrow(extract, kinds).groupBy("one").applyInArrow(fit, "w binary, scale binary").collect()
+    model = chosen.groupBy("one").applyInArrow(fit, "w binary, scale binary").collect()
     if not model:
-        return ratio, np.zeros(len(ratio) + 1), np.array([1.0, 0.0])
-    return ratio, np.frombuffer(model[0]["w"]), np.frombuffer(model[0]["scale"])
+        return known.value, ratios.value, np.zeros(len(known.value) + 1), np.array([1.0, 0.0])
+    return known.value, ratios.value, np.frombuffer(model[0]["w"]), np.frombuffer(model[0]["scale"])
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row.
 
     Labels teach only through rows whose crc32(doc_id as text) is not divisible by 5; scores
-    depend on the text alone. A null or empty text has no features and gets the score of
+    depend on the text alone. A null or empty text, or one without known features, gets the score of
     the constant. Repeated rows repeat, a null doc_id stays null and counts as the empty
     text in ``held_out``; without any label all scores are 0.5. Other columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels))  # of fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels))  # of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio, w, scale = sent.value
+        known, ratio, w, scale = sent.value
         for b in sliced(batches):
-            found, edges = features(texts_of(b))
+            found, edges = known.features(texts_of(b))
             score = chance(margins(found, edges, ratio, w)[:, None], scale)
             predicted = pa.array((score >= threshold).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
