@@ -202,10 +202,62 @@ def test_leaks_are_found_and_clean_texts_kept(spark, items, odd_docs, no_docs):
 def test_several_indexes_are_one(items, real_docs, monkeypatch):
     from tidevault.llm import decontaminate
 
-    want = {(x.doc_id, x.item_id) for x in leaks(real_docs, items).collect()}
+    want = multiset(leaks(real_docs, items).collect())
     monkeypatch.setattr(decontaminate, "SHARD_BYTES", 4000)
-    # Weights depend on the index's items; copies of whole items are found by any.
-    assert want and {(x.doc_id, x.item_id) for x in leaks(real_docs, items).collect()} == want
+    assert want and multiset(leaks(real_docs, items).collect()) == want
+    found = {r.doc_id for r in leaks(real_docs, items).collect()}
+    assert {r.doc_id for r in clean(real_docs, items).collect()} == {r.doc_id for r in real_docs.collect()} - found
+
+
+def plain_leaks(docs, items, threshold, verify):
+    """The rows by dictionaries of words, passage by passage and item by item."""
+    cut = lambda t: [w.encode() for w in (t or "").lower().split()] if (t or "").isascii() else (t or "").encode().lower().split()
+    own = [(i, cut(t)) for i, t in {(r.item_id, r.text) for r in items if r.item_id is not None and r.text}]
+    own = [(i, w) for i, w in own if w]
+    df = Counter(w for _, words in own for w in set(words))
+    mean, longest = sum(len(w) for _, w in own) / len(own), max(len(w) for _, w in own)
+    weights = []
+    for _, words in own:
+        w = {
+            t: np.log(1 + (len(own) - df[t] + 0.5) / (df[t] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(words) / mean))
+            for t, n in Counter(words).items()
+        }
+        weights.append({t: x / sum(w.values()) for t, x in w.items()})
+
+    def shared(part, passage):
+        k = min(3, len(part))
+        runs = lambda x: [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]
+        return np.mean([r in set(runs(passage)) for r in runs(part)]) if k else 1.0
+
+    out = []
+    for d in docs:
+        words, best = cut(d.text), {}
+        for begin in range(0, max(1, len(words)), longest):
+            passage = words[begin : begin + 2 * longest]
+            there = set(passage)
+            for (i, item), w in zip(own, weights, strict=True):
+                score = sum(x for t, x in w.items() if t in there)
+                if score >= threshold:
+                    at = max(1, len(item) * 2 // 3)
+                    q, a = shared(item[:at], passage), shared(item[at:], passage)
+                    if q >= verify and a >= verify:
+                        best.setdefault(i, []).append((round(score, 6), round(q, 6), round(a, 6), -begin))
+        out += [(d.doc_id, i, *max(x)) for i, x in best.items()]
+    return out
+
+
+def test_leaks_against_brute_force(spark, real_docs, items):
+    some = items.collect()
+    r = random.Random(4)
+    rows = [(d.doc_id, d.text) for d in real_docs.collect()]
+    for i, item in enumerate(some[:30]):  # copies with words left out, some too many
+        words = item.text.split()
+        rows.append((10**6 + i, "x " * i + " ".join(w for w in words if r.random() > i / 90) + " y" * 300))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = leaks(docs, items).collect()
+    got = [(x.doc_id, x.item_id, *(round(v, 6) for v in (x.score, x.question_overlap, x.answer_overlap)), -x.first_word) for x in got]
+    want = plain_leaks(docs.collect(), some, 0.7, 0.5)
+    assert sorted(got) == sorted(want) and 10 < len([x for x in got if x[0] >= 10**6]) < 30
 
 
 def test_best_passage_of_a_long_text():
