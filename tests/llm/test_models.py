@@ -119,7 +119,7 @@ def test_log_ratios_against_brute_force(spark, docs, odd_rows):
     rows = [(0, i, t, i % 3 % 2) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "one int, doc_id long, text string, y int").repartition(5)
     known = spark.sparkContext.broadcast(vocabulary(frame.where("doc_id % 4 <> 3")))
-    ratio = log_ratios(frame, known)
+    ratio = log_ratios(frame, known, len(known.value))
     own = [plain_features(t) for t in texts]
     sampled = set().union(*(f for i, f in enumerate(own) if i % 4 != 3))
     assert len(known.value) == len(ratio) == len(sampled) > 1 << 18
@@ -138,6 +138,7 @@ def test_log_ratios_against_brute_force(spark, docs, odd_rows):
 def test_a_sample_of_long_texts_is_smaller(spark, docs, labels, monkeypatch):
     monkeypatch.setattr(quality_module, "SAMPLE_BYTES", 60_000)
     known, ratio, w, _ = train(docs, labels)
+    known, ratio, w = known.value, ratio.value, w.value
     assert 0 < len(known) < 60_000 * 2 and len(ratio) == len(known) == len(w) - 1
     assert quality(docs, labels).count() == docs.count()
 

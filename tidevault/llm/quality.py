@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidevault.llm.batches import sliced, tally, texts_of
+from tidevault.llm.batches import sliced, texts_of
 from tidevault.llm.components import written
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, runs_in_texts, words_of
@@ -27,7 +27,7 @@ SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
 SAMPLE_BYTES = 32 << 20  # text of all sampled rows together
-_SLICE = 1 << 20  # entries of the vocabulary in one row
+_SLICE = 1 << 18  # entries of the vocabulary in one row
 _TEXT_BYTES = 4 << 20
 
 
@@ -114,20 +114,42 @@ def vocabulary(chosen: DataFrame) -> Vocabulary:
     return Vocabulary(*(np.frombuffer(x, t) for x, t in zip(joined, (np.uint64, np.int32), strict=True)))
 
 
-def log_ratios(rows: DataFrame, known: Broadcast) -> np.ndarray:
-    """Log ratio of each feature's smoothed counts in class 1 and class 0, over all rows."""
-    size = len(known.value)
+def log_ratios(rows: DataFrame, known: Broadcast, size: int) -> np.ndarray:
+    """Log ratio of each feature's smoothed counts in class 1 and class 0, over all rows.
 
-    def count(b: pa.RecordBatch) -> np.ndarray:
-        found, edges = known.value.features(texts_of(b))
-        y = np.repeat(b["y"].to_numpy(), np.diff(edges))
-        return np.stack([np.bincount(found[y == c], minlength=size) for c in (0, 1)])
+    Tasks send the counts that are not 0, Spark adds them up, and the driver gets four bytes for
+    each of the vocabulary's ``size`` features.
+    """
 
-    if not size:
-        return np.empty(0, np.float32)
-    counts = tally(rows, count, (2, size)) + SMOOTHING
-    share = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(share[1] / share[0]).astype(np.float32)
+    def partial(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, size), np.int64)
+        for b in sliced(records):
+            found, edges = known.value.features(texts_of(b))
+            y = np.repeat(b["y"].to_numpy(), np.diff(edges))
+            for c in (0, 1):
+                total[c] += np.bincount(found[y == c], minlength=size)
+        place = np.flatnonzero(total.any(axis=0))
+        for i in range(0, len(place), _SLICE):
+            at = place[i : i + _SLICE]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at.astype(np.int32), *total[:, at])], ["place", "n0", "n1"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        piece = table["piece"][0].as_py()
+        n0, n1 = (table[c].to_numpy() for c in ("n0", "n1"))
+        logs = np.zeros(min(_SLICE, size - piece * _SLICE), np.float32)
+        logs[table["place"].to_numpy() - piece * _SLICE] = np.log((n1 + SMOOTHING) / (n0 + SMOOTHING))
+        out = {"piece": [piece], "n0": [int(n0.sum())], "n1": [int(n1.sum())], "logs": [logs.tobytes()]}
+        return pa.table(out, pa.schema([("piece", pa.int32()), ("n0", pa.int64()), ("n1", pa.int64()), ("logs", pa.binary())]))
+
+    sums = rows.mapInArrow(partial, "place int, n0 long, n1 long").groupBy("place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    pieces = sums.withColumn("piece", F.floor(F.col("place") / _SLICE).cast("int")).groupBy("piece")
+    found = pieces.applyInArrow(pack, "piece int, n0 long, n1 long, logs binary").collect()
+    out = np.zeros(size, np.float32)
+    for r in found:
+        logs = np.frombuffer(r["logs"], np.float32)
+        out[r["piece"] * _SLICE : r["piece"] * _SLICE + len(logs)] = logs
+    totals = [sum(r[c] for r in found) + SMOOTHING * size for c in ("n0", "n1")]
+    return out + np.float32(np.log(totals[0] / totals[1])) if size else out
 
 
 def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> np.ndarray:
@@ -182,7 +204,8 @@ def _sample(rows: DataFrame, labelled: int, sample: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 8192):
-    """Vocabulary, log ratios, weights (the constant last) and the probability's scale.
+    """Vocabulary and log ratios, as sent to the workers, weights (the constant last) and the
+    probability's scale.
 
     Ratios are counted over all rows that may teach; the vocabulary and the model come from about
     ``sample`` of them, chosen by a hash of doc_id, with no more than ``SAMPLE_BYTES`` of text, and are
@@ -190,8 +213,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     """
     rows = taught(docs, labels, label)
     chosen = _sample(rows, labels.count(), sample)
-    known = docs.sparkSession.sparkContext.broadcast(vocabulary(chosen))  # of bounded size
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(rows, known))
+    send = docs.sparkSession.sparkContext.broadcast  # all of bounded size
+    words = vocabulary(chosen)
+    size, known = len(words), send(words)
+    ratios = send(log_ratios(rows, known, size))
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -216,9 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         return pa.table({"w": pa.array([w.tobytes()]), "scale": pa.array([scale.tobytes()])})
 
     model = chosen.groupBy("one").applyInArrow(fit, "w binary, scale binary").collect()
-    if not model:
-        return known.value, ratios.value, np.zeros(len(known.value) + 1), np.array([1.0, 0.0])
-    return known.value, ratios.value, np.frombuffer(model[0]["w"]), np.frombuffer(model[0]["scale"])
+    w, scale = (np.frombuffer(x) for x in model[0]) if model else (np.zeros(size + 1), np.array([1.0, 0.0]))
+    return known, ratios, send(w), scale
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -229,13 +253,12 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataF
     the constant. Repeated rows repeat, a null doc_id stays null and counts as the empty
     text in ``held_out``; without any label all scores are 0.5. Other columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels))  # of bounded size
+    known, ratio, w, scale = train(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ratio, w, scale = sent.value
         for b in sliced(batches):
-            found, edges = known.features(texts_of(b))
-            score = chance(margins(found, edges, ratio, w)[:, None], scale)
+            found, edges = known.value.features(texts_of(b))
+            score = chance(margins(found, edges, ratio.value, w.value)[:, None], scale)
             predicted = pa.array((score >= threshold).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].cast(pa.int64()), b["held_out"], pa.array(score), predicted],
