@@ -140,6 +140,37 @@ def test_frequent_prefixes_are_split_and_rare_ones_share():
     assert first.tolist() == [0, 0, 1, 4, 4, 5]
 
 
+def test_nodes_are_where_suffixes_begin_alike():
+    r = np.random.default_rng(4)
+    words = r.integers(0, 3, 2000).astype(np.uint32)
+    starts = r.permutation(1990)[:1500]
+    order, node = substring_dedup.deep_nodes(words, starts, 7)
+    found = [tuple(words[starts[i] : starts[i] + 7].tolist()) for i in order]
+    assert found == sorted(found)
+    assert [node[i] == node[i - 1] for i in range(1, len(found))] == [
+        found[i] == found[i - 1] for i in range(1, len(found))
+    ]
+
+
+def test_equal_windows_go_to_one_part_and_runs_hold_all_windows(odd_rows):
+    texts = list({(t or "").encode() for _, t in odd_rows})
+    own = substring_dedup.Windows(texts, 13)
+    anchors = {}
+    for h, at, anchor in zip(own.hashes.tolist(), own.at.tolist(), own.anchor.tolist(), strict=True):
+        assert at <= anchor <= at + 11
+        assert anchors.setdefault(h, anchor - at) == anchor - at
+    for size in (1_500_000, 30):
+        first, splits = groups_for(np.bincount(own.bucket, minlength=substring_dedup.BUCKETS), size)
+        part, begin, n, _ = own.runs(first, splits, np.arange(len(texts)))
+        sent = {}
+        for p, b, m in zip(part.tolist(), begin.tolist(), n.tolist(), strict=True):
+            assert own.text[b] == own.text[b + m - 1] and own.at[b + m - 1] == own.at[b] + m - 1
+            for h in own.hashes[b : b + m].tolist():
+                assert sent.setdefault(h, p) == p
+        assert set(sent) == set(own.hashes.tolist())
+        assert len(begin) < len(sent) / 2 or size == 30
+
+
 @pytest.fixture(scope="module")
 def items(spark):
     return spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
