@@ -16,8 +16,9 @@ enough; the leaves below one are the places of one repeated window, and those in
 the least document are answered. A maximal repeat is a chain of such windows, which the
 documents' batch joins where they overlap.
 
-Words are known by 64-bit hashes, windows by their words; only inside a batch (``batches``) are
-windows and runs known by 64-bit hashes of their own.
+A group knows words by 40-bit hashes and windows by their words: two windows that differ in one
+word only are taken for equal once in 10**12 times, in more words hardly ever. Inside a batch
+(``batches``) windows and runs are known by 64-bit hashes of their own.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ from tidevault.llm.words import mix, shingles, words_of
 SHORT = 2  # words of an anchor
 BUCKETS = 1 << 16
 GROUP = 1_500_000  # suffixes of a group
+_LOW = np.uint64(24)  # bits of a word's hash that stay at home
 _NONE = np.iinfo(np.int64).max
 
 
@@ -233,7 +235,7 @@ def without_repeated_windows(docs: DataFrame, window: int = 13, with_text: bool
             own = Windows(texts, window)
             part, begin, size, owner = own.runs(first, splits, owners)
             edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-            known, code = np.unique(own.words, return_inverse=True)
+            known, code = np.unique(own.words >> _LOW, return_inverse=True)
             number = np.empty(len(known), np.int64)
             out = {"part": [], "batch": [], "keys": [], "vals": []}
             for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -267,8 +269,7 @@ def without_repeated_windows(docs: DataFrame, window: int = 13, with_text: bool
         lengths = size + window - 1
         starts = _ranges(np.cumsum(lengths) - lengths, size)
         order, node = deep_nodes(words, starts, window)
-        least = np.full(int(node[-1]) + 1, _NONE)
-        np.minimum.at(least, node, ids[order])
+        least = np.minimum.reduceat(ids[order], np.flatnonzero(np.diff(node, prepend=-1)))
         other = np.empty(len(starts), np.int64)
         other[order] = least[node]
         out = {"batch": [], "docs": [], "part": [], "keys": [], "vals": []}
