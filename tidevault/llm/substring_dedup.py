@@ -16,8 +16,8 @@ enough; the leaves below one are the places of one repeated window, and those in
 the least document are answered. A maximal repeat is a chain of such windows, which the
 documents' batch joins where they overlap.
 
-A group knows words by 40-bit hashes and windows by their words: two windows that differ in one
-word only are taken for equal once in 10**12 times, in more words hardly ever. Inside a batch
+A group knows words by 36-bit hashes and windows by their words: two windows that differ in one
+word only are taken for equal once in 7 * 10**10 times, in more words hardly ever. Inside a batch
 (``batches``) windows and runs are known by 64-bit hashes of their own.
 """
 
@@ -53,7 +53,7 @@ from tidevault.llm.words import mix, shingles, words_of
 SHORT = 2  # words of an anchor
 BUCKETS = 1 << 16
 GROUP = 1_500_000  # suffixes of a group
-_LOW = np.uint64(24)  # bits of a word's hash that stay at home
+_LOW = np.uint64(28)  # bits of a word's hash that stay at home
 _NONE = np.iinfo(np.int64).max
 
 
