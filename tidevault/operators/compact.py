@@ -82,11 +82,13 @@ class _Staging:
         self.options = _encodings(table)
         self.told: list[Observation] = []
 
-    def add(self, rows: DataFrame) -> None:
+    def add(self, rows: DataFrame, rows_per_file: int = 0) -> None:
+        """Write rows; a task with more than ``rows_per_file``, if given, makes several files."""
         if self.verify == "hashes":
             self.told.append(Observation())
             rows = rows.observe(self.told[-1], F.count(F.lit(1)).alias("n"), _hash_sum(self.table).alias("h"))
-        self.table.stage(rows, self.name, "append", self.options)
+        cut = {"maxRecordsPerFile": str(rows_per_file)} if rows_per_file else {}
+        self.table.stage(rows, self.name, "append", self.options | cut)
 
     def put_in_place(
         self, before: dict[int, int], seen: dict[int, set[str]], kept: dict[int, list[str]] | None = None
@@ -113,8 +115,21 @@ class _Staging:
         tidy(table)
 
 
-def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: int) -> None:
-    """Rewrite whole chunks."""
+def _range_tasks(table: ChunkedTable, size: int, target: int) -> int:
+    """How many tasks cut chunks of a size in all into files of the target size.
+
+    Every task sends its outcome, and every range a sample of its keys, to the driver. So
+    files far smaller than ``TARGET_FILE_BYTES`` are made many to a task, as long as all cores
+    have work: the driver's share follows the bytes, not the number of files.
+    """
+    enough = max(2 * table.spark.sparkContext.defaultParallelism, -(-size // TARGET_FILE_BYTES))
+    return min(-(-size // target), enough)
+
+
+def _rewrite(
+    table: ChunkedTable, sizes: dict[int, int], n_rows: dict[int, int], verify: str, target: int
+) -> None:
+    """Rewrite whole chunks, of these sizes and numbers of rows."""
     staging = _Staging(table, verify)
     small = [i for i, size in sizes.items() if size <= target]
     large = [i for i, size in sizes.items() if size > target]
@@ -134,12 +149,14 @@ def _rewrite(table: ChunkedTable, sizes: dict[int, int], verify: str, target: in
         # Ranges of (chunk, segment, order) cut a chunk into files of the target size
         # whatever its share of the data. The row's own position breaks ties, so
         # neither one busy segment nor a mass of equal rows can fill one task.
-        n = -(-sum(sizes[i] for i in large) // target)
+        size = sum(sizes[i] for i in large)
+        n, files = _range_tasks(table, size, target), -(-size // target)
+        per_file = -(-sum(n_rows[i] for i in large) // files) if n < files else 0
         rows = live.where(F.col("chunk_id").isin(large)).select(
             "*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tie")
         )
         rows = rows.drop("load").repartitionByRange(n, "chunk_id", *order, "_tie")
-        staging.add(rows.sortWithinPartitions("chunk_id", *order).drop("_tie"))
+        staging.add(rows.sortWithinPartitions("chunk_id", *order).drop("_tie"), per_file)
     # One row per chunk comes to the driver; the counts are in the files' footers.
     counts = fingerprint(table, live, False).collect() if verify != "off" else []
     before = {r["chunk_id"]: r["n_rows"] for r in counts} or dict.fromkeys(sizes, 0)
@@ -244,10 +261,11 @@ def compress_chunks(
     state = table.chunks(ids).where("NOT is_compressed OR overflow_rows > 0")
     state = [r.asDict() for r in state.collect()]  # one row per chunk
     sizes = {r["chunk_id"]: r["bytes"] for r in state}
+    n_rows = {r["chunk_id"]: r["n_rows"] for r in state}
     overflowing = [r["chunk_id"] for r in state if r["overflow_rows"]]
     merged = set(_merge_overflow(table, overflowing, verify, target_file_bytes) if overflowing else [])
     for group in _passes({i: size for i, size in sizes.items() if i not in merged}):
-        _rewrite(table, {i: sizes[i] for i in group}, verify, target_file_bytes)
+        _rewrite(table, {i: sizes[i] for i in group}, n_rows, verify, target_file_bytes)
     before = table.spark.createDataFrame(
         [(r["chunk_id"], r["n_rows"], r["n_files"], r["bytes"]) for r in state],
         "chunk_id long, rows_before long, files_before long, bytes_before long",
