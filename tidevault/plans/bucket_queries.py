@@ -25,7 +25,7 @@ from tidevault.plans.registry import (
     shared_table,
     table,
 )
-from tidevault.sources.generate import time_series
+from tidevault.sources.generate import SENSOR_NUMBER, SENSORS, telemetry_for, time_series
 
 
 
@@ -325,7 +325,41 @@ def readable_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pretty_bytes(size).alias("size"))
 
 
-# -- telemetry in the lab's two grains: hourly, and 5-second steps in small chunks ---------------
+# -- telemetry: ten sensors of one vehicle per customer, hourly ---------------------
+
+
+def _sensor_sql(name: str, car: str, step: str) -> str:
+    lo, n, _ = SENSORS[name]
+    k = SENSOR_NUMBER[name]
+    h = f"((({car}) * 73856093 + ({step}) * 19349663 + {k * 83492791}) % 1000003)"
+    return f"({lo} + ((({h} * {h} + {k}) % 1000003) * {n}) // 1000003)"
+
+
+def _fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("auto_id"))
+
+
+def _totals() -> list:
+    return [
+        F.sum((F.col(name) * F.lit(scale)).cast("long")).alias(name)
+        for name, (_, _, scale) in SENSORS.items()
+    ]
+
+
+@query(
+    "SELECT TIMESTAMP '2026-01-01 00:00:00' + s * INTERVAL '1 hour' AS ts, count(*) AS lecturas, "
+    + ", ".join(
+        f"CAST(sum({_sensor_sql(n, 'c_custkey', 's')}) AS BIGINT) AS {n}" for n in SENSORS
+    )
+    + " FROM customer, (SELECT unnest(generate_series(0, 47)) AS s) GROUP BY 1"
+)
+def telemetry_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = telemetry_for(_fleet(spark, sf_dir), "2026-01-01", 48, "1 hour")
+    out = rows.groupBy(F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return out.agg(_lecturas().alias("lecturas"), *_totals())
+
+
+# -- readings in the lab's two grains: hourly, and 5-second steps in small chunks -----------------
 
 
 @query(
@@ -334,7 +368,7 @@ def readable_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
           CAST(sum(revoluciones) AS BIGINT) AS revoluciones
         FROM tele GROUP BY 1"""
 )
-def telemetry_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = {
         "lecturas": _lecturas(),
         "velocidad": F.sum((F.col("velocidad") * 100).cast("long")),
