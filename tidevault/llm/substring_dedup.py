@@ -141,24 +141,30 @@ def groups_for(counts: np.ndarray, size: int = GROUP) -> tuple[np.ndarray, np.nd
 def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Sort the suffixes of ``words`` at ``starts`` by ``depth`` words: their order and nodes.
 
-    ``words`` are small numbers. A node is where neighbours have ``depth`` words in common; a
+    ``words`` are small numbers, of 32 bits at most. A node is where neighbours have ``depth`` words in common; a
     suffix that shares them with no other is a leaf, in a node of its own.
     """
     if not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     bits = max(1, int(words.max()).bit_length())
-    columns = []
-    for j in range(0, depth, 64 // bits):
-        column = np.zeros(len(starts), np.uint64)
-        for i in range(j, min(j + 64 // bits, depth)):
-            column = column << np.uint64(bits) | words[starts + i].astype(np.uint64)
-        columns.append(column)
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
+    order, new = np.arange(len(starts)), np.zeros(len(starts), bool)
     new[0] = True
-    for column in columns:  # the common prefix of two neighbours ends in the first column that differs
-        sorted_ = column[order]
-        new[1:] |= sorted_[1:] != sorted_[:-1]
+    open_, done = order.copy(), 0
+    while done < depth and len(open_):
+        # Suffixes that agree so far are sorted by as many more words as fit beside their number.
+        group = np.cumsum(new[open_]) - 1
+        more = min((64 - int(group[-1]).bit_length()) // bits, depth - done)
+        mine = order[open_]
+        key, at = group.astype(np.uint64), starts[mine] + done
+        for i in range(more):
+            key = key << np.uint64(bits) | words[at + i]
+        again = np.argsort(key)
+        key = key[again]
+        order[open_] = mine[again]
+        new[open_[1:]] |= key[1:] != key[:-1]
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        open_, done = np.flatnonzero(~alone), done + more
     return order, np.cumsum(new) - 1
 
 
