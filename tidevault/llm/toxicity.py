@@ -13,7 +13,7 @@ regression on these, fitted on a bounded sample, makes a probability of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,7 @@ PAIR_BYTES, WORD_BYTES = 8, 50  # text for each different pair and word of a bat
 LEAST_PARTS = 16
 PART_ENTRIES = 1_000_000  # at most about so many pairs or words of a part
 SLICE_BYTES = 1 << 20  # text that is counted at a time
+PIECE = 1 << 17  # words of the texts whose differences are taken at a time
 HELD_PAIRS = 500_000  # counted pairs that a task gathers before it sends them
 #: Marks end words: ASCII punctuation becomes blanks.
 _PLAIN = bytes(
@@ -239,6 +240,20 @@ class Found:
     of_pair: np.ndarray | None = None
     of_word: dict[str, np.ndarray] | None = None
 
+    def pieces(self, most: int = PIECE) -> Iterator[tuple[int, int, Found]]:
+        """First and last text, and their events, of pieces of whole texts with about so many words."""
+        e, begin, n = self.e, 0, len(self.e.edges) - 1
+        while True:
+            end = int(np.searchsorted(e.edges, e.edges[begin] + most, "right")) - 1
+            end = min(max(end, begin + 1), n)
+            own = slice(e.edges[begin], e.edges[end])
+            edges = e.edges[begin : end + 1] - e.edges[begin]
+            events = Events(e.text[own] - begin, edges, e.word[own], e.prior[own], e.pair[own])
+            yield begin, end, replace(self, e=events, pair=self.pair[own], word=self.word[own], prior=self.prior[own])
+            begin = end
+            if begin >= n:
+                return
+
 
 def sought(texts: list[bytes]) -> Found:
     """What a batch has to fetch: its different pairs and words."""
@@ -309,10 +324,12 @@ class Models:
         f = sought(texts)
         f.of_pair, words = fetched(answers, f.keys, self.parts, _COLUMNS)
         f.of_word = dict(zip(_WORD, words, strict=True))
-        alone, after = self.differences(f, own)
-        return np.column_stack(
-            [_per_word(alone, f.e, n) for n in (0, *RUNS)] + [_per_word(after, f.e, n) for n in (0, RUNS[0])]
-        )
+        out = []
+        for a, b, piece in f.pieces():
+            alone, after = self.differences(piece, None if own is None else own[a:b])
+            columns = [_per_word(alone, piece.e, n) for n in (0, *RUNS)]
+            out.append(np.column_stack(columns + [_per_word(after, piece.e, n) for n in (0, RUNS[0])]))
+        return np.concatenate(out)
 
 
 def _interpolated(n: np.ndarray, follow: np.ndarray, kinds: np.ndarray, backoff: np.ndarray) -> np.ndarray:
