@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,14 @@ from tidevault.llm.batches import (
     packed_values,
     part_of,
     parts_for,
+    rounds,
     sliced,
     text_bytes,
     texts_of,
     unpacked_keys,
     unpacked_values,
 )
-from tidevault.llm.components import written
+from tidevault.llm.components import noting, remove, written
 from tidevault.llm.labelled import chance, held_out, logistic, taught
 from tidevault.llm.words import mix, words_of
 
@@ -202,12 +204,14 @@ def count_pairs(rows: DataFrame, parts: list[int]) -> tuple[DataFrame, np.ndarra
         .groupBy("part")
         .applyInArrow(_tallied(parts), _ENTRIES)
     )
-    counted = written(counted, "toxicity-pairs")
+    with noting() as paths:
+        counted = written(counted, "toxicity-counts")
     words = counted.where(F.col("part") >= parts[0]).groupBy("part").applyInArrow(_of_words, _ENTRIES)
     words = written(words, "toxicity-words")
     sums = words.agg(*(F.sum(F.col("sums")[i]) for i in range(2 + 2 * 6))).first()
-    known = counted.where(F.col("part") < parts[0]).unionByName(words).drop("sums")
-    return known, np.array([s or 0.0 for s in sums])
+    pairs = written(counted.where(F.col("part") < parts[0]), "toxicity-pairs")
+    remove(rows.sparkSession, paths)  # with each part's share of the words
+    return pairs.unionByName(words).drop("sums"), np.array([s or 0.0 for s in sums])
 
 
 def _within(text: np.ndarray, of: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -353,10 +357,19 @@ def _per_word(d: np.ndarray, e: Events, run: int) -> np.ndarray:
 
 
 def _measured(docs: DataFrame, known: DataFrame, models: Models, each, schema) -> DataFrame:
-    """``each`` of every batch with its answers from the models' tables."""
-    batches = numbered(docs)
-    asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts, _COLUMNS)
-    return meet(batches, asked, lambda batch, table, answers: each(table, answers), schema)
+    """``each`` of every batch with its answers from the models' tables, written.
+
+    Questions and answers are larger than the documents, so these take turns.
+    """
+    out = []
+    for some in rounds(docs):
+        with noting() as paths:
+            batches = numbered(some)
+        asked = fetch(batches, known, lambda table: sought(texts_of(table)).keys, models.parts, _COLUMNS)
+        met = meet(batches, asked, lambda batch, table, answers: each(table, answers), schema)
+        out.append(written(met, "toxicity-round"))
+        remove(docs.sparkSession, paths)
+    return reduce(DataFrame.unionByName, out)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000):
@@ -372,7 +385,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     models = Models(sums, parts)
     share = min(1.0, sample / max(1, labels.count()))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    chosen = written(chosen.select("text", "y"), "toxicity-sample")
 
     def measure(table: pa.Table, answers: list) -> pa.Table:
         y = table["y"].to_numpy()
@@ -387,13 +399,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     return known, models, logistic(x[order], y[order])
 
 
-def _scored(docs: DataFrame, trained: tuple[DataFrame, Models, np.ndarray], emit, schema) -> DataFrame:
-    known, models, weights = trained
+def _scored(docs: DataFrame, labels: DataFrame, emit, schema) -> DataFrame:
+    with noting() as paths:
+        known, models, weights = train(docs, labels)
 
     def each(table: pa.Table, answers: list) -> pa.Table:
         return emit(table, chance(models.features(texts_of(table), answers), weights))
 
-    return _measured(docs, known, models, each, schema)
+    out = _measured(docs, known, models, each, schema)
+    remove(docs.sparkSession, paths)
+    return out
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -405,7 +420,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     as the empty text in ``held_out``; without any label all scores are 0.5.
     Other columns are not read.
     """
-    trained = train(docs, labels)
     kinds = "doc_id long, held_out boolean, score double, predicted int"
 
     def emit(table: pa.Table, score: np.ndarray) -> pa.Table:
@@ -416,7 +430,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
         )
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return _scored(rows, trained, emit, kinds)
+    return _scored(rows, labels, emit, kinds)
 
 
 def decent(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -425,4 +439,4 @@ def decent(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
     def emit(table: pa.Table, score: np.ndarray) -> pa.Table:
         return table.filter(pa.array(score < threshold))
 
-    return _scored(docs, train(docs, labels), emit, docs.schema)
+    return _scored(docs, labels, emit, docs.schema)
