@@ -1,15 +1,18 @@
+import os
 import random
 import re
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import *  # noqa: F403
 
 from tidevault.llm import embeddings, ngram_join
 from tidevault.llm.components import components
 from tidevault.llm.embeddings import near_pairs, near_vectors
-from tidevault.llm.ngram_join import Trie, ngram_components, representatives
+from tidevault.llm.ngram_join import Trie, bitmap, may_link, ngram_components, representatives
 
 
 def roots(nodes, links):
@@ -81,6 +84,64 @@ def test_chain_of_edits_without_a_centre(spark, monkeypatch):
     assert multiset(got) == multiset(brute(rows, 2, 80))  # noqa: F405
 
 
+def spied(monkeypatch):
+    """Name and rows of the tables that the join writes, as it writes them."""
+    tables, real = [], ngram_join.written
+
+    def write(df, name):
+        out = real(df, name)
+        tables.append((name, out, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", write)
+    return tables
+
+
+def test_sets_that_resemble_no_other_are_not_sent_to_the_second_round(spark, monkeypatch):
+    """Texts of the same passages in other choices share rare n-grams, but are not alike."""
+    r = random.Random(21)
+    passages = [" ".join(f"w{r.randrange(10**6)}" for _ in range(25)) for _ in range(16)]
+    texts = {" ".join(sorted(r.sample(passages, 5))) for _ in range(60)}
+    rows = list(enumerate(sorted(texts)))
+    tables = spied(monkeypatch)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in ngram_components(docs, 4, 85).collect()]
+    assert multiset(got) == multiset(brute(rows, 4, 85))  # noqa: F405
+    assert len({c for *_, c in got}) == len(rows)
+    sent = [n for name, _, n in tables if name == "trie-groups"]
+    assert len(sent) == 2 and sent[1] == 0
+    assert [n for name, _, n in tables if name == "map-groups"][0] > 100
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_bitmaps_leave_no_member_out(percent):
+    r = np.random.default_rng(percent)
+    base = r.integers(0, 2**56, 150, dtype=np.uint64)
+    sets = [np.sort(base[r.random(150) < p]) for p in (0.3, 0.45, 0.8, 0.85, 0.9, 1.0) for _ in range(8)]
+    sets += [np.sort(r.integers(0, 2**56, n, dtype=np.uint64)) for n in (1, 63, 64, 65, 128, 129, 300)]
+    n = np.array([len(s) + i % 5 for i, s in enumerate(sets)])  # some n-grams of its own
+    component = np.array([i % 3 for i in range(len(sets))])
+    rows = {"token": [7] * len(sets), "i": [0] * len(sets), "j": [0] * len(sets), "rep": range(len(sets))}
+    rows |= {"component": component, "n": n, "shared": [len(s) for s in sets], "bits": [bitmap(s) for s in sets]}
+    kept = set(may_link(pa.table({k: pa.array(v) for k, v in rows.items()}), percent)["rep"].to_pylist())
+    common = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if component[a] != component[b]]
+    linked = {x for a, b in pairs if (100 + percent) * common(a, b) >= percent * (n[a] + n[b]) for x in (a, b)}
+    assert len(linked) > 10 and linked <= kept
+    if percent >= 80:  # bits tell strangers apart
+        assert not kept & set(range(len(sets) - 7, len(sets)))
+
+
+def test_texts_go_through_no_join_and_working_tables_go(real_docs, monkeypatch):
+    tables = spied(monkeypatch)
+    out = representatives(real_docs)
+    paths = {name: table.inputFiles() for name, table, n in tables if n}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {f.rsplit("/", 2)[1].split("-")[0] for f in out.inputFiles()} == {"batches", "kept"}
+    assert all(os.path.exists(urlparse(f).path) == (name == "kept") for name, files in paths.items() for f in files)
+    assert out.count() > 10
+
+
 def test_no_rows(no_docs):
     assert ngram_components(no_docs).count() == 0
     assert representatives(no_docs).columns == no_docs.columns
